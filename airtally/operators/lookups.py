@@ -31,6 +31,21 @@ def resolve_codes(codes: DataFrame, games: DataFrame, columns: list[str]) -> Dat
     return by_first.select("code", *columns).unionByName(by_second.select("code", *columns))
 
 
+def spread_left_join(
+    facts: DataFrame, lookup: DataFrame, on: str, spread: list[str], salts: int = 16
+) -> DataFrame:
+    """Left join on a key of which one value may hold a large part of the facts.
+
+    Facts of one key go to `salts` places by the columns of `spread`, and every
+    lookup row to each of them. As the salt is no column of the result, what
+    comes after cannot take over the join's partitioning, in which the hot key
+    would still be together, and adaptive execution stays free to split it.
+    """
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [on, "_salt"], "left").drop("_salt")
+
+
 def attach_or_blank(df: DataFrame, lookup: DataFrame, on: str, column: str) -> DataFrame:
     """`column` of the lookup, '' where it has no such key."""
     return df.join(lookup.select(on, column), on, "left").withColumn(column, F.coalesce(column, F.lit("")))

@@ -64,9 +64,12 @@ def rows_after_mark(
     `partition_date`, the day of a row's folder, lets it prune folders too.
     """
     mark = target.agg(F.max(column)).scalar()
-    passes = F.col(column) > mark
+    passes = [F.col(column) > mark]
     if partition_date is not None:
-        # Zoned text starts with the day on the wall, which folders go by.
+        # Zoned text starts with the day on the wall, which folders go by. A
+        # condition of its own, so that it only needs the folders' names.
         mark_day = target.agg(F.max(column).cast("string").substr(1, 10).cast("date")).scalar()
-        passes = passes & (partition_date >= mark_day)
-    return source.where(passes | mark.isNull()) if bootstrap else source.where(passes)
+        passes.append(partition_date >= mark_day)
+    for condition in passes:
+        source = source.where(condition | mark.isNull() if bootstrap else condition)
+    return source

@@ -28,7 +28,7 @@ from airtally.functions.times import (
     wall_time,
     within_days,
 )
-from airtally.operators.lookups import resolve_codes
+from airtally.operators.lookups import resolve_codes, spread_left_join
 from airtally.operators.ordered import latest_per_key, previous_value, top_per_group
 from airtally.operators.sessions import gap_sessions
 
@@ -83,9 +83,8 @@ def with_names(facts: DataFrame, codes: DataFrame, streamers: DataFrame, games:
     names = resolve_codes(codes, games, ["game_nm"]).select(
         F.col("code").alias("n_game_code"), F.col("game_nm").alias("dim_game_nm")
     )
-    return facts.join(streamers.select("streamer_id", "streamer_nm"), "streamer_id", "left").join(
-        names, "n_game_code", "left"
-    )
+    known = facts.join(streamers.select("streamer_id", "streamer_nm"), "streamer_id", "left")
+    return spread_left_join(known, names, "n_game_code", ["streamer_id", "broadcast_id"])
 
 
 def broadcast_columns(game_nm: Column, created: date) -> list[Column]:
@@ -153,12 +152,11 @@ def broadcast(
 def game_price(prices: DataFrame, games: DataFrame) -> DataFrame:
     """M3: days a discount starts or ends.
 
-    Prices are made distinct before they are joined and shuffled by name. Two
-    prices on one day are taken in the order of the price.
+    Prices are made distinct before they are shuffled by name. Two prices on
+    one day are taken in the order of the price.
     """
-    distinct = prices.select("game_id", "collect_date", "current_price").distinct()
     named = (
-        distinct.join(games.select("game_id", "game_nm", "price"), "game_id")
+        prices.join(games.select("game_id", "game_nm", "price"), "game_id")
         .select("game_nm", "price", "collect_date", "current_price")
         .distinct()
     )
