@@ -19,7 +19,9 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared_folder: str | None = None
+) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -28,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
+    if shared_folder:
+        builder = builder.config("spark.checkpoint.dir", shared_folder)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

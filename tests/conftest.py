@@ -11,8 +11,13 @@ TESTDATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, shuffle_partitions=4, memory="6g")
+def shared_folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared_folder):
+    session = local_session(8, shuffle_partitions=4, memory="6g", shared_folder=shared_folder)
     yield session
     session.stop()
 

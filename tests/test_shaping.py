@@ -1,0 +1,139 @@
+from datetime import date, datetime
+
+from airtally.operators.lookups import attach_or_blank
+from airtally.plans import shaping
+from airtally.schemas import FEEDS
+
+
+def test_r1_targets(spark, games, rows):
+    def redo(day):
+        return datetime(2024, 3, day, 23, 59)
+
+    dimension = games(
+        {"game_id": "top", "is_top300": "T"},
+        {"game_id": "today", "is_top300": "F", "redo_time": redo(10)},
+        {"game_id": "past", "is_top300": "F", "redo_time": redo(9)},
+        {"game_id": "never", "is_top300": "F"},
+        {"game_id": "other", "is_top300": "X", "redo_time": redo(20)},
+        {"game_id": "unknown", "redo_time": redo(20)},
+    )
+    assert rows(shaping.select_targets(dimension, date(2024, 3, 10)), "game_id") == [("today",), ("top",)]
+    assert rows(shaping.tracked_games(dimension), "game_id") == [("never",), ("past",), ("today",), ("top",)]
+
+
+def test_r2_unpivot(streamers, rows):
+    dimension = streamers(
+        {"streamer_id": "1", "chz_id": "c", "afc_id": "a"}, {"streamer_id": "2", "chz_id": "", "afc_id": None}, {"streamer_id": "3", "afc_id": "b"}
+    )
+    assert rows(shaping.unpivot_platform_ids(dimension)) == [
+        ("1", "afreeca", "a"), ("1", "chzzk", "c"), ("3", "afreeca", "b"),
+    ]
+
+
+def test_r3_r4_live_only_and_merged(spark, rows):
+    content = ("OPEN", False, "1", "t", "g", 5)
+    first = spark.createDataFrame(
+        [("1", "c1", "now", content), ("2", "c2", "now", ("CLOSE", *content[1:]))], FEEDS["chzzk_live"]
+    )
+    keys = [("3", "a3", "now"), ("4", "a4", "now"), ("5", "a5", "now"), ("6", "a6", "now")]
+    statuses = spark.createDataFrame(
+        [(*k, (r, "b", "t", "c")) for k, r in zip(keys, (1, 0, None, 1))], FEEDS["afreeca_live_status"]
+    )
+    stations = spark.createDataFrame(
+        [(*k, ((0, 9),)) for k in keys[:3]] + [(*keys[3], (None,))], FEEDS["afreeca_broad_info"]
+    )
+    open_first = shaping.chzzk_live_only(first)
+    open_second = shaping.afreeca_live_only(statuses, stations)
+    assert rows(open_first, "streamer_id") == [("1",)]
+    assert rows(open_second, "streamer_id", "broad_info.broad.current_sum_viewer") == [("3", 9)]
+    merged = shaping.merge_platforms(open_first, open_second)
+    assert rows(merged, "platform", "streamer_id", "chzzk_s_id", "afc_s_id") == [
+        ("afreeca", "3", None, "a3"), ("chzzk", "1", "c1", None),
+    ]
+
+
+def test_r4_missing_feed_is_empty(spark):
+    from airtally.sources.landing import read_feed
+
+    assert read_feed(spark, None, "afreeca_live").count() == 0
+
+
+def test_r5_fills_only_missing(spark, rows):
+    targets = spark.createDataFrame([("1",), ("2",)], "game_id string")
+    answers = spark.createDataFrame([("1", 100, True)], "game_id string, current_price int, is_discount boolean")
+    filled = shaping.fill_failed_fetch(targets, answers, "game_id", shaping.FAILED_PRICE_ANSWER)
+    assert rows(filled) == [("1", 100, True), ("2", 999999999, False)]
+    assert rows(shaping.fill_failed_fetch(targets, answers, "game_id", {})) == [("1", 100, True)]
+
+
+def summary(spark, *pages):
+    df = spark.createDataFrame(list(enumerate(pages)), "game_id int, html string")
+    out = shaping.review_summary(df)
+    return [tuple(r)[1:] for r in out.orderBy("game_id").collect()]
+
+
+def test_r6_review_summaries(spark):
+    def span(text, classes="responsive_reviewdesc_short"):
+        return f'<div><span id="x" class="{classes}">\n {text}\n</span></div>'
+
+    both = span("(92% of 1,234) Recent") + span("(88% of 5,678,901)&nbsp;All Time", "a responsive_reviewdesc_short b")
+    pages = [
+        both,
+        span("(88% of 50) All Time"),
+        "<p>no summary 12</p>",
+        span("(92% of 10) Recent"),
+        span("1 of 2 Recent") + span("(92% of 10) Recent") + span("(50% of&#160;4) All Time"),
+        span("(92% of 10) All Time", "responsive_reviewdesc_shorter"),
+    ]
+    assert summary(spark, *pages) == [
+        (5678901, 88, 1234, 92),
+        (50, 88, 0, 0),
+        (0, 0, 0, 0),
+        (None, None, 10, 92),
+        (4, 50, 10, 92),
+        (0, 0, 0, 0),
+    ]
+
+
+def test_r7_chart(spark, rows):
+    html = """<table id="other"><tbody><tr><td>1</td><td></td><td><a href="/app/9/">No</a></td></tr></tbody></table>
+      <table class="t" id="table-apps"><thead><tr><td>a</td><td>b</td><td><a href="/app/8/">Head</a></td></tr></thead>
+      <tbody><tr class="app"><td>1</td><td><a href="/app/7/">logo</a></td>
+        <td class="n"><a class="b" href="/app/730/charts/"><b>Counter</b> &amp; Co</a></td></tr>
+      <tr><td>2</td><td></td><td>no link</td></tr>
+      <tr><td>3</td><td></td><td><a href="/app/570/">두번째</a></td></tr></tbody></table>"""
+    df = spark.createDataFrame([(html,), ("<p></p>",)], "html string")
+    assert rows(shaping.chart_links(df)) == [("Counter & Co", "730"), ("두번째", "570")]
+
+
+def test_r9_updates_only_what_was_fetched(spark, games, rows):
+    dimension = games(
+        {"game_id": "1", "game_banner_url": "old1"}, {"game_id": "2", "game_banner_url": "old2"}, {"game_id": "3"}
+    )
+    fetched = spark.createDataFrame(
+        [("1", "a", 1), ("1", "b", 2), ("2", None, 1), ("3", "c", 1), ("4", "d", 1)], "game_id string, game_banner_url string, at int"
+    )
+    out = shaping.update_dimension(dimension, fetched, "game_id", "game_banner_url", order="at", prefix="https:")
+    assert rows(out, "game_id", "game_banner_url") == [("1", "https:b"), ("2", "old2"), ("3", "https:c")]
+    assert out.columns == dimension.columns
+
+
+def test_r10_last_message(spark):
+    frames = ['{"bdy":[{"msg":"a"},{"msg":"b"}]}', '{"bdy":[]}', '{"cmd":1}', "no json", '{"bdy":[{"msg":"a"},{"x":1}]}', None]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(frames)], "i int, frame string")
+    got = {r["i"]: r["message"] for r in shaping.chat_last_message(df).collect()}
+    assert got == {0: "b", 1: None, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_r11_split(spark):
+    frames = ["h\fhello\fid\f3\f4\f5\fnick\f7", "h\f-1\f2\f3\f4\f5\f6", "h\f1\f2\f3\f4\f5\f6", "h\fa|b\f2\f3\f4\f5\f6", "h\fx\fy", "alone",
+              "h\fhi\fid\f3\f4\f5"]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(frames)], "i int, frame string")
+    got = {r["i"]: (r["part_1"], r["part_2"], r["part_6"], len(r["parts"])) for r in shaping.chat_split(df).collect()}
+    assert got == {0: ("hello", "id", "nick", 8), 4: (None, None, None, 3), 6: ("hi", "id", None, 6)}
+
+
+def test_r12_lookup(spark, rows):
+    names = spark.createDataFrame([("a",), ("b",)], "game string")
+    lookup = spark.createDataFrame([("a", "tag"), ("b", None)], "game string, category string")
+    assert rows(attach_or_blank(names, lookup, "game", "category")) == [("a", "tag"), ("b", "")]
