@@ -9,7 +9,7 @@ aggregated before, so a hot key is few rows by then.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airtally.functions.codes import without_zeros
@@ -18,32 +18,32 @@ from airtally.functions.codes import without_zeros
 def resolve_codes(codes: DataFrame, games: DataFrame, columns: list[str]) -> DataFrame:
     """Every game a code stands for: `code = chz_game_code OR code without zeros = afc_game_code`.
 
-    An OR cannot be hashed, so each side of it is an equi join of the distinct
-    codes. A game that matches both ways comes from the first arm only: the
-    number of rows is the same as with the OR. `codes` has one column, `code`.
+    An OR cannot be hashed, so a code stands under two keys, itself and itself
+    without zeros, and so does a game, under its two codes; a mark keeps the
+    two kinds apart. A game that matches both ways is taken the first way only,
+    so there are as many rows as with the OR. `codes` has one column, `code`.
     """
     wanted = codes.where(F.col("code").isNotNull()).distinct()
-    by_first = wanted.join(games, F.col("code") == F.col("chz_game_code"))
-    by_second = wanted.withColumn("_plain", without_zeros(F.col("code"))).join(
-        games,
-        (F.col("_plain") == F.col("afc_game_code")) & ~F.col("code").eqNullSafe(F.col("chz_game_code")),
+    code_keys = wanted.select("code", _marked(F.col("code"), without_zeros(F.col("code"))))
+    game_keys = games.select(
+        *columns, F.col("chz_game_code").alias("_exact"), _marked(F.col("chz_game_code"), F.col("afc_game_code"))
+    )
+    twice = (F.col("_by") == "plain") & F.col("code").eqNullSafe(F.col("_exact"))
+    return (
+        code_keys.join(game_keys.where(F.col("_key").isNotNull()), ["_by", "_key"])
+        .where(~twice)
+        .select("code", *columns)
     )
-    return by_first.select("code", *columns).unionByName(by_second.select("code", *columns))
-
 
-def spread_left_join(
-    facts: DataFrame, lookup: DataFrame, on: str, spread: list[str], salts: int = 16
-) -> DataFrame:
-    """Left join on a key of which one value may hold a large part of the facts.
 
-    Facts of one key go to `salts` places by the columns of `spread`, and every
-    lookup row to each of them. As the salt is no column of the result, what
-    comes after cannot take over the join's partitioning, in which the hot key
-    would still be together, and adaptive execution stays free to split it.
-    """
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [on, "_salt"], "left").drop("_salt")
+def _marked(exact: Column, plain: Column) -> Column:
+    """Two rows: `_by` says which way, `_key` holds what has to be equal."""
+    return F.inline(
+        F.array(
+            F.struct(F.lit("exact").alias("_by"), exact.alias("_key")),
+            F.struct(F.lit("plain").alias("_by"), plain.alias("_key")),
+        )
+    )
 
 
 def attach_or_blank(df: DataFrame, lookup: DataFrame, on: str, column: str) -> DataFrame:

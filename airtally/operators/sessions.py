@@ -49,9 +49,12 @@ def gap_sessions(
     if split_tracks is not None:
         cell = F.when(split_tracks, micros).otherwise(cell)
     tracks = [track] if track else []
+    # A hash before the key columns, so that sorts mostly compare one number.
+    keys = ["_hash", *by]
 
     cells = (
-        df.groupBy(*by, *tracks, *also, cell.alias("_cell"))
+        df.withColumn("_hash", F.xxhash64(*by))
+        .groupBy(*keys, *tracks, *also, cell.alias("_cell"))
         .agg(
             F.min(ts).alias("session_start"),
             F.max(ts).alias("session_end"),
@@ -61,13 +64,13 @@ def gap_sessions(
     )
 
     on_track = (
-        Window.partitionBy(*by, *tracks)
+        Window.partitionBy(*keys, *tracks)
         .orderBy("session_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # Peers are counted together, so one of them starting a session is enough.
     in_order = (
-        Window.partitionBy(*by)
+        Window.partitionBy(*keys)
         .orderBy("session_start", *[F.col(t).asc_nulls_first() for t in tracks])
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -77,10 +80,11 @@ def gap_sessions(
     return (
         cells.withColumn("_starts", F.when(starts, 1).otherwise(0))
         .withColumn("group_id", F.sum("_starts").over(in_order))
-        .groupBy(*by, *also, "group_id")
+        .groupBy(*keys, *also, "group_id")
         .agg(
             F.min("session_start").alias("session_start"),
             F.max("session_end").alias("session_end"),
             *[_MERGE[kind](name).alias(name) for name, (kind, _) in measures.items()],
         )
+        .drop("_hash")
     )

@@ -28,7 +28,7 @@ from airtally.functions.times import (
     wall_time,
     within_days,
 )
-from airtally.operators.lookups import resolve_codes, spread_left_join
+from airtally.operators.lookups import resolve_codes
 from airtally.operators.ordered import latest_per_key, previous_value, top_per_group
 from airtally.operators.sessions import gap_sessions
 
@@ -79,12 +79,18 @@ BROADCAST_MEASURES = {
 
 
 def with_names(facts: DataFrame, codes: DataFrame, streamers: DataFrame, games: DataFrame) -> DataFrame:
-    """Streamer's name, and one row per game the code stands for (`dim_game_nm`)."""
+    """Streamer's name, and one row per game the code stands for (`dim_game_nm`).
+
+    A third of the facts may have one code. If names are too many to broadcast,
+    adaptive execution splits that code's partition, which it may do only
+    because the rows are laid out anew, by broadcast, before they are grouped:
+    grouping by the code as well would otherwise take over the join's layout.
+    """
     names = resolve_codes(codes, games, ["game_nm"]).select(
         F.col("code").alias("n_game_code"), F.col("game_nm").alias("dim_game_nm")
     )
     known = facts.join(streamers.select("streamer_id", "streamer_nm"), "streamer_id", "left")
-    return spread_left_join(known, names, "n_game_code", ["streamer_id", "broadcast_id"])
+    return known.join(names, "n_game_code", "left").repartition("streamer_nm", "broadcast_id")
 
 
 def broadcast_columns(game_nm: Column, created: date) -> list[Column]:

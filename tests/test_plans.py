@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from airtally.operators.lookups import resolve_codes, spread_left_join
+from airtally.operators.lookups import resolve_codes
+from airtally.plans.marts import with_names
 from conftest import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -41,20 +42,38 @@ def test_codes_equal_the_or_join(spark, games, rows):
     assert rows(ours) == rows(theirs)
 
 
-def test_hot_code_is_not_kept_together_after_the_join(spark):
-    """With no broadcast, what follows the join shuffles again, so that the hot key can be split."""
-    facts = spark.range(1000).selectExpr("if(id < 990, 'hot', 'other') code", "cast(id as string) streamer_id", "id % 3 b")
-    names = spark.createDataFrame([("hot", "Hot"), ("cold", "Cold")], "code string, name string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
+
+
+def test_hot_code_is_split_where_names_are_joined(spark, games, streamers):
+    """Two thirds of 40 000 broadcasts play one game; without broadcasts, its partition is read in pieces."""
+    facts = spark.range(40_000).selectExpr(
+        "cast(id as string) streamer_id", "uuid() broadcast_id", "if(id % 3 > 0, 'hot', concat('g', id % 50)) n_game_code",
+        "uuid() title",
+    )
+    names = games({"game_id": "1", "game_nm": "Hot", "chz_game_code": "hot"}, {"game_id": "2", "game_nm": "Seven", "chz_game_code": "g7"})
+    codes = facts.select(F.col("n_game_code").alias("code"))
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
     try:
-        joined = spread_left_join(facts, names, "code", ["streamer_id"])
-        total = joined.groupBy("b", "name", "code").count()
-        plan = plan_of(total)
-        assert plan.count("hashpartitioning(code") == 2 and "hashpartitioning(b" in plan, plan
-        assert sorted(r["count"] for r in total.collect()) == [3, 3, 4, 330, 330, 330]
-        assert joined.count() == 1000
+        named = with_names(facts, codes, streamers(), names)
+        out = named.groupBy("streamer_nm", "broadcast_id", "dim_game_nm", "n_game_code").agg(F.min("title"))
+        counts = out.groupBy("dim_game_nm").count()
+        got = {r["dim_game_nm"]: r["count"] for r in counts.collect()}
+        plan = plan_of(counts)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in SKEW:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got["Hot"] == sum(1 for i in range(40_000) if i % 3 > 0)
+    assert "skew=true" in plan, plan
 
 
 @pytest.mark.parametrize("name", ["m1_broadcast", "m3_game_price", "m11_week_game_viewer", "m12_yesterday_game_ccu"])
