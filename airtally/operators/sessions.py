@@ -65,13 +65,13 @@ def gap_sessions(
 
     on_track = (
         Window.partitionBy(*keys, *tracks)
-        .orderBy("session_start")
+        .orderBy(F.col("session_start").asc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # Peers are counted together, so one of them starting a session is enough.
     in_order = (
         Window.partitionBy(*keys)
-        .orderBy("session_start", *[F.col(t).asc_nulls_first() for t in tracks])
+        .orderBy(F.col("session_start").asc_nulls_last(), *[F.col(t).asc_nulls_first() for t in tracks])
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     starts = F.unix_micros(F.col("session_start").cast("timestamp")) - width > F.unix_micros(

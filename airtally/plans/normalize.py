@@ -155,6 +155,15 @@ def followers(documents: DataFrame, on: tuple[str, ...] = ("streamer_id", "colle
         keys = [*keys, "_poll"]
         first = first.withColumn("_poll", F.col("_first_time"))
         second = second.withColumn("_poll", F.col("_second_time"))
+    # Rows without key meet nothing; a full join would still bring them together in one task.
+    first, second = (
+        side.withColumn(
+            "_spread",
+            F.when(F.concat(*keys).isNull(), F.pmod(F.xxhash64(*side.columns), F.lit(256))).otherwise(0),
+        )
+        for side in (first, second)
+    )
+    keys = [*keys, "_spread"]
     time = F.when(F.col("_first_time") != "", F.col("_first_time")).otherwise(F.col("_second_time"))
     joined = first.join(second, keys, "full").withColumn("collect_time", time)
     return _conform(joined, "followers", keep)

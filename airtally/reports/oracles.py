@@ -326,6 +326,10 @@ QUERIES = {
     "sc1_landing_documents": _LIVE_ROWS,
     "sc2_normalized_day": """
         SELECT game_id, collect_time, game_ccu FROM {ccu} WHERE wall >= TIMESTAMP '2024-01-10' AND wall < TIMESTAMP '2024-01-12'""",
+    "sc3_dimension": "SELECT * FROM {streamers}",
+    "sc4_mart_on_mart": """
+        SELECT game_nm, streamer_nm, SUM(game_duration) AS broadcast_duration, '1999-06-15' AS created_date
+        FROM {broadcast} GROUP BY game_nm, streamer_nm""",
     "sc5_only_new_files": _CCU_ROWS,
     "sk1_rerun_same_table": _RAW_CCU,
     "sk2_spread_by_platform": "SELECT streamer_id, platform, viewer_num FROM {live}",

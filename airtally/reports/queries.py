@@ -415,6 +415,22 @@ def sc2_normalized_day(spark, sf_dir):
     return rows.drop("year", "month", "day", "hour")
 
 
+@query
+def sc3_dimension(spark, sf_dir):
+    """The streamer dimension written once and read as Parquet."""
+    folder = work_folder(spark, "dimension")
+    views.streamers(spark, sf_dir).write.parquet(folder)
+    return tables.read_dimension(spark, folder)
+
+
+@query
+def sc4_mart_on_mart(spark, sf_dir):
+    """Broadcasts published as a mart, and another mart over the published one."""
+    folder = work_folder(spark, "broadcasts")
+    writers.publish(_broadcasts(spark, sf_dir), folder)
+    return marts.week_broadcast_duration(tables.read_mart(spark, folder), as_of=AS_OF)
+
+
 @query
 def sc5_only_new_files(spark, sf_dir):
     """Two runs of one stream, the second after more documents have landed: each is read once."""

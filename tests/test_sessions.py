@@ -76,6 +76,11 @@ def test_overlapping_platforms_do_not_split_a_session(spark):
     assert len(by_spark(spark, table)) == 2
 
 
+def test_rows_without_time_belong_to_the_last_session(spark):
+    table = [("b", "g", "p", at(0), "t", 1), ("b", "g", "p", at(900), "u", 2), ("b", "g", "p", None, "v", 4)]
+    assert [r[3:] for r in by_spark(spark, table)] == [(at(0), at(0), "t", 1, 1, 1), (at(900), at(900), "u", 4, 6, 2)]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_random_tables(spark, seed):
     rng = random.Random(seed)
