@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 
 TIME = "'%Y-%m-%d %H:%M:%S.%f'"
-AS_OF = "DATE '1999-06-15'"
 
 VIEWS = {
     "games": """
@@ -53,30 +52,36 @@ VIEWS = {
                date_trunc('second', ts) AS wall, CAST(floor(value) AS BIGINT) AS game_ccu,
                year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour
         FROM events""",
+    "opened": """
+        SELECT *, coalesce(live_collect_time - lag(live_collect_time) OVER track > INTERVAL 30 DAY, false) AS opens
+        FROM (SELECT *, CASE WHEN length(game_code) > 0 THEN game_code ELSE 'talk' END AS code
+              FROM {live} WHERE broadcast_id IS NOT NULL) coded
+        WINDOW track AS (PARTITION BY streamer_id, broadcast_id, game_code ORDER BY live_collect_time)""",
     "numbered": """
-        SELECT *, SUM(starts) OVER (
-                 PARTITION BY streamer_id, broadcast_id, n_game_code
-                 ORDER BY live_collect_time, game_code NULLS FIRST, starts DESC
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS group_id
-        FROM (
-          SELECT *, COALESCE(NULLIF(game_code, ''), 'talk') AS n_game_code,
-                 CASE WHEN live_collect_time - INTERVAL 30 DAY > LAG(live_collect_time, 1) OVER (
-                        PARTITION BY streamer_id, broadcast_id, game_code ORDER BY live_collect_time)
-                      THEN 1 ELSE 0 END AS starts
-          FROM {live}) flagged""",
+        SELECT *, count(*) FILTER (WHERE opens) OVER (
+                 PARTITION BY streamer_id, broadcast_id, code
+                 ORDER BY live_collect_time, game_code NULLS FIRST, opens DESC
+                 ROWS UNBOUNDED PRECEDING) AS stretch
+        FROM {opened}""",
+    "code_names": """
+        SELECT code, game_id, game_nm FROM (SELECT DISTINCT code FROM {opened}) a JOIN {games} ON code = chz_game_code
+        UNION
+        SELECT code, game_id, game_nm FROM (SELECT DISTINCT code FROM {opened}) b
+        JOIN {games} ON ltrim(code, '0') = afc_game_code""",
+    "named": """
+        SELECT n.* EXCLUDE (streamer_id), streamer_nm, c.game_nm AS known_nm FROM {numbered} n
+        LEFT JOIN {streamers} USING (streamer_id) LEFT JOIN {code_names} c USING (code)""",
     "broadcast": """
-        SELECT s.streamer_nm, n.broadcast_id, COALESCE(g.game_nm, n.n_game_code) AS game_nm, n.platform,
-               MIN(n.broadcast_title) AS broadcast_title, MAX(n.viewer_num) AS max_viewer_num,
-               CAST(trunc(AVG(n.viewer_num)) AS BIGINT) AS avg_viewer_num,
-               MIN(n.live_collect_time) AS broadcast_start_time, MAX(n.live_collect_time) AS broadcast_end_time,
-               (epoch_us(MAX(n.live_collect_time)) - epoch_us(MIN(n.live_collect_time))) / CAST(60000000 AS DOUBLE)
-                 AS game_duration
-        FROM {numbered} n
-        LEFT JOIN {streamers} s ON s.streamer_id = n.streamer_id
-        LEFT JOIN {games} g ON n.n_game_code = g.chz_game_code OR ltrim(n.n_game_code, '0') = g.afc_game_code
-        WHERE n.broadcast_id IS NOT NULL
-        GROUP BY s.streamer_nm, n.broadcast_id, g.game_nm, n.platform, n.group_id, n.n_game_code""",
-    "played": "SELECT * FROM {broadcast} WHERE game_nm NOT IN ('talk', '-', 'Virtual', '종합 게임')",
+        SELECT streamer_nm, broadcast_id, coalesce(known_nm, code) AS game_nm, platform,
+               min(broadcast_title) AS broadcast_title, max(viewer_num) AS max_viewer_num,
+               CAST(sum(viewer_num) // count(viewer_num) AS BIGINT) AS avg_viewer_num,
+               min(live_collect_time) AS broadcast_start_time, max(live_collect_time) AS broadcast_end_time,
+               date_diff('second', min(live_collect_time), max(live_collect_time)) / 60.0::DOUBLE AS game_duration
+        FROM {named} GROUP BY streamer_nm, broadcast_id, known_nm, code, stretch, platform""",
+    "played": """
+        SELECT b.* FROM {broadcast} b
+        ANTI JOIN (VALUES ('talk'), ('-'), ('Virtual'), ('종합 게임')) AS other(game_nm) USING (game_nm)
+        WHERE game_nm IS NOT NULL""",
     "follower_rows": """
         SELECT COALESCE(c.user_id, a.user_id) AS streamer_id, COALESCE(c.ts, a.ts) AS collect_time,
                c.n AS chz_follower_num, a.n + 7 AS afc_follower_num
@@ -96,24 +101,22 @@ VIEWS = {
                event_type AS game_code, CAST(floor(value) AS BIGINT) AS viewer_num, 'chzzk' AS platform
         FROM events WHERE event_id % 4 <> 0 AND event_id % 5 NOT IN (0, 1)""",
     "price_change": """
-        SELECT game_nm, collect_date AS modified_date, current_price FROM (
-          SELECT *, LAG(current_price) OVER (
-                   PARTITION BY game_nm ORDER BY collect_date, current_price, price) AS prev_price
-          FROM (SELECT DISTINCT g.game_nm, g.price, p.collect_date, p.current_price
-                FROM {prices} p JOIN {games} g ON p.game_id = g.game_id) days) changes
-        WHERE (current_price < price AND (prev_price = price OR prev_price IS NULL))
-           OR (current_price = price AND prev_price < price)""",
+        SELECT game_nm, collect_date AS modified_date, current_price
+        FROM (SELECT *, sign(price - current_price) AS off,
+                     sign(price - lag(current_price) OVER (
+                       PARTITION BY game_nm ORDER BY collect_date, current_price, price)) AS was_off
+              FROM (SELECT DISTINCT game_nm, price, collect_date, current_price
+                    FROM {prices} JOIN {games} USING (game_id)) days) steps
+        WHERE (off, coalesce(was_off, 0)) IN ((1, 0), (0, 1))""",
     "event_sessions": """
-        SELECT user_id, event_type, MIN(ts) AS session_start, MAX(ts) AS session_end,
-               CAST(COUNT(*) AS BIGINT) AS snapshots, MAX(viewers) AS max_viewers,
-               CAST(SUM(viewers) AS BIGINT) AS viewers
-        FROM (SELECT *, SUM(starts) OVER (PARTITION BY user_id, event_type ORDER BY ts
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS group_id
+        SELECT user_id, event_type, min(ts) AS session_start, max(ts) AS session_end, count(*) AS snapshots,
+               max(viewers) AS max_viewers, CAST(sum(viewers) AS BIGINT) AS viewers
+        FROM (SELECT *, count(*) FILTER (WHERE opens) OVER (
+                       PARTITION BY user_id, event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS stretch
               FROM (SELECT *, CAST(floor(value) AS BIGINT) AS viewers,
-                           CASE WHEN ts - INTERVAL 1 DAY > LAG(ts) OVER (
-                             PARTITION BY user_id, event_type ORDER BY ts) THEN 1 ELSE 0 END AS starts
-                    FROM events) flagged) numbered
-        GROUP BY user_id, event_type, group_id""",
+                           ts - lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts) > INTERVAL 24 HOUR AS opens
+                    FROM events) steps) numbered
+        GROUP BY user_id, event_type, stretch""",
 }
 
 _BROADCAST_SHOWN = f"""streamer_nm, broadcast_id, game_nm, platform, broadcast_title,
@@ -139,47 +142,43 @@ _RAW_CCU = """SELECT game_id, collect_time, game_ccu, CAST(year AS BIGINT) AS ye
 
 def _rank(measure: str, name: str, rank: str) -> str:
     return f"""
-        SELECT r.streamer_nm, r.game_nm, r.platform, CAST(r.{rank} AS BIGINT) AS {rank}, r.{name},
-               g.game_banner_url, '1999-06-15' AS created_date
-        FROM (SELECT streamer_nm, game_nm, platform, {measure} AS {name},
-                     ROW_NUMBER() OVER (PARTITION BY streamer_nm, platform
-                                        ORDER BY {measure} DESC, game_nm) AS {rank}
-              FROM {{played}} GROUP BY streamer_nm, game_nm, platform) r
-        LEFT JOIN {{games}} g ON r.game_nm = g.game_nm WHERE r.{rank} < 4"""
+        SELECT streamer_nm, game_nm, platform, {rank}, {name}, game_banner_url, '1999-06-15' AS created_date
+        FROM (SELECT *, row_number() OVER (PARTITION BY streamer_nm, platform ORDER BY {name} DESC, game_nm) AS {rank}
+              FROM (SELECT streamer_nm, game_nm, platform, {measure} AS {name} FROM {{played}} GROUP BY ALL) totals
+              QUALIFY {rank} <= 3) best
+        LEFT JOIN (SELECT game_nm, game_banner_url FROM {{games}}) g USING (game_nm)"""
 
 
 QUERIES = {
     "m1_session_core": _EVENT_SESSIONS,
     "m1_broadcast": f"SELECT {_BROADCAST_SHOWN}, '1999-06-15' AS created_date FROM {{broadcast}}",
     "m2_broadcast_incremental": f"""
-        SELECT s.streamer_nm, l.broadcast_id, COALESCE(g.game_nm, MAX(l.n_game_code)) AS game_nm, l.platform,
-               MIN(l.broadcast_title) AS broadcast_title, MAX(l.viewer_num) AS max_viewer_num,
-               CAST(trunc(AVG(l.viewer_num)) AS BIGINT) AS avg_viewer_num,
-               strftime(MIN(l.live_collect_time), {TIME}) AS broadcast_start_time,
-               strftime(MAX(l.live_collect_time), {TIME}) AS broadcast_end_time,
-               (epoch_us(MAX(l.live_collect_time)) - epoch_us(MIN(l.live_collect_time))) / CAST(60000000 AS DOUBLE)
-                 AS game_duration, '1999-06-15' AS created_date
-        FROM (SELECT *, COALESCE(NULLIF(game_code, ''), 'talk') AS n_game_code FROM {{live}}) l
-        LEFT JOIN {{streamers}} s ON s.streamer_id = l.streamer_id
-        LEFT JOIN {{games}} g ON l.n_game_code = g.chz_game_code OR ltrim(l.n_game_code, '0') = g.afc_game_code
-        WHERE l.broadcast_id IS NOT NULL
-          AND l.live_collect_time > {AS_OF} - INTERVAL 1 DAY + INTERVAL 6 HOUR
-          AND l.live_collect_time < {AS_OF} + INTERVAL 6 HOUR
-        GROUP BY s.streamer_nm, l.broadcast_id, g.game_nm, l.platform""",
+        SELECT streamer_nm, broadcast_id, coalesce(known_nm, max(code)) AS game_nm, platform,
+               min(broadcast_title) AS broadcast_title, max(viewer_num) AS max_viewer_num,
+               CAST(sum(viewer_num) // count(viewer_num) AS BIGINT) AS avg_viewer_num,
+               strftime(min(live_collect_time), {TIME}) AS broadcast_start_time,
+               strftime(max(live_collect_time), {TIME}) AS broadcast_end_time,
+               date_diff('second', min(live_collect_time), max(live_collect_time)) / 60.0::DOUBLE AS game_duration,
+               '1999-06-15' AS created_date
+        FROM {{named}}
+        WHERE live_collect_time > TIMESTAMP '1999-06-14 06:00:00' AND live_collect_time < TIMESTAMP '1999-06-15 06:00:00'
+        GROUP BY streamer_nm, broadcast_id, known_nm, platform""",
     "m3_game_price": """
         SELECT game_nm, CAST(modified_date AS VARCHAR) AS modified_date, current_price FROM {price_change}""",
-    "m4_streamer_count_rank": _rank("COUNT(game_nm)", "total_broadcast_count", "count_rank"),
-    "m5_streamer_duration_rank": _rank("SUM(game_duration)", "total_broadcast_duration", "duration_rank"),
+    "m4_streamer_count_rank": _rank("count(*)", "total_broadcast_count", "count_rank"),
+    "m5_streamer_duration_rank": _rank("sum(game_duration)", "total_broadcast_duration", "duration_rank"),
     "m6_streamer_follower_info": """
         -- Decimals: the division would be one of doubles here, on which a half rounds either way.
         SELECT s.streamer_nm, s.chz_banner_url, s.afc_banner_url,
                CAST(round(r.chz_follower_num * 0.0001, 2) AS DOUBLE) AS chz_follower_num,
                CAST(round(r.afc_follower_num * 0.0001, 2) AS DOUBLE) AS afc_follower_num,
                '2024-02-01' AS created_date
-        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY streamer_id ORDER BY collect_time DESC NULLS FIRST,
-                     chz_follower_num DESC NULLS FIRST, afc_follower_num DESC NULLS FIRST) AS rn
-              FROM {follower_rows}) r
-        JOIN {streamers} s ON s.streamer_id = CAST(r.streamer_id AS VARCHAR) WHERE r.rn = 1""",
+        FROM (SELECT DISTINCT ON (streamer_id) CAST(streamer_id AS VARCHAR) AS streamer_id, chz_follower_num,
+                     afc_follower_num
+              FROM {follower_rows}
+              ORDER BY streamer_id, collect_time DESC NULLS FIRST, chz_follower_num DESC NULLS FIRST,
+                       afc_follower_num DESC NULLS FIRST) r
+        JOIN {streamers} s USING (streamer_id)""",
     "m7_streamer_game_radar": """
         SELECT streamer_nm, game_nm, AVG(avg_viewer_num) AS avg_viewer_num, MAX(max_viewer_num) AS max_viewer_num,
                COUNT(broadcast_id) AS total_broadcast_count, AVG(game_duration) AS avg_broadcast_duration,
@@ -198,18 +197,14 @@ QUERIES = {
         SELECT game_nm, streamer_nm, COUNT(DISTINCT broadcast_id) AS broadcast_freq, '1999-06-15' AS created_date
         FROM {broadcast} GROUP BY game_nm, streamer_nm""",
     "m11_week_game_viewer": """
-        SELECT u.game_nm, CAST(u.hour AS BIGINT) AS hour, s.streamer_nm, AVG(u.viewer_num) AS viewer_avg,
-               CAST(CAST(u.live_collect_time AS DATE) AS VARCHAR) AS created_date
-        FROM (SELECT g.game_nm, l.game_code, l.live_collect_time, l.viewer_num, l.year, l.month, l.day, l.hour,
-                     l.streamer_id
-              FROM {live} l JOIN {games} g ON l.game_code = g.chz_game_code WHERE g.chz_game_code <> ''
-              UNION
-              SELECT g.game_nm, l.game_code, l.live_collect_time, l.viewer_num, l.year, l.month, l.day, l.hour,
-                     l.streamer_id
-              FROM {live} l JOIN {games} g ON l.game_code = '000' || g.afc_game_code
-              WHERE g.afc_game_code <> '') u
-        JOIN {streamers} s ON u.streamer_id = s.streamer_id
-        GROUP BY u.game_nm, CAST(u.live_collect_time AS DATE), u.hour, s.streamer_nm""",
+        SELECT game_nm, CAST(hour AS BIGINT) AS hour, streamer_nm, avg(viewer_num) AS viewer_avg,
+               strftime(live_collect_time, '%Y-%m-%d') AS created_date
+        FROM (SELECT DISTINCT game_nm, l.* EXCLUDE (broadcast_id, platform, broadcast_title)
+              FROM {live} l JOIN (
+                SELECT game_nm, unnest([chz_game_code, '000' || afc_game_code]) AS game_code FROM {games}
+                WHERE chz_game_code <> '' AND afc_game_code <> '') g USING (game_code)) seen
+        JOIN {streamers} USING (streamer_id)
+        GROUP BY game_nm, strftime(live_collect_time, '%Y-%m-%d'), hour, streamer_nm""",
     "m12_yesterday_game_ccu": """
         SELECT g.game_nm, AVG(c.game_ccu) AS ccu_avg, '2024-01-15' AS created_date
         FROM {ccu} c JOIN {games} g ON c.game_id = g.game_id
