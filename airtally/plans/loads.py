@@ -11,14 +11,19 @@ from airtally.functions.times import day_window, instant_literal, landing_days,
 from airtally.plans.marts import BROADCAST, broadcast_columns, live_facts, with_names
 
 
+# When the incremental load's day starts, and on which clock.
+DAY_START = time(6)
+ZONE = "UTC"
+
+
 def broadcast_incremental(
     live: DataFrame,
     streamers: DataFrame,
     games: DataFrame,
     *,
     as_of: date,
-    day_start: time = time(6),
-    zone: str = "UTC",
+    day_start: time = DAY_START,
+    zone: str = ZONE,
 ) -> DataFrame:
     """M2: the broadcast mart's rows of one day, both ends left out.
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, time
+from datetime import date, datetime, time, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from airtally.functions.times import partition_date
+from airtally.functions.times import day_window, landing_days, partition_date
 from airtally.plans import loads, marts, normalize
 from airtally.schemas import partition_columns
 from airtally.sinks import writers
@@ -58,8 +58,8 @@ def refresh_broadcasts(
     spark: SparkSession, root: str, streamers: DataFrame, games: DataFrame, *, as_of: date, full: bool = True
 ) -> DataFrame:
     """The broadcast mart, by one writer of two: rebuilt as a whole, or with the last day's rows added."""
-    live = tables.read_normalized(spark, root, "raw_live_viewer")
     if full:
+        live = tables.read_normalized(spark, root, "raw_live_viewer")
         folder = mart_folder(root, "anal_broadcast")
         writers.publish(
             marts.broadcast(live, streamers, games, as_of=as_of),
@@ -67,6 +67,8 @@ def refresh_broadcasts(
             sort_within=["streamer_nm", "broadcast_id", "broadcast_start_time"],
         )
         return tables.read_mart(spark, folder)
+    first, last = landing_days(*day_window(as_of, loads.DAY_START, loads.ZONE))
+    live = tables.read_normalized(spark, root, "raw_live_viewer", first=first, last=last)
     folder = mart_folder(root, "anal_broadcast_incremental")
     rows = loads.broadcast_incremental(live, streamers, games, as_of=as_of)
     writers.overwrite_partitions(rows, folder, ["created_date"])
@@ -85,21 +87,29 @@ def refresh_marts(
 ) -> list[str]:
     """Every mart of a day. Those over broadcasts read the one written before them."""
     broadcasts = refresh_broadcasts(spark, root, streamers, games, as_of=as_of, full=full)
-    silver = {t: tables.read_normalized(spark, root, t) for t in (*DATED, *UNDATED)}
+    now = now or datetime.combine(as_of, time())
+
+    def silver(table: str, first: date | None = None, last: date | None = None) -> DataFrame:
+        return tables.read_normalized(spark, root, table, first=first, last=last)
+
     built = {
-        "anal_game_price": marts.game_price(silver["raw_game_price"], games),
+        "anal_game_price": marts.game_price(silver("raw_game_price"), games),
         "anal_streamer_count_rank": marts.streamer_count_rank(broadcasts, games, as_of=as_of),
         "anal_streamer_duration_rank": marts.streamer_duration_rank(broadcasts, games, as_of=as_of),
         "anal_streamer_follower_info": marts.streamer_follower_info(
-            silver["followers"], streamers, as_of=as_of
+            silver("followers"), streamers, as_of=as_of
         ),
         "anal_streamer_game_rader": marts.streamer_game_radar(broadcasts, as_of=as_of),
-        "anal_tdy_game_rating": marts.today_game_rating(silver["raw_game_rating"], games, as_of=as_of),
+        "anal_tdy_game_rating": marts.today_game_rating(
+            silver("raw_game_rating", as_of), games, as_of=as_of
+        ),
         "anal_week_broadcast_duration": marts.week_broadcast_duration(broadcasts, as_of=as_of),
         "anal_week_broadcast_freq": marts.week_broadcast_freq(broadcasts, as_of=as_of),
-        "anal_week_game_viewer": marts.week_game_viewer(silver["raw_live_viewer"], streamers, games),
+        "anal_week_game_viewer": marts.week_game_viewer(silver("raw_live_viewer"), streamers, games),
         "anal_ysd_game_ccu": marts.yesterday_game_ccu(
-            silver["raw_game_ccu"], games, now=now or datetime.combine(as_of, time())
+            silver("raw_game_ccu", (now - timedelta(days=1)).date(), (now + timedelta(days=1)).date()),
+            games,
+            now=now,
         ),
         "anal_ysd_game_rank": marts.yesterday_game_rank(broadcasts, games, as_of=as_of),
     }
@@ -126,6 +136,6 @@ def _raw_or_empty(spark: SparkSession, folder: str, like: DataFrame) -> DataFram
     try:
         return spark.read.schema(like.schema).parquet(folder)
     except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
+        if landing.is_missing(missing):
             return like.where("false")
         raise

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Callable
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql.types import IntegerType, StructType
 
 from airtally.functions.times import within_days
@@ -16,6 +18,47 @@ def table_folder(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/source/{layer}/table_name={table}"
 
 
+# Up to so many folders are named one by one instead of listing the whole table.
+NAMED_FOLDERS = 400
+
+
+def is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def read_folders(
+    reader: DataFrameReader,
+    load: Callable[[DataFrameReader, list[str]], DataFrame],
+    folder: str,
+    first: date | None,
+    last: date | None,
+    hour: int | None = None,
+) -> DataFrame:
+    """The days first..last of a table, or all of it.
+
+    A few days are read by their folders' names, so that a job of one hour does
+    not list years of files. If one of them is not there, the table is listed
+    and filtered.
+    """
+    if first is None:
+        return load(reader, [folder])
+    last = last or first
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    part = "" if hour is None else f"/hour={hour}"
+    named = [f"{folder}/year={d.year}/month={d.month}/day={d.day}{part}" for d in days]
+    if len(named) <= NAMED_FOLDERS:
+        try:
+            rows = load(reader.option("basePath", folder), named)
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
+            rows = load(reader, [folder])
+    else:
+        rows = load(reader, [folder])
+    rows = within_days(rows, first, last)
+    return rows if hour is None else rows.where(rows["hour"] == hour)
+
+
 def _with_folder_keys(schema: StructType, table: str) -> StructType:
     out = StructType(list(schema.fields))
     for key in partition_columns(table):
@@ -38,17 +81,11 @@ def read_documents(
     `multiline` says whether a file holds one document over several lines or a
     document per line; by default it is what the table's collector writes.
     """
-    schema = _with_folder_keys(LANDING[table], table)
-    documents = (
-        spark.read.schema(schema)
-        .option("multiLine", table in MULTILINE if multiline is None else multiline)
-        .json(table_folder(root, "json", table))
+    reader = spark.read.schema(_with_folder_keys(LANDING[table], table)).option(
+        "multiLine", table in MULTILINE if multiline is None else multiline
     )
-    if first is not None:
-        documents = within_days(documents, first, last or first)
-    if hour is not None:
-        documents = documents.where(documents["hour"] == hour)
-    return documents
+    folder = table_folder(root, "json", table)
+    return read_folders(reader, lambda r, paths: r.json(paths), folder, first, last, hour)
 
 
 def stream_documents(

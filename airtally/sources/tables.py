@@ -8,18 +8,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtally.functions.times import within_days
 from airtally.schemas import SILVER, partition_columns
-from airtally.sources.landing import _with_folder_keys, table_folder
+from airtally.sources.landing import _with_folder_keys, is_missing, read_folders, table_folder
 
 
 def read_normalized(
     spark: SparkSession, root: str, table: str, *, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """SC2: a normalised table, its folder keys as columns. Only the days asked for are read."""
+    reader = spark.read.schema(_with_folder_keys(SILVER[table], table))
     folder = table_folder(root, "parquet", table)
-    rows = spark.read.schema(_with_folder_keys(SILVER[table], table)).parquet(folder)
-    return within_days(rows, first, last or first) if first is not None else rows
+    return read_folders(reader, lambda r, paths: r.parquet(*paths), folder, first, last)
 
 
 def stream_normalized(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -69,7 +68,7 @@ def current_version(spark: SparkSession, folder: str) -> int | None:
     try:
         log = spark.read.schema("version long").json(f"{folder.rstrip('/')}/published")
     except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
+        if is_missing(missing):
             return None
         raise
     return log.agg(F.max("version")).first()[0]

@@ -56,6 +56,17 @@ def test_sc2_prunes_days(spark, tmp_path):
     assert within_days(text_keys, date(2024, 1, 4), date(2024, 1, 4)).count() == 50
 
 
+def test_days_are_read_by_folder_name(spark, tmp_path):
+    root, folder = str(tmp_path), tables.table_folder(str(tmp_path), "parquet", "raw_game_ccu")
+    writers.overwrite_partitions(ccu(spark), folder, KEYS)
+    two = tables.read_normalized(spark, root, "raw_game_ccu", first=date(2024, 1, 2), last=date(2024, 1, 3))
+    assert len(two.inputFiles()) == 6
+    # A day without folder: the table is listed, and the others are found.
+    more = tables.read_normalized(spark, root, "raw_game_ccu", first=date(2024, 1, 4), last=date(2024, 1, 9))
+    assert more.count() == 50
+    assert tables.read_normalized(spark, root, "raw_game_ccu", first=date(2025, 1, 1)).count() == 0
+
+
 def test_incremental_marts_read_only_their_days(spark, tmp_path, games, streamers):
     folder = tables.table_folder(str(tmp_path), "parquet", "raw_game_ccu")
     writers.overwrite_partitions(ccu(spark), folder, KEYS)
