@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution coalesces small shuffle partitions and splits skewed join
-# partitions at run time, so the shuffle width only has to be large enough.
+# What a cluster's session should have as well. Adaptive execution coalesces
+# small shuffle partitions and splits skewed join partitions at run time, so
+# spark.sql.shuffle.partitions only has to be large enough: input size / 128 MB.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Streams keep their state on executors' disks, not on their heaps.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
