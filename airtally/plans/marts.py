@@ -81,14 +81,17 @@ BROADCAST_MEASURES = {
 def with_names(facts: DataFrame, codes: DataFrame, streamers: DataFrame, games: DataFrame) -> DataFrame:
     """Streamer's name, and one row per game the code stands for (`dim_game_nm`).
 
-    A third of the facts may have one code. If names are too many to broadcast,
-    adaptive execution splits that code's partition, which it may do only
-    because the rows are laid out anew, by broadcast, before they are grouped:
-    grouping by the code as well would otherwise take over the join's layout.
+    A third of the facts may have one code. Names are laid out apart from how
+    their codes were made distinct, so that adaptive execution learns their
+    size before the facts are ready: few names are then broadcast, and the
+    facts not shuffled by code at all. With many, a hot code's partition is
+    split, which takes that the rows are laid out anew, by broadcast, before
+    they are grouped: the grouping would otherwise build on the join's layout.
     """
     names = resolve_codes(codes, games, ["game_nm"]).select(
         F.col("code").alias("n_game_code"), F.col("game_nm").alias("dim_game_nm")
     )
+    names = names.hint("rebalance")
     known = facts.join(streamers.select("streamer_id", "streamer_nm"), "streamer_id", "left")
     return known.join(names, "n_game_code", "left").repartition("streamer_nm", "broadcast_id")
 
