@@ -6,7 +6,7 @@ casts every column, so that both platforms' rows have one type.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airtally.functions.texts import price_from_text
@@ -28,47 +28,54 @@ def _partitions(documents: DataFrame) -> list[str]:
     return [c for c in ("year", "month", "day", "hour") if c in documents.columns]
 
 
-def chzzk_viewers(elements: DataFrame, keep: list[str] = ()) -> DataFrame:
-    """Live rows of the first platform, adult broadcasts dropped."""
-    rows = elements.where(~F.col("content.adult")).select(
-        "streamer_id",
-        F.col("content.liveId").alias("broadcast_id"),
-        F.col("current_time").alias("live_collect_time"),
-        F.col("content.liveTitle").alias("broadcast_title"),
-        F.col("content.liveCategoryValue").alias("game_code"),
-        F.col("content.concurrentUserCount").alias("viewer_num"),
+def _chzzk_row(element: Column) -> Column:
+    content = element["content"]
+    return F.struct(
+        element["streamer_id"].alias("streamer_id"),
+        content["liveId"].alias("broadcast_id"),
+        element["current_time"].alias("live_collect_time"),
+        content["liveTitle"].alias("broadcast_title"),
+        content["liveCategoryValue"].alias("game_code"),
+        content["concurrentUserCount"].alias("viewer_num"),
         F.lit("chzzk").alias("platform"),
-        *keep,
     )
-    return _conform(rows, "raw_live_viewer", list(keep))
 
 
-def afreeca_viewers(elements: DataFrame, keep: list[str] = ()) -> DataFrame:
-    """Live rows of the second platform, adult broadcasts dropped."""
-    rows = elements.where(F.col("broad_info.broad.broad_grade") < ADULT_GRADE).select(
-        "streamer_id",
-        F.col("live_status.BNO").alias("broadcast_id"),
-        F.col("current_time").alias("live_collect_time"),
-        F.col("live_status.TITLE").alias("broadcast_title"),
-        F.col("live_status.CATE").alias("game_code"),
-        F.col("broad_info.broad.current_sum_viewer").alias("viewer_num"),
+def _afreeca_row(element: Column) -> Column:
+    status = element["live_status"]
+    return F.struct(
+        element["streamer_id"].alias("streamer_id"),
+        status["BNO"].alias("broadcast_id"),
+        element["current_time"].alias("live_collect_time"),
+        status["TITLE"].alias("broadcast_title"),
+        status["CATE"].alias("game_code"),
+        element["broad_info"]["broad"]["current_sum_viewer"].alias("viewer_num"),
         F.lit("afreeca").alias("platform"),
-        *keep,
     )
-    return _conform(rows, "raw_live_viewer", list(keep))
 
 
-def _elements(documents: DataFrame, platform: str) -> DataFrame:
+def live_viewer(documents: DataFrame) -> DataFrame:
+    """Both platforms' live rows, adult broadcasts and those of unknown grade dropped.
+
+    The two lists of a document become one before it is exploded: a union of
+    two explodes would read and parse every document twice.
+    """
     keep = _partitions(documents)
-    return documents.select(F.explode(f"stream_data.{platform}").alias("_e"), *keep).select("_e.*", *keep)
+    first = F.filter("stream_data.chzzk", lambda e: ~e["content"]["adult"])
+    second = F.filter(
+        "stream_data.afreeca", lambda e: e["broad_info"]["broad"]["broad_grade"] < ADULT_GRADE
+    )
+    both = F.concat(
+        F.coalesce(F.transform(first, _chzzk_row), F.array()),
+        F.coalesce(F.transform(second, _afreeca_row), F.array()),
+    )
+    rows = documents.select(F.explode(both).alias("_e"), *keep).select("_e.*", *keep)
+    return _conform(rows, "raw_live_viewer", keep)
 
 
-def live_viewer(documents: DataFrame) -> DataFrame:
-    """S1."""
+def _elements(documents: DataFrame, platform: str) -> DataFrame:
     keep = _partitions(documents)
-    first = chzzk_viewers(_elements(documents, "chzzk"), keep)
-    second = afreeca_viewers(_elements(documents, "afreeca"), keep)
-    return first.unionByName(second)
+    return documents.select(F.explode(f"stream_data.{platform}").alias("_e"), *keep).select("_e.*", *keep)
 
 
 def game_ccu(documents: DataFrame) -> DataFrame:
