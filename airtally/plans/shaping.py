@@ -165,13 +165,13 @@ def update_dimension(
 ) -> DataFrame:
     """The dimension with `column` set where a value was fetched for its key.
 
-    Of several values of a key the one last by `order` (default: by itself) is
+    Of several values of a key the one last by `order`, then by itself, is
     taken, so no row of the dimension is multiplied.
     """
     new = (
         fetched.where(F.col(column).isNotNull())
         .groupBy(key)
-        .agg(F.max_by(column, order or column).alias("_new"))
+        .agg((F.max_by(column, F.struct(order, column)) if order else F.max(column)).alias("_new"))
         .withColumn("_new", F.concat(F.lit(prefix), "_new"))
     )
     return (

@@ -313,7 +313,7 @@ QUERIES = {
         SELECT conv_id, turn, CASE WHEN turn % 4 = 3 THEN NULL ELSE 'm' || turn END AS part_1,
                CASE WHEN turn % 4 = 3 THEN NULL ELSE CAST(conv_id AS VARCHAR) END AS part_2,
                CASE WHEN turn % 4 = 3 THEN NULL ELSE text END AS part_6,
-               CASE WHEN turn % 4 = 3 THEN 4 ELSE 7 END AS part_count
+               CAST(CASE WHEN turn % 4 = 3 THEN 4 ELSE 7 END AS BIGINT) AS part_count
         FROM conversations WHERE turn % 6 > 2""",
     "r12_dimension_left_lookup": """
         SELECT g.game_id, COALESCE(c.c_mktsegment, '') AS category FROM {games} g
