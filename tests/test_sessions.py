@@ -127,15 +127,31 @@ def test_sessions_hold_every_row_once(spark):
         assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
-def test_hot_key_is_folded_before_it_is_shuffled(spark):
-    """100 000 snapshots of one broadcast reach the windows as one row per slice and platform."""
-    hot = spark.range(100_000).selectExpr(
-        "'b' b", "'g' code", "'p' platform", "timestamp_micros(1704067200000000 + (id % 3000) * 1000000) ts",
-        "'t' title", "1 n",
-    )
+def records_read_from_shuffles(spark, action):
+    """Largest number of records any stage of the action read from a shuffle."""
+    context = spark.sparkContext
+    store = context._jsc.sc().statusStore()
+
+    def stages():
+        listed = store.stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), None)
+        return {listed.apply(i).stageId(): listed.apply(i) for i in range(listed.size())}
+
+    before = set(stages())
+    result = action()
+    return result, max(s.shuffleReadRecords() for i, s in stages().items() if i not in before)
+
+
+@pytest.mark.parametrize("code", ["g", ""])
+def test_hot_key_is_folded_before_it_is_shuffled(spark, code):
+    """100 000 snapshots of one broadcast leave each task as one row per slice, or per collect time."""
+    hot = spark.range(0, 100_000, 1, 8).selectExpr(
+        "'b' b", f"'{code}' code", "'p' platform", "timestamp_seconds(1704067200 + (id % 50) * 60) ts", "'t' title", "1 n"
+    )
     df = hot.withColumn("norm", normalized_code("code"))
-    micros = F.unix_micros("ts")
-    cells = df.select((micros - F.pmod(micros, F.lit(300_000_000))).alias("c")).distinct().count()
-    out = gap_sessions(df, ["b", "norm"], "ts", GAP, MEASURES, track="code", also=("platform",)).collect()
-    assert cells == 10
+    sessions = gap_sessions(
+        df, ["b", "norm"], "ts", GAP, MEASURES, track="code", split_tracks=F.col("norm") == "talk", also=("platform",)
+    )
+    out, read = records_read_from_shuffles(spark, sessions.collect)
     assert [(r["rows"], r["total"]) for r in out] == [(100_000, 100_000)]
+    # Eight tasks; fifty collect times lie in ten slices.
+    assert read == 8 * (10 if code else 50)
