@@ -17,6 +17,16 @@ def normalized_code(code: str | Column) -> Column:
     return F.coalesce(F.nullif(F.col(code) if isinstance(code, str) else code, F.lit("")), F.lit(NO_GAME_CODE))
 
 
+# Raw codes that are one code when normalised: missing, empty and spelled out.
+CODE_TRACKS = 3
+
+
+def code_track(code: str | Column) -> Column:
+    """Which of the raw codes behind a normalised one this is."""
+    code = F.col(code) if isinstance(code, str) else code
+    return F.when(code.isNull(), 0).when(code == "", 1).otherwise(2)
+
+
 def without_zeros(code: Column) -> Column:
     return F.ltrim(code, F.lit("0"))
 

@@ -19,16 +19,18 @@ def gap_sessions(
     gap: timedelta,
     measures: dict[str, tuple[str, str]],
     *,
-    track: str | None = None,
+    track: Column | None = None,
+    tracks: int = 1,
     split_tracks: Column | None = None,
     also: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per session with its measures, `session_start` and `session_end`.
 
     A row starts a new session of `by` when it is more than `gap` after the row
-    before it on the same `track` (a column finer than `by`; default: none).
+    before it on the same `track`, a number below `tracks` (default: one track).
     Session numbers count over all tracks of `by`, in the order of time, then
     track. `also` columns split the output rows, not the sessions.
+    Rows without time belong to the last session.
 
     Rows are first folded into cells: all rows of one track within an aligned
     slice of time no longer than the gap. No session can start inside a cell
@@ -48,13 +50,12 @@ def gap_sessions(
     cell = micros - F.pmod(micros, F.lit(width)) if width else micros
     if split_tracks is not None:
         cell = F.when(split_tracks, micros).otherwise(cell)
-    tracks = [track] if track else []
     # A hash before the key columns, so that sorts mostly compare one number.
     keys = ["_hash", *by]
 
     cells = (
-        df.withColumn("_hash", F.xxhash64(*by))
-        .groupBy(*keys, *tracks, *also, cell.alias("_cell"))
+        df.withColumns({"_hash": F.xxhash64(*by), "_track": F.lit(0) if track is None else track})
+        .groupBy(*keys, "_track", *also, cell.alias("_cell"))
         .agg(
             F.min(ts).alias("session_start"),
             F.max(ts).alias("session_end"),
@@ -63,23 +64,24 @@ def gap_sessions(
         .repartition(*by)
     )
 
-    on_track = (
-        Window.partitionBy(*keys, *tracks)
-        .orderBy(F.col("session_start").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # All windows share one order, so that rows are sorted once.
+    in_order = Window.partitionBy(*keys).orderBy(F.col("session_start").asc_nulls_last(), "_track")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     # Peers are counted together, so one of them starting a session is enough.
-    in_order = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("session_start").asc_nulls_last(), *[F.col(t).asc_nulls_first() for t in tracks])
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = in_order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def on(number: int) -> Column:
+        return F.col("_track") == number
+
+    last_on_track = F.coalesce(
+        *[F.when(on(n), F.max(F.when(on(n), F.col("session_end"))).over(before)) for n in range(tracks)]
     )
     starts = F.unix_micros(F.col("session_start").cast("timestamp")) - width > F.unix_micros(
-        F.max("session_end").over(on_track).cast("timestamp")
+        last_on_track.cast("timestamp")
     )
     return (
         cells.withColumn("_starts", F.when(starts, 1).otherwise(0))
-        .withColumn("group_id", F.sum("_starts").over(in_order))
+        .withColumn("group_id", F.sum("_starts").over(so_far))
         .groupBy(*keys, *also, "group_id")
         .agg(
             F.min("session_start").alias("session_start"),

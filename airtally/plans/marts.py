@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airtally.functions.codes import (
+    CODE_TRACKS,
     NO_GAME_CODE,
     NOT_RANKED,
+    code_track,
     is_game,
     normalized_code,
     with_zeros,
@@ -143,7 +145,8 @@ def broadcast(
         "parsed_time",
         gap,
         BROADCAST_MEASURES,
-        track="game_code",
+        track=code_track("game_code"),
+        tracks=CODE_TRACKS,
         split_tracks=F.col("n_game_code") == NO_GAME_CODE,
         also=("platform",),
     )

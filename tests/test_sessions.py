@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from airtally.functions.codes import normalized_code
+from airtally.functions.codes import code_track, normalized_code
 from airtally.operators.sessions import gap_sessions
 
 START = datetime(2024, 1, 1)
@@ -42,7 +42,7 @@ def by_spark(spark, table, gap=GAP):
     df = spark.createDataFrame(table, SCHEMA).withColumn("norm", normalized_code("code"))
     out = gap_sessions(
         df, ["b", "norm"], "ts", gap, MEASURES,
-        track="code", split_tracks=F.col("norm") == "talk", also=("platform",),
+        track=code_track("code"), tracks=3, split_tracks=F.col("norm") == "talk", also=("platform",),
     )
     picked = out.select("b", "norm", "platform", "session_start", "session_end", *MEASURES)
     return sorted(tuple(r) for r in picked.collect())
@@ -149,8 +149,9 @@ def test_hot_key_is_folded_before_it_is_shuffled(spark, code):
     )
     df = hot.withColumn("norm", normalized_code("code"))
     sessions = gap_sessions(
-        df, ["b", "norm"], "ts", GAP, MEASURES, track="code", split_tracks=F.col("norm") == "talk", also=("platform",)
-    )
+        df, ["b", "norm"], "ts", GAP, MEASURES,
+        track=code_track("code"), tracks=3, split_tracks=F.col("norm") == "talk", also=("platform",),
+    )
     out, read = records_read_from_shuffles(spark, sessions.collect)
     assert [(r["rows"], r["total"]) for r in out] == [(100_000, 100_000)]
     # Eight tasks; fifty collect times lie in ten slices.
