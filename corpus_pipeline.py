@@ -3,10 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from airtally.llm import jaccard, langid, lines, packing, quality
+from airtally.llm.common import table
+from airtally.llm.queries import END_ID, SEQUENCE, vocabulary
 from airtally.session import work_folder
 
-STAGES = []
+#: Below this probability of the best language a text is in none that is known.
+LEAST_LANGUAGE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those in no language that the network is sure of, go."""
+    return langid.keep_known(docs, langid.fit(docs), LEAST_LANGUAGE)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules score below one half go."""
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), score_col="_quality")
+    return scored.where(F.col("_quality") >= 0.5).drop("_quality")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated lines go, and documents of which nothing is left; n_chars is counted anew."""
+    kept = lines.drop_repeated_lines(docs, deleted_col="_deleted")
+    kept = kept.where((F.col("_deleted") == 0) | F.col("text").rlike(lines.WORD)).drop("_deleted")
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that five-word shingles link at 0.8, the one of the smallest id stays."""
+    return jaccard.keep_one_of_each(docs, width=5, percent=80)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left as pieces of training sequences."""
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), END_ID, SEQUENCE)
+
+
+STAGES = [
+    ("language", language),
+    ("quality", good_quality),
+    ("line_dedup", line_dedup),
+    ("near_copies", near_copies),
+    ("packing", pack),
+]
 
 #: The stages rest on trained models and on a tokenizer, which SQL can't express.
 ORACLE_SQL = None
@@ -14,7 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; each one's rows are written and read again for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         folder = work_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)

@@ -1,0 +1,90 @@
+"""Line dedup against the definition on plain lists of lines."""
+
+import random
+import re
+
+import pytest
+
+from airtally.llm import lines
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_force(texts, min_words):
+    """What is left of each text, by the definition: texts in order of their ids."""
+    docs = [[(pos, x) for pos, x in enumerate((t or "").split("\n")) if WORD.search(x)] for t in texts]
+    runs = {}
+    for d, doc in enumerate(docs):
+        words = [len(WORD.findall(x)) for _, x in doc]
+        found = set()
+        for i in range(len(doc)):
+            for j in range(i + 1, len(doc) + 1):
+                if sum(words[i:j]) >= min_words:
+                    found.add((i, j))
+                    break
+            for j in range(i, -1, -1):
+                if sum(words[j : i + 1]) >= min_words:
+                    found.add((j, i + 1))
+                    break
+        for i, j in found:
+            runs.setdefault(tuple(x for _, x in doc[i:j]), []).append((d, i, j))
+    gone = [set() for _ in docs]
+    for places in runs.values():
+        first = min(places)
+        for d, i, j in places:
+            if (d, i, j) != first and (d != first[0] or i >= first[2]):
+                gone[d] |= set(range(docs[d][i][0], docs[d][j - 1][0] + 1))
+    return [t if t is None or not g else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g) for t, g in zip(texts, gone, strict=True)]
+
+
+def result(docs, **how):
+    return {r["doc_id"]: r["text"] for r in lines.drop_repeated_lines(docs, **how).collect()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equals_the_definition(documents, seed):
+    pick = random.Random(seed)
+    pool = [" ".join(pick.choices("abcd", k=pick.randrange(0, 6))) for _ in range(12)]
+    blocks = [[pick.choice(pool) for _ in range(pick.randrange(1, 9))] for _ in range(8)]
+    texts = []
+    for _ in range(60):
+        parts = [pick.choice(blocks) if pick.random() < 0.5 else [pick.choice(pool) + str(pick.randrange(40))] for _ in range(pick.randrange(1, 7))]
+        texts.append("\n".join(x for p in parts for x in p))
+    assert result(documents(texts).repartition(3), min_words=6) == dict(enumerate(brute_force(texts, 6)))
+
+
+def test_whole_copies_and_short_lines(documents):
+    long = "\n".join(f"line {k} of a passage of many words" for k in range(8))
+    texts = [f"top\n{long}\nend", "top\nother", long, f"before\n\n{long}\n\nafter", f"{long}\n{long}"]
+    got = result(documents(texts))
+    assert got[0] == texts[0] and got[1] == texts[1]
+    assert got[2] == "" and got[3] == "before\n\n\nafter" and got[4] == ""
+
+
+def test_repetition_within_a_text(documents):
+    texts = ["\n".join(["five words are in here"] * 10)]
+    assert result(documents(texts), min_words=14) == {0: "\n".join(["five words are in here"] * 3)}
+    assert brute_force(texts, 14) == ["\n".join(["five words are in here"] * 3)]
+
+
+def test_edge_rows_and_clashing_names(documents, edges):
+    docs = documents(edges, ("uid", "ranges", "lines", "seq", "doc"))
+    got = lines.drop_repeated_lines(docs, min_words=3, deleted_col="n_deleted")
+    assert got.columns == [*docs.columns, "n_deleted"]
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == dict(enumerate(brute_force(edges, 3)))
+
+
+def test_repeated_rows_and_null_ids(documents):
+    text = "one two three four"
+    rows = lines.drop_repeated_lines(documents([(None, text), (5, text), (5, text)]), min_words=3).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in rows) == [(0, ""), (5, ""), (5, text)]
+
+
+def test_empty_table(documents):
+    assert lines.drop_repeated_lines(documents([])).collect() == []
+
+
+def test_no_python_in_the_plan(documents):
+    docs = documents(["a b c\nd e f", "a b c\nd e f"])
+    plan = lines.drop_repeated_lines(docs, min_words=3)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
