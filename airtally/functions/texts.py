@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,15 +13,32 @@ def price_from_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[₩,]", "")).try_cast("int")
 
 
+def _character(reference: Column) -> Column:
+    """What stands between & and ; as a character; NULL if it names none."""
+    names = F.create_map(*[F.lit(x) for pair in name2codepoint.items() for x in pair], F.lit("apos"), F.lit(39))
+    number = F.coalesce(
+        F.regexp_extract(reference, r"^#(\d{1,7})$", 1).try_cast("int"),
+        F.conv(F.nullif(F.regexp_extract(reference, r"^#[xX]([0-9A-Fa-f]{1,6})$", 1), F.lit("")), 16, 10).try_cast("int"),
+        F.try_element_at(names, reference),
+    )
+    known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
+
 def plain_text(html: Column) -> Column:
-    """Markup and character references replaced, outer space trimmed.
+    """Markup taken out, character references decoded once, outer white space trimmed.
 
-    Numeric references go as well: their digits are not part of the text.
+    A reference that names no character stays as it is. No-break spaces become spaces.
     """
-    no_tags = F.regexp_replace(html, r"<[^>]*>", "")
-    no_space = F.regexp_replace(no_tags, r"(?i)&(nbsp|#160|#xa0);| ", " ")
-    amp = F.regexp_replace(F.regexp_replace(F.regexp_replace(no_space, "&lt;", "<"), "&gt;", ">"), "&quot;", '"')
-    return F.regexp_replace(F.regexp_replace(amp, r"&#x?[0-9A-Fa-f]+;", " "), "&amp;", "&")
+    pieces = F.split(F.regexp_replace(html, r"<[^>]*>", ""), "(?=&)")
+
+    def decoded(piece: Column) -> Column:
+        reference = F.regexp_extract(piece, r"^&(#?\w+);", 1)
+        rest = F.substr(piece, F.length(reference) + 3)
+        return F.when(reference == "", piece).otherwise(F.coalesce(F.concat(_character(reference), rest), piece))
+
+    text = F.array_join(F.transform(pieces, decoded), "")
+    return F.regexp_replace(F.translate(text, "\u00a0", " "), r"^\s+|\s+$", "")
 
 
 def trailing_numbers(text: Column) -> Column:

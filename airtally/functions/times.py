@@ -29,8 +29,8 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 
 def collect_time_text(col: str | Column) -> Column:
-    """`2024-1-5 7:30` as `2024-01-05T07:30:00+09:00`."""
-    parsed = F.to_timestamp(col, "yyyy-M-d H:m")
+    """`2024-1-5 7:30` as `2024-01-05T07:30:00+09:00`; text that is no time gives NULL."""
+    parsed = F.try_to_timestamp(col, F.lit("yyyy-M-d H:m"))
     return F.date_format(parsed, f"yyyy-MM-dd'T'HH:mm:ss'{LANDING_OFFSET}'")
 
 

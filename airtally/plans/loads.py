@@ -44,10 +44,9 @@ def broadcast_incremental(
         F.min("parsed_time").alias("session_start"),
         F.max("parsed_time").alias("session_end"),
     )
-    codes = facts.select(F.col("n_game_code").alias("code"))
     game_nm = F.coalesce("dim_game_nm", F.max("n_game_code"))
     return (
-        with_names(folded, codes, streamers, games)
+        with_names(folded, streamers, games)
         .groupBy("streamer_nm", "broadcast_id", "dim_game_nm", "platform")
         .agg(*broadcast_columns(game_nm, as_of))
         .select(*BROADCAST)
@@ -66,15 +65,19 @@ def rows_after_mark(
 
     An empty target has no mark; `bootstrap` then takes every row, otherwise
     none passes. The mark is a scalar subquery, read when the query runs.
-    `partition_date`, the day of a row's folder, lets it prune folders too.
+    `partition_date`, the day of a row's folder on the clock that `column` is in,
+    prunes both sides: the mark is looked for in the target's last folder only,
+    which needs the folders' names, and the source's folders before it are not
+    read.
     """
+    newest = None
+    if partition_date is not None:
+        newest = target.agg(F.max(partition_date)).scalar()
+        target = target.where(partition_date == newest)
     mark = target.agg(F.max(column)).scalar()
     passes = [F.col(column) > mark]
-    if partition_date is not None:
-        # Zoned text starts with the day on the wall, which folders go by. A
-        # condition of its own, so that it only needs the folders' names.
-        mark_day = target.agg(F.max(column).cast("string").substr(1, 10).cast("date")).scalar()
-        passes.append(partition_date >= mark_day)
+    if newest is not None:
+        passes.append(partition_date >= newest)
     for condition in passes:
         source = source.where(condition | mark.isNull() if bootstrap else condition)
     return source

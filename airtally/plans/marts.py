@@ -20,6 +20,7 @@ from airtally.functions.codes import (
     is_game,
     normalized_code,
     with_zeros,
+    without_zeros,
 )
 from airtally.functions.times import (
     day_window,
@@ -30,7 +31,6 @@ from airtally.functions.times import (
     wall_time,
     within_days,
 )
-from airtally.operators.lookups import resolve_codes
 from airtally.operators.ordered import latest_per_key, previous_value, top_per_group
 from airtally.operators.sessions import gap_sessions
 
@@ -49,6 +49,11 @@ def average(column: str, integer: bool) -> Column:
     return F.avg(column)
 
 
+def total_minutes(column: str) -> Column:
+    """The sum of fractional minutes, in whole microseconds: the same in whatever order rows come."""
+    return F.sum(F.round(F.col(column) * 60_000_000).cast("long")) / F.lit(60_000_000.0)
+
+
 def _merged_average(total: str, rows: str, integer: bool) -> Column:
     """The average over rows that are already folded into sums and counts."""
     if integer:
@@ -80,22 +85,36 @@ BROADCAST_MEASURES = {
 }
 
 
-def with_names(facts: DataFrame, codes: DataFrame, streamers: DataFrame, games: DataFrame) -> DataFrame:
+def with_names(facts: DataFrame, streamers: DataFrame, games: DataFrame) -> DataFrame:
     """Streamer's name, and one row per game the code stands for (`dim_game_nm`).
 
-    A third of the facts may have one code. Names are laid out apart from how
-    their codes were made distinct, so that adaptive execution learns their
-    size before the facts are ready: few names are then broadcast, and the
-    facts not shuffled by code at all. With many, a hot code's partition is
-    split, which takes that the rows are laid out anew, by broadcast, before
-    they are grouped: the grouping would otherwise build on the join's layout.
+    A code stands for the games that have it as their first code, and for those
+    that have it, without its zeros, as their second and not as their first too.
+    An OR cannot be hashed, so the games are folded to a row per code of either
+    kind, and the facts meet both by an equal code: no list of their codes is
+    needed. A third of the facts may have one code. Adaptive execution splits its
+    partition, which takes that rows are laid out anew before they are grouped:
+    the grouping would otherwise build on the join's layout.
     """
-    names = resolve_codes(codes, games, ["game_nm"]).select(
-        F.col("code").alias("n_game_code"), F.col("game_nm").alias("dim_game_nm")
+    first = games.where(F.col("chz_game_code").isNotNull()).groupBy(F.col("chz_game_code").alias("n_game_code")).agg(
+        F.collect_list(F.struct("game_nm")).alias("_first")
+    )
+    second = games.where(F.col("afc_game_code").isNotNull()).groupBy(F.col("afc_game_code").alias("_plain")).agg(
+        F.collect_list(F.struct("game_nm", "chz_game_code")).alias("_second")
     )
-    names = names.hint("rebalance")
     known = facts.join(streamers.select("streamer_id", "streamer_nm"), "streamer_id", "left")
-    return known.join(names, "n_game_code", "left").repartition("streamer_nm", "broadcast_id")
+    met = known.join(first, "n_game_code", "left").withColumn("_plain", without_zeros(F.col("n_game_code")))
+    met = met.join(second, "_plain", "left")
+    other = F.filter("_second", lambda g: ~g["chz_game_code"].eqNullSafe(F.col("n_game_code")))
+    names = F.concat(
+        F.coalesce(F.transform("_first", lambda g: g["game_nm"]), F.array().cast("array<string>")),
+        F.coalesce(F.transform(other, lambda g: g["game_nm"]), F.array().cast("array<string>")),
+    )
+    return (
+        met.withColumn("dim_game_nm", F.explode_outer(names))
+        .drop("_plain", "_first", "_second")
+        .repartition("streamer_nm", "broadcast_id")
+    )
 
 
 def broadcast_columns(game_nm: Column, created: date) -> list[Column]:
@@ -150,11 +169,8 @@ def broadcast(
         split_tracks=F.col("n_game_code") == NO_GAME_CODE,
         also=("platform",),
     )
-    # Codes come from a scan of that one column, not from the sessions, which
-    # would otherwise be computed twice.
-    codes = facts.select(F.col("n_game_code").alias("code"))
     return (
-        with_names(sessions, codes, streamers, games)
+        with_names(sessions, streamers, games)
         .groupBy("streamer_nm", "broadcast_id", "dim_game_nm", "platform", "group_id", "n_game_code")
         .agg(*broadcast_columns(F.coalesce("dim_game_nm", "n_game_code"), as_of))
         .select(*BROADCAST)
@@ -164,11 +180,13 @@ def broadcast(
 def game_price(prices: DataFrame, games: DataFrame) -> DataFrame:
     """M3: days a discount starts or ends.
 
-    Prices are made distinct before they are shuffled by name. Two prices on
-    one day are taken in the order of the price.
+    Prices are made distinct before they meet the dimension, and again by name.
+    Two prices on one day are taken in the order of the price.
     """
     named = (
-        prices.join(games.select("game_id", "game_nm", "price"), "game_id")
+        prices.select("game_id", "collect_date", "current_price")
+        .distinct()
+        .join(games.select("game_id", "game_nm", "price"), "game_id")
         .select("game_nm", "price", "collect_date", "current_price")
         .distinct()
     )
@@ -215,7 +233,7 @@ def streamer_count_rank(broadcasts: DataFrame, games: DataFrame, *, as_of: date,
 def streamer_duration_rank(broadcasts: DataFrame, games: DataFrame, *, as_of: date, n: int = 3) -> DataFrame:
     """M5: games a streamer played longest."""
     return _rank_games(
-        broadcasts, games, F.sum("game_duration"), "total_broadcast_duration", "duration_rank", as_of, n
+        broadcasts, games, total_minutes("game_duration"), "total_broadcast_duration", "duration_rank", as_of, n
     )
 
 
@@ -278,7 +296,7 @@ def today_game_rating(ratings: DataFrame, games: DataFrame, *, as_of: date) -> D
 def week_broadcast_duration(broadcasts: DataFrame, *, as_of: date) -> DataFrame:
     """M9: minutes per game and streamer, over all the broadcasts given."""
     return broadcasts.groupBy("game_nm", "streamer_nm").agg(
-        F.sum("game_duration").alias("broadcast_duration"), F.lit(as_of).alias("created_date")
+        total_minutes("game_duration").alias("broadcast_duration"), F.lit(as_of).alias("created_date")
     )
 
 
@@ -309,10 +327,15 @@ def week_game_viewer(
     The two code matches are united as a set, on columns that leave out
     broadcast and platform: equal snapshots at one time count once. A set of
     joined rows is the join of the two sets, so snapshots are made distinct and
-    summed up by hour before they meet a dimension.
+    summed up by hour before they meet a dimension. Those whose code or streamer
+    no dimension has are dropped before that, as they would only be shuffled.
     """
     day = F.to_date("live_collect_time")
-    snapshots = live.select(
+    codes = codes_by_platform(games)
+    known = live.join(codes.select("game_code").distinct(), "game_code", "left_semi").join(
+        streamers.select("streamer_id"), "streamer_id", "left_semi"
+    )
+    snapshots = known.select(
         "game_code",
         "live_collect_time",
         "viewer_num",
@@ -326,7 +349,7 @@ def week_game_viewer(
         F.sum("viewer_num").alias("_viewers"), F.count("viewer_num").alias("_snapshots")
     )
     return (
-        hourly.join(codes_by_platform(games), "game_code")
+        hourly.join(codes, "game_code")
         .join(streamers.select("streamer_id", "streamer_nm"), "streamer_id")
         .groupBy("game_nm", "hour", "streamer_nm", "created_date")
         .agg(_merged_average("_viewers", "_snapshots", integer_avg).alias("viewer_avg"))

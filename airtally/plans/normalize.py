@@ -73,13 +73,8 @@ def live_viewer(documents: DataFrame) -> DataFrame:
     return _conform(rows, "raw_live_viewer", keep)
 
 
-def _elements(documents: DataFrame, platform: str) -> DataFrame:
-    keep = _partitions(documents)
-    return documents.select(F.explode(f"stream_data.{platform}").alias("_e"), *keep).select("_e.*", *keep)
-
-
 def game_ccu(documents: DataFrame) -> DataFrame:
-    """The document's collect time goes to every game in it."""
+    """The document's collect time goes to every game in it; one that can't be read is NULL."""
     keep = _partitions(documents)
     rows = documents.select(F.explode("raw_game_ccu").alias("_e"), "collect_time", *keep).select(
         F.col("_e.game_id").alias("game_id"),
@@ -90,6 +85,15 @@ def game_ccu(documents: DataFrame) -> DataFrame:
     return _conform(rows, "raw_game_ccu", keep)
 
 
+def unreadable_times(documents: DataFrame) -> DataFrame:
+    """The games whose document has a collect time that S2 could not read, for a look at by hand."""
+    return (
+        documents.where(F.col("collect_time").isNotNull() & collect_time_text("collect_time").isNull())
+        .select(F.explode("raw_game_ccu").alias("_e"), "collect_time")
+        .select(F.col("_e.game_id").cast("string").alias("game_id"), F.col("collect_time").alias("time_text"))
+    )
+
+
 def game_price(documents: DataFrame, collect_date: str, *, drop_failed: bool = False) -> DataFrame:
     """S3. `collect_date` is the job's argument, as `2024-1-5`.
 
@@ -143,36 +147,48 @@ def followers(documents: DataFrame, on: tuple[str, ...] = ("streamer_id", "colle
     By default a poll's row meets the same poll's row. With
     `on=("streamer_id",)` every row of a streamer meets every row of the other
     platform: the same over one poll, and n * m rows over a day of hourly ones.
+    A full join of the two sides, done by one explode and one grouping, so that
+    documents are read and parsed once.
     """
     keep = _partitions(documents)
-    first = _elements(documents, "chzzk").select(
-        "streamer_id",
-        F.col("current_time").alias("_first_time"),
-        F.col("content.followerCount").alias("chz_follower_num"),
-        *keep,
-    )
-    second = _elements(documents, "afreeca").select(
-        "streamer_id",
-        F.col("current_time").alias("_second_time"),
-        F.col("broad_info.station.upd.fan_cnt").alias("afc_follower_num"),
-        *keep,
-    )
+    kind = SILVER["followers"]["chz_follower_num"].dataType
+
+    def tagged(side: str, count: str):
+        def row(element: Column) -> Column:
+            value = element
+            for name in count.split("."):
+                value = value[name]
+            return F.struct(
+                F.lit(side).alias("side"),
+                element["streamer_id"].cast("string").alias("streamer_id"),
+                element["current_time"].alias("time"),
+                value.cast(kind).alias("n"),
+            )
+
+        return F.coalesce(F.transform(f"stream_data.{side}", row), F.array())
+
+    both = F.concat(tagged("chzzk", "content.followerCount"), tagged("afreeca", "broad_info.station.upd.fan_cnt"))
+    rows = documents.select(F.explode(both).alias("_e"), *keep).select("_e.*", *keep)
     keys = ["streamer_id", *keep]
     if "collect_time" in on:
         keys = [*keys, "_poll"]
-        first = first.withColumn("_poll", F.col("_first_time"))
-        second = second.withColumn("_poll", F.col("_second_time"))
-    # Rows without key meet nothing; a full join would still bring them together in one task.
-    first, second = (
-        side.withColumn(
-            "_spread",
-            F.when(F.concat(*keys).isNull(), F.pmod(F.xxhash64(*side.columns), F.lit(256))).otherwise(0),
-        )
-        for side in (first, second)
-    )
+        rows = rows.withColumn("_poll", F.col("time"))
+    # Rows without key meet nothing, and are not brought together either.
+    spread = F.when(F.concat(*[F.col(k).cast("string") for k in keys]).isNull(), F.xxhash64(*rows.columns))
     keys = [*keys, "_spread"]
-    time = F.when(F.col("_first_time") != "", F.col("_first_time")).otherwise(F.col("_second_time"))
-    joined = first.join(second, keys, "full").withColumn("collect_time", time)
+
+    def of(side: str) -> Column:
+        return F.collect_list(F.when(F.col("side") == side, F.struct("time", "n")))
+
+    met = rows.withColumn("_spread", spread).groupBy(*keys).agg(of("chzzk").alias("_a"), of("afreeca").alias("_b"))
+    pairs = met.select(*keys, F.explode_outer("_a").alias("_a"), "_b").select(*keys, "_a", F.explode_outer("_b").alias("_b"))
+    joined = pairs.select(
+        "streamer_id",
+        F.when(F.col("_a.time") != "", F.col("_a.time")).otherwise(F.col("_b.time")).alias("collect_time"),
+        F.col("_a.n").alias("chz_follower_num"),
+        F.col("_b.n").alias("afc_follower_num"),
+        *keep,
+    )
     return _conform(joined, "followers", keep)
 
 

@@ -7,10 +7,11 @@ from datetime import date, datetime, time, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airtally.functions.times import day_window, landing_days, partition_date
 from airtally.plans import loads, marts, normalize
-from airtally.schemas import partition_columns
+from airtally.schemas import SILVER, partition_columns
 from airtally.sinks import writers
 from airtally.sources import landing, tables
 
@@ -41,12 +42,13 @@ def normalize_table(
 ) -> None:
     """One day's, or hour's, documents of a table. Run again, it replaces its own folders."""
     documents = landing.read_documents(spark, root, table, first=day, hour=hour, multiline=multiline)
-    rows = transform_for(table, day)(documents)
+    rows, keys = transform_for(table, day)(documents), partition_columns(table)
     writers.overwrite_partitions(
         rows,
         tables.table_folder(root, "parquet", table),
-        partition_columns(table),
+        keys,
         sort_within=["platform"] if "platform" in rows.columns else None,
+        owned=documents.select(*keys),
     )
 
 
@@ -54,25 +56,57 @@ def mart_folder(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/analytics/{name}"
 
 
+def read_broadcasts(spark: SparkSession, root: str) -> DataFrame:
+    """The broadcast mart: the version published last, and the days added to that version since."""
+    folder = mart_folder(root, "anal_broadcast")
+    base = tables.current_version(spark, folder)
+    rows = tables.read_mart(spark, folder) if base else None
+    try:
+        schema = rows.schema if rows is not None else None
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        added = reader.parquet(_increments(folder, base))
+    except AnalysisException as missing:
+        if rows is None or not landing.is_missing(missing):
+            raise
+        return rows
+    return added if rows is None else rows.unionByName(added.select(*rows.columns))
+
+
+def _increments(folder: str, base: tuple[int, str] | None) -> str:
+    """Where the days added to a version lie; without a version, those before the first one."""
+    return f"{folder}/increments/{f'{base[0]:08d}-{base[1]}' if base else 'none'}"
+
+
 def refresh_broadcasts(
     spark: SparkSession, root: str, streamers: DataFrame, games: DataFrame, *, as_of: date, full: bool = True
 ) -> DataFrame:
-    """The broadcast mart, by one writer of two: rebuilt as a whole, or with the last day's rows added."""
+    """The broadcast mart, by one writer of two: rebuilt as a whole, or with the last day's rows added.
+
+    A day is a partition of the increments of the current version, so adding it
+    again replaces it. Readers get both (`read_broadcasts`).
+    """
+    folder = mart_folder(root, "anal_broadcast")
     if full:
         live = tables.read_normalized(spark, root, "raw_live_viewer")
-        folder = mart_folder(root, "anal_broadcast")
         writers.publish(
             marts.broadcast(live, streamers, games, as_of=as_of),
             folder,
             sort_within=["streamer_nm", "broadcast_id", "broadcast_start_time"],
         )
-        return tables.read_mart(spark, folder)
-    first, last = landing_days(*day_window(as_of, loads.DAY_START, loads.ZONE))
-    live = tables.read_normalized(spark, root, "raw_live_viewer", first=first, last=last)
-    folder = mart_folder(root, "anal_broadcast_incremental")
-    rows = loads.broadcast_incremental(live, streamers, games, as_of=as_of)
-    writers.overwrite_partitions(rows, folder, ["created_date"])
-    return spark.read.parquet(folder)
+    else:
+        first, last = landing_days(*day_window(as_of, loads.DAY_START, loads.ZONE))
+        live = tables.read_normalized(spark, root, "raw_live_viewer", first=first, last=last)
+        rows = loads.broadcast_incremental(live, streamers, games, as_of=as_of)
+        add_broadcasts(rows, folder, as_of)
+    return read_broadcasts(spark, root)
+
+
+def add_broadcasts(rows: DataFrame, folder: str, as_of: date) -> None:
+    """One day's broadcasts, in place of what that day had added before."""
+    spark = rows.sparkSession
+    owned = spark.createDataFrame([(as_of,)], "created_date date")
+    target = _increments(folder, tables.current_version(spark, folder))
+    writers.overwrite_partitions(rows, target, ["created_date"], owned=owned)
 
 
 def refresh_marts(
@@ -118,24 +152,31 @@ def refresh_marts(
     return list(built)
 
 
-def load_raw_ccu(spark: SparkSession, root: str) -> None:
-    """M14 with its target: rows past the mark, added under the raw copy's own folders.
+def load_raw_ccu(spark: SparkSession, root: str, load: str) -> None:
+    """M14 with its target: rows past the mark of earlier loads, as one load under a name of its own.
 
-    The rows of a day are read from the mark's folder on, but only those past
-    the mark are added, so files are appended and none is replaced. A run that
-    fails before its files are committed leaves the mark where it was.
+    Loads are named so that they sort as they are run (a day, say). The same
+    load run again, also after a failure, finds the same mark and takes the
+    place of itself.
     """
     folder = f"{root.rstrip('/')}/raw_data/raw_game_ccu"
     source = tables.read_normalized(spark, root, "raw_game_ccu")
-    target = _raw_or_empty(spark, folder, source)
+    target = read_raw_ccu(spark, root).where(F.col("load") < load)
     rows = loads.rows_after_mark(source, target, partition_date=partition_date())
-    rows.write.mode("append").partitionBy("year", "month", "day").parquet(folder)
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("year", "month", "day")
+        .parquet(f"{folder}/load={load}")
+    )
 
 
-def _raw_or_empty(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+def read_raw_ccu(spark: SparkSession, root: str) -> DataFrame:
+    """The raw copy with the name of each row's load."""
+    schema = landing._with_folder_keys(SILVER["raw_game_ccu"], "raw_game_ccu").add("load", "string")
     try:
-        return spark.read.schema(like.schema).parquet(folder)
+        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/raw_data/raw_game_ccu")
     except AnalysisException as missing:
         if landing.is_missing(missing):
-            return like.where("false")
+            return spark.createDataFrame([], schema)
         raise

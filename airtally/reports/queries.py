@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -13,7 +14,7 @@ from airtally.operators.lookups import attach_or_blank, resolve_codes
 from airtally.operators.ordered import running_sum
 from airtally.operators.sessions import gap_sessions
 from airtally.functions.codes import with_zeros
-from airtally.plans import loads, marts, normalize, shaping
+from airtally.plans import loads, marts, normalize, refresh, shaping
 from airtally.reports import views
 from airtally.session import work_folder
 from airtally.sinks import writers
@@ -184,7 +185,12 @@ def s1_live_viewer(spark, sf_dir):
 
 @query
 def s2_game_ccu(spark, sf_dir):
-    return normalize.game_ccu(views.ccu_documents(spark, sf_dir))
+    return normalize.game_ccu(views.ccu_documents(spark, sf_dir, unreadable=True))
+
+
+@query
+def s2_unreadable_times(spark, sf_dir):
+    return normalize.unreadable_times(views.ccu_documents(spark, sf_dir, unreadable=True))
 
 
 @query
@@ -446,6 +452,7 @@ def sc5_only_new_files(spark, sf_dir):
             out,
             f"{root}/checkpoint",
             keys=["year", "month", "day"],
+            again=lambda first, last: landing.read_documents(spark, root, "raw_game_ccu", first=first, last=last, multiline=False),
         )
         streams.run_to_end(query)
     return spark.read.parquet(out).select("game_id", "collect_time", "game_ccu")
@@ -466,6 +473,53 @@ def sk2_spread_by_platform(spark, sf_dir):
     return writers.spread_by(rows, "platform", 16)
 
 
+@query
+def sk1_fewer_rows(spark, sf_dir):
+    """A rerun without rows for some of the days that it answers for leaves none of the earlier run there."""
+    root, keys = _ccu_written(spark, sf_dir), ["year", "month", "day"]
+    rows = views.ccu(spark, sf_dir)
+    writers.overwrite_partitions(
+        rows.where("day % 2 = 0"), tables.table_folder(root, "parquet", "raw_game_ccu"), keys, owned=rows.select(*keys)
+    )
+    return tables.read_normalized(spark, root, "raw_game_ccu").select("game_id", "collect_time", "game_ccu")
+
+
+@query
+def sk3_rows_per_file(spark, sf_dir):
+    """Rows by file, which hold no more of them than asked for."""
+    folder = work_folder(spark, "files")
+    writers.overwrite_partitions(views.ccu(spark, sf_dir), folder, ["year", "month"], rows_per_file=500)
+    files = spark.read.parquet(folder).groupBy("year", "month", F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return files.groupBy("year", "month").agg(F.sum("n").alias("total"), (F.max("n") <= 500).alias("within"))
+
+
+@query
+def sk6_register(spark, sf_dir):
+    """A folder made a table, then registered again after more partitions have come; the table is dropped at last."""
+    folder, name = work_folder(spark, "registered"), f"airtally_{uuid.uuid4().hex}"
+    rows = views.ccu(spark, sf_dir)
+    try:
+        for part in (rows.where("day < 15"), rows.where("day >= 15")):
+            writers.overwrite_partitions(part, folder, ["year", "month", "day"])
+            writers.register(spark, name, folder)
+        counted = spark.table(name).groupBy("year", "month", "day").agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(counted, "year int, month int, day int, n bigint")
+
+
+@query
+def sk4_two_publications(spark, sf_dir):
+    """What a reader opened before two more publications still has, and what a new one gets."""
+    folder, games = work_folder(spark, "versions"), views.games(spark, sf_dir).select("game_id")
+    writers.publish(games, folder)
+    early = tables.read_mart(spark, folder)
+    for kept in ("cast(game_id as bigint) % 2 = 0", "cast(game_id as bigint) % 3 = 0"):
+        writers.publish(games.where(kept), folder)
+    late = tables.read_mart(spark, folder)
+    return early.withColumn("reader", F.lit("early")).unionByName(late.withColumn("reader", F.lit("late")))
+
+
 @query
 def sk4_full_refresh(spark, sf_dir):
     """A mart published twice; readers get the second version."""
@@ -488,11 +542,13 @@ def sk5_append_increment(spark, sf_dir):
 
 @query
 def sk7_landing_layout(spark, sf_dir):
+    """Documents landed by a run that is run twice."""
     folder = work_folder(spark, "layout")
     rows = views.table(spark, sf_dir, "events").select("event_id", "ts")
-    writers.land(rows, folder, "ts")
-    schema = "event_id bigint, year int, month int, day int, hour int"
-    return spark.read.schema(schema).json(folder)
+    for _ in range(2):
+        writers.land(rows, folder, "ts", poll="first")
+    schema = "event_id bigint, year int, month int, day int, hour int, poll string"
+    return spark.read.schema(schema).json(folder).drop("poll")
 
 
 # --- streams ---------------------------------------------------------------------
@@ -504,10 +560,11 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.withColumn("viewers", F.floor("value").cast("bigint"))
 
 
-def _complete(spark: SparkSession, results: DataFrame, name: str) -> DataFrame:
+def _closed(spark: SparkSession, results: DataFrame, name: str) -> DataFrame:
+    """What the stream has closed at its end."""
     root = work_folder(spark, name)
-    streams.run_to_end(streams.write_complete(results, f"{root}/table", f"{root}/checkpoint"))
-    return spark.read.parquet(f"{root}/table")
+    streams.run_to_end(streams.write_windows(results, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.schema(results.schema).parquet(f"{root}/table").select(*results.columns)
 
 
 @query
@@ -521,18 +578,39 @@ def st1_normalize_stream(spark, sf_dir):
         out,
         f"{root}/checkpoint",
         keys=["year", "month", "day"],
+        again=lambda first, last: landing.read_documents(spark, root, "raw_live_viewer", first=first, last=last, multiline=False),
     )
     streams.run_to_end(query)
     return spark.read.parquet(out).drop("year", "month", "day", "hour")
 
 
+@query
+def st1_stream_and_batch(spark, sf_dir):
+    """A table written by the stream, two days of it again by the batch job; whole, and by a long range, the same rows."""
+    root = work_folder(spark, "both")
+    documents = views.ccu_documents(spark, sf_dir)
+    _landed(spark, root, "raw_game_ccu", documents.withColumn("taken", F.to_timestamp("collect_time", "yyyy-M-d H:m")), "taken")
+
+    def again(first, last):
+        return landing.read_documents(spark, root, "raw_game_ccu", first=first, last=last, multiline=False)
+
+    out, keys = tables.table_folder(root, "parquet", "raw_game_ccu"), ["year", "month", "day"]
+    stream = landing.stream_documents(spark, root, "raw_game_ccu", multiline=False)
+    streams.run_to_end(streams.normalize_stream(stream, normalize.game_ccu, out, f"{root}/checkpoint", keys=keys, again=again))
+    writers.overwrite_partitions(normalize.game_ccu(again(date(2024, 1, 5), date(2024, 1, 6))), out, keys)
+    whole = tables.read_normalized(spark, root, "raw_game_ccu")
+    ranged = tables.read_normalized(spark, root, "raw_game_ccu", first=date(2023, 1, 1), last=date(2024, 12, 31))
+    columns = ["game_id", "collect_time", "game_ccu"]
+    return whole.select(*columns).withColumn("read", F.lit("whole")).unionByName(ranged.select(*columns).withColumn("read", F.lit("range")))
+
+
 @query
 def st2_session_stream(spark, sf_dir):
     measures = {"snapshots": ("count", "viewers"), "max_viewers": ("max", "viewers"), "viewers": ("sum", "viewers")}
     sessions = streams.session_stream(
         _event_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "24 hours", "1 hour", measures
     )
-    return _complete(spark, sessions, "sessions")
+    return _closed(spark, sessions, "sessions")
 
 
 @query
@@ -540,7 +618,7 @@ def st3_hourly_average(spark, sf_dir):
     averages = streams.window_average(
         _event_stream(spark, sf_dir), ["event_type"], "ts", "viewers", "viewer_avg", "1 hour", "1 hour"
     )
-    return _complete(spark, averages, "hourly")
+    return _closed(spark, averages, "hourly")
 
 
 @query
@@ -548,7 +626,33 @@ def st4_sliding_day_average(spark, sf_dir):
     averages = streams.window_average(
         _event_stream(spark, sf_dir), ["event_type"], "ts", "viewers", "viewer_avg", "1 hour", "24 hours", "1 hour"
     )
-    return _complete(spark, averages, "sliding")
+    return _closed(spark, averages, "sliding")
+
+
+@query
+def st7_late_rows(spark, sf_dir):
+    """Hourly averages of a stream whose second run brings rows that are too late."""
+    root, events = work_folder(spark, "late"), views.table(spark, sf_dir, "events").select("event_type", "ts", "value")
+    for part in ("ts >= '2024-01-10'", "ts < '2024-01-10'"):
+        events.where(part).write.mode("append").parquet(f"{root}/in")
+        rows = spark.readStream.schema(events.schema).parquet(f"{root}/in").withColumn("viewers", F.floor("value").cast("bigint"))
+        averages = streams.window_average(rows, ["event_type"], "ts", "viewers", "viewer_avg", "1 hour", "1 hour")
+        streams.run_to_end(streams.write_windows(averages, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.schema(averages.schema).parquet(f"{root}/table").select(*averages.columns)
+
+
+@query
+def sc4_base_and_days(spark, sf_dir):
+    """The broadcast mart published, a day added to it twice, and a mart over both."""
+    root = work_folder(spark, "mart")
+    folder = refresh.mart_folder(root, "anal_broadcast")
+    writers.publish(_broadcasts(spark, sf_dir), folder)
+    day = loads.broadcast_incremental(
+        views.live(spark, sf_dir), views.streamers(spark, sf_dir), views.games(spark, sf_dir), as_of=AS_OF
+    )
+    for _ in range(2):
+        refresh.add_broadcasts(day, folder, AS_OF)
+    return marts.week_broadcast_duration(refresh.read_broadcasts(spark, root), as_of=AS_OF)
 
 
 @query
@@ -579,11 +683,6 @@ def st6_increment_stream(spark, sf_dir):
 # --- single relational operators ---------------------------------------------------
 
 
-@query
-def f6_case_predicate(spark, sf_dir):
-    return shaping.select_targets(views.games(spark, sf_dir), date(2024, 1, 20)).select("game_id")
-
-
 @query
 def j3_full_outer_using(spark, sf_dir):
     orders = views.table(spark, sf_dir, "orders").selectExpr("cast(o_custkey as string) key").distinct()
@@ -605,4 +704,4 @@ def w3_running_sum(spark, sf_dir):
         "user_id", "event_id", "ts", "cast(floor(value) as bigint) viewers"
     )
     day = F.to_date("ts")
-    return running_sum(rows, ["user_id"], ["ts"], "viewers", "running", day).select("user_id", "event_id", "running")
+    return running_sum(rows, ["user_id"], ["ts", "event_id"], "viewers", "running", day).select("user_id", "event_id", "running")

@@ -17,15 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`part` as the game dimension. Neighbours of one type share a name."""
+    """`part` as the game dimension. Neighbours of one type share a name; some have one code, or none."""
     return table(spark, sf_dir, "part").selectExpr(
         "cast(p_partkey as string) game_id",
         "concat(p_type, ' ', cast(p_partkey div 2 as string)) game_nm",
         "case p_size % 3 when 0 then 'T' when 1 then 'F' else 'N' end is_top300",
         "date_add(date'2024-01-01', p_size) redo_time",
         "concat('https://img.example.com/', p_partkey) game_banner_url",
-        "concat('G', p_partkey) chz_game_code",
-        "cast(p_partkey as string) afc_game_code",
+        "case p_partkey % 7 when 1 then '' when 3 then null else concat('G', p_partkey) end chz_game_code",
+        "case when p_partkey % 500 = 1 then '' when p_partkey % 5 = 2 then null else cast(p_partkey as string) end afc_game_code",
         "cast(round(p_retailprice * 100) as int) price",
     )
 
@@ -138,10 +138,11 @@ def live_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(documents, "raw_live_viewer")
 
 
-def ccu_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A document per event, of two games, its time parts not padded."""
+def ccu_documents(spark: SparkSession, sf_dir: str, unreadable: bool = False) -> DataFrame:
+    """A document per event, of two games, its time parts not padded; some times are no times if asked for."""
+    time = "date_format(ts, 'yyyy-M-d H:m')"
     documents = table(spark, sf_dir, "events").selectExpr(
-        "date_format(ts, 'yyyy-M-d H:m') collect_time",
+        f"case when user_id % 11 = 3 then 'bad' else {time} end collect_time" if unreadable else f"{time} collect_time",
         """array(named_struct('player_count', cast(floor(value) as int), 'result', 1, 'game_id', user_id),
                  named_struct('player_count', cast(floor(value) as int) + 1, 'result', 1,
                               'game_id', user_id + 1000000)) raw_game_ccu""",
@@ -220,12 +221,12 @@ def store_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`pages` with their navigation links as a chart table, link in the third cell."""
+    """`pages` with their navigation links as a chart table, link in the third cell, references in the names."""
     nav = F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1)
     rows = F.regexp_replace(
         nav,
         r'<li><a href="(/[^"]*)">([^<]*)</a></li>',
-        '<tr class="app"><td>1</td><td></td><td><a href="/app$1/">$2</a></td></tr>',
+        '<tr class="app"><td>1</td><td></td><td><a href="/app$1/"> $2&#039;s &amp;lt; &eacute;&#x2122;&nbsp;&nope; </a></td></tr>',
     )
     return table(spark, sf_dir, "pages").select(
         "page_id",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtally.functions.times import landing_parts
-from airtally.sources.tables import current_version, slot_folder
+from airtally.sources.landing import is_missing
+from airtally.sources.tables import current_version, published, version_folder
 
 
 def spread_by(df: DataFrame, column: str, tasks_per_value: int) -> DataFrame:
@@ -26,9 +30,13 @@ def overwrite_partitions(
     *,
     sort_within: list[str] | None = None,
     rows_per_file: int | None = None,
+    owned: DataFrame | None = None,
 ) -> None:
     """SK1, SK5: write the partitions that `df` has rows for, in place of what they held.
 
+    `owned` names the partitions that a run answers for, as rows of `keys`: those
+    it has no rows for are emptied, so that nothing of an earlier run stays.
+
     Rows are brought together by partition before they are written, so there is
     no file per task and partition. Files get their size from adaptive
     execution's advisory size and `rows_per_file` (SK3); a single file would
@@ -45,6 +53,22 @@ def overwrite_partitions(
         .partitionBy(*keys)
         .parquet(folder)
     )
+    if owned is not None:
+        # A row per partition of one run; few, however large the table.
+        empty = owned.select(*keys).distinct().join(df.select(*keys).distinct(), keys, "left_anti").collect()
+        for row in empty:
+            path = "/".join([folder.rstrip("/"), *(f"{k}={row[k]}" for k in keys)])
+            if _holds_files(df.sparkSession, path):
+                df.drop(*keys).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.format("binaryFile").load(path).inputFiles())
+    except AnalysisException as missing:
+        if is_missing(missing):
+            return False
+        raise
 
 
 def append_increment(df: DataFrame, folder: str, load_key: str, load: Column) -> None:
@@ -55,18 +79,33 @@ def append_increment(df: DataFrame, folder: str, load_key: str, load: Column) ->
 def publish(df: DataFrame, folder: str, *, sort_within: list[str] | None = None) -> int:
     """SK4: replace a mart as a whole.
 
-    The rows go to the slot no reader is pointed at; one appended log line then
-    makes it current. A failure before that line leaves the old version in place.
+    The rows go to a folder of their own; one appended log line then makes it
+    current. A failure before that line leaves the old version in place, readers
+    go on with the version they opened, and two publishers at once never write
+    one folder. Old versions stay until `expire` removes them.
     """
     spark = df.sparkSession
-    version = (current_version(spark, folder) or 0) + 1
+    version = (current_version(spark, folder) or (0,))[0] + 1
+    mark = uuid.uuid4().hex[:12]
     rows = df.sortWithinPartitions(*sort_within) if sort_within else df
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(slot_folder(folder, version))
-    log = spark.range(version, version + 1, 1, 1).withColumnRenamed("id", "version")
+    rows.write.mode("errorifexists").parquet(version_folder(folder, version, mark))
+    log = spark.range(version, version + 1, 1, 1).select(F.col("id").alias("version"), F.lit(mark).alias("mark"))
     log.write.mode("append").json(f"{folder.rstrip('/')}/published")
     return version
 
 
+def expire(spark: SparkSession, folder: str, keep: int) -> list[str]:
+    """SK4: empty the folders of all but the last `keep` published versions; readers of older ones must have ended."""
+    log = published(spark, folder)
+    rows = log.orderBy(F.desc("version"), F.desc("mark")).collect() if log is not None else []
+    old = [version_folder(folder, r["version"], r["mark"]) for r in rows[max(1, keep) :]]
+    for path in old:
+        if _holds_files(spark, path):
+            none = spark.read.parquet(path).limit(0)
+            spark.createDataFrame([], none.schema).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return old
+
+
 def register(spark: SparkSession, name: str, folder: str) -> None:
     """SK6: make a folder of partitions a table; run again to add new partitions."""
     if not spark.catalog.tableExists(name):
@@ -76,14 +115,21 @@ def register(spark: SparkSession, name: str, folder: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def land(df: DataFrame, folder: str, ts: str, *, hourly: bool = True) -> None:
-    """SK7: write documents under year, month, day[, hour] of their time on the collectors' clock."""
+def land(df: DataFrame, folder: str, ts: str, *, poll: str | None = None, hourly: bool = True) -> None:
+    """SK7: write documents under year, month, day[, hour] of their time on the collectors' clock.
+
+    `poll` names a run of a collector: its documents lie in folders of that
+    name below these, and the same run again takes the place of itself. All of a
+    table's documents are landed with it or all without.
+    """
     keys = ["year", "month", "day", "hour"] if hourly else ["year", "month", "day"]
+    rows = landing_parts(df, ts, hourly).drop(ts)
+    if poll is not None:
+        rows, keys = rows.withColumn("poll", F.lit(poll)), [*keys, "poll"]
     (
-        landing_parts(df, ts, hourly)
-        .drop(ts)
-        .hint("rebalance", *[F.col(k) for k in keys])
-        .write.mode("append")
+        rows.hint("rebalance", *[F.col(k) for k in keys])
+        .write.mode("append" if poll is None else "overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .json(folder)
     )

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StructType
 
 from airtally.functions.times import within_days
@@ -18,44 +17,19 @@ def table_folder(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/source/{layer}/table_name={table}"
 
 
-# Up to so many folders are named one by one instead of listing the whole table.
-NAMED_FOLDERS = 400
-
-
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_folders(
-    reader: DataFrameReader,
-    load: Callable[[DataFrameReader, list[str]], DataFrame],
-    folder: str,
-    first: date | None,
-    last: date | None,
-    hour: int | None = None,
-) -> DataFrame:
+def in_folders(rows: DataFrame, first: date | None, last: date | None, hour: int | None = None) -> DataFrame:
     """The days first..last of a table, or all of it.
 
-    A few days are read by their folders' names, so that a job of one hour does
-    not list years of files. If one of them is not there, the table is listed
-    and filtered.
+    Any number of days is the same read of the table's root, and the days are a
+    condition on the folders' keys, which prunes files by their folders' names.
     """
     if first is None:
-        return load(reader, [folder])
-    last = last or first
-    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
-    part = "" if hour is None else f"/hour={hour}"
-    named = [f"{folder}/year={d.year}/month={d.month}/day={d.day}{part}" for d in days]
-    if len(named) <= NAMED_FOLDERS:
-        try:
-            rows = load(reader.option("basePath", folder), named)
-        except AnalysisException as error:
-            if not is_missing(error):
-                raise
-            rows = load(reader, [folder])
-    else:
-        rows = load(reader, [folder])
-    rows = within_days(rows, first, last)
+        return rows
+    rows = within_days(rows, first, last or first)
     return rows if hour is None else rows.where(rows["hour"] == hour)
 
 
@@ -84,8 +58,7 @@ def read_documents(
     reader = spark.read.schema(_with_folder_keys(LANDING[table], table)).option(
         "multiLine", table in MULTILINE if multiline is None else multiline
     )
-    folder = table_folder(root, "json", table)
-    return read_folders(reader, lambda r, paths: r.json(paths), folder, first, last, hour)
+    return in_folders(reader.json(table_folder(root, "json", table)), first, last, hour)
 
 
 def stream_documents(
@@ -96,9 +69,14 @@ def stream_documents(
     files_per_batch: int | None = None,
     multiline: bool | None = None,
 ) -> DataFrame:
-    """SC5: a stream of documents; its checkpoint remembers which files have been read."""
-    reader = spark.readStream.schema(_with_folder_keys(LANDING[table], table)).option(
-        "multiLine", table in MULTILINE if multiline is None else multiline
+    """SC5: a stream of documents; its checkpoint remembers which files have been read.
+
+    No file is too old to be read: the source's own limit is a week.
+    """
+    reader = (
+        spark.readStream.schema(_with_folder_keys(LANDING[table], table))
+        .option("multiLine", table in MULTILINE if multiline is None else multiline)
+        .option("maxFileAge", "36500d")
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtally.schemas import SILVER, partition_columns
-from airtally.sources.landing import _with_folder_keys, is_missing, read_folders, table_folder
+from airtally.sources.landing import _with_folder_keys, in_folders, is_missing, table_folder
 
 
 def read_normalized(
@@ -17,8 +17,7 @@ def read_normalized(
 ) -> DataFrame:
     """SC2: a normalised table, its folder keys as columns. Only the days asked for are read."""
     reader = spark.read.schema(_with_folder_keys(SILVER[table], table))
-    folder = table_folder(root, "parquet", table)
-    return read_folders(reader, lambda r, paths: r.parquet(*paths), folder, first, last)
+    return in_folders(reader.parquet(table_folder(root, "parquet", table)), first, last)
 
 
 def stream_normalized(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -60,20 +59,26 @@ def read_mart(spark: SparkSession, folder: str) -> DataFrame:
     current = current_version(spark, folder)
     if current is None:
         raise FileNotFoundError(f"nothing has been published in {folder}")
-    return spark.read.parquet(slot_folder(folder, current))
+    return spark.read.parquet(version_folder(folder, *current))
 
 
-def current_version(spark: SparkSession, folder: str) -> int | None:
-    """The last line of the mart's log, which holds one small row per publication."""
+def published(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The mart's log: a small row per publication, its number and its folder's mark."""
     try:
-        log = spark.read.schema("version long").json(f"{folder.rstrip('/')}/published")
+        return spark.read.schema("version long, mark string").json(f"{folder.rstrip('/')}/published")
     except AnalysisException as missing:
         if is_missing(missing):
             return None
         raise
-    return log.agg(F.max("version")).first()[0]
 
 
-def slot_folder(folder: str, version: int) -> str:
-    """Two slots take turns, so a refresh never writes where readers of the current version read."""
-    return f"{folder.rstrip('/')}/slot={version % 2}"
+def current_version(spark: SparkSession, folder: str) -> tuple[int, str] | None:
+    """Number and mark of the last publication; of two with one number, the larger mark."""
+    log = published(spark, folder)
+    row = log.agg(F.max(F.struct("version", "mark"))).first()[0] if log is not None else None
+    return (row["version"], row["mark"]) if row else None
+
+
+def version_folder(folder: str, version: int, mark: str) -> str:
+    """Each publication has a folder of its own, so none is ever written where another is read."""
+    return f"{folder.rstrip('/')}/versions/{version:08d}-{mark}"

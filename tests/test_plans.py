@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from airtally.operators.lookups import resolve_codes
 from airtally.plans.marts import with_names
+from airtally.reports.queries import QUERIES
 from conftest import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -17,7 +18,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in contract.queries() if not n.startswith(WRITES)))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITES)))
 def test_no_nested_loops_and_no_python_rows(name, spark):
     plan = plan_of(contract.queries()[name](spark, SF_DIR))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "EvalPython", "InPandas"):
@@ -59,11 +60,10 @@ def test_hot_code_is_split_where_names_are_joined(spark, games, streamers):
         "uuid() title",
     )
     names = games({"game_id": "1", "game_nm": "Hot", "chz_game_code": "hot"}, {"game_id": "2", "game_nm": "Seven", "chz_game_code": "g7"})
-    codes = facts.select(F.col("n_game_code").alias("code"))
     for key, value in SKEW.items():
         spark.conf.set(key, value)
     try:
-        named = with_names(facts, codes, streamers(), names)
+        named = with_names(facts, streamers(), names)
         out = named.groupBy("streamer_nm", "broadcast_id", "dim_game_nm", "n_game_code").agg(F.min("title"))
         counts = out.groupBy("dim_game_nm").count()
         got = {r["dim_game_nm"]: r["count"] for r in counts.collect()}
