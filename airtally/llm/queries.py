@@ -109,13 +109,13 @@ def op10_token_counts(spark, sf_dir):
 ORACLES["op4_ngram_jaccard"] = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 ), sets AS (
     SELECT doc_id, list_distinct(CASE
         WHEN len(w) = 0 THEN []
         WHEN len(w) < 3 THEN [w]
-        ELSE list_transform(range(1, len(w) - 1), i -> w[i:i + 2]) END) AS shingles
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END) AS shingles
     FROM words
 ), rows AS (
     SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
