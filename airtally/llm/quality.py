@@ -66,6 +66,8 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
         **{f"{own}share_{c}": F.col(f"{own}{c}") / chars for c in ("upper", "digits", "marks", "symbols", "spaces")},
         f"{own}word_length": chars / F.col(f"{own}words"),
         f"{own}new_words": F.col(f"{own}distinct_words") / F.col(f"{own}words"),
+        # Does not fall with the length of a text as the share itself does.
+        f"{own}variety": F.log1p(f"{own}distinct_words") / F.log1p(f"{own}words"),
         f"{own}new_lines": F.col(f"{own}distinct_lines") / F.col(f"{own}lines"),
         f"{own}line_words": F.col(f"{own}words") / F.col(f"{own}lines"),
     }
