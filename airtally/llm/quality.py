@@ -9,6 +9,7 @@ scoring a corpus is a projection of its scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,56 +23,62 @@ MARKS = ".,;:!?"
 SYMBOLS = "#$%&*|~^@_=+<>{}[]()/\\"
 SPACES = " \n\t\r"
 
-#: Counts that the shares are made of; text is never null here.
-PREFIX = "_q_"
+NAMES = (
+    "length", "share_upper", "share_digits", "share_marks", "share_symbols", "share_spaces",
+    "word_length", "new_words", "variety", "new_lines", "line_words",
+)
 
 
-def _without(text: Column, chars: str) -> Column:
-    """How many of the text's characters are among chars."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body names it.
 
+    Columns that build on each other are not enough for that: a condition on the
+    last one is moved below the first, with all between written out in it.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str]]:
-    """The documents with columns of statistics, and their names. A null text counts as empty.
 
-    Names start with a prefix that is lengthened until no column has it.
-    """
-    own = PREFIX
-    while any(c.lower().startswith(own) for c in docs.columns):
-        own = "_" + own
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    counted = docs.withColumns(
-        {
-            f"{own}n": F.length(text).cast("double"),
-            f"{own}upper": _without(text, UPPER).cast("double"),
-            f"{own}digits": _without(text, DIGITS).cast("double"),
-            f"{own}marks": _without(text, MARKS).cast("double"),
-            f"{own}symbols": _without(text, SYMBOLS).cast("double"),
-            f"{own}spaces": _without(text, SPACES).cast("double"),
-            f"{own}words": F.split(F.translate(text, "\n\t\r", "   "), " "),
-            f"{own}lines": F.split(text, "\n"),
-        }
-    )
-    sized = counted.withColumns(
-        {
-            f"{own}words": F.size(f"{own}words").cast("double"),
-            f"{own}distinct_words": F.size(F.array_distinct(f"{own}words")).cast("double"),
-            f"{own}lines": F.size(f"{own}lines").cast("double"),
-            f"{own}distinct_lines": F.size(F.array_distinct(f"{own}lines")).cast("double"),
-        }
-    )
-    chars = F.greatest(F.col(f"{own}n"), F.lit(1.0))
-    shares = {
-        f"{own}length": F.col(f"{own}n"),
-        **{f"{own}share_{c}": F.col(f"{own}{c}") / chars for c in ("upper", "digits", "marks", "symbols", "spaces")},
-        f"{own}word_length": chars / F.col(f"{own}words"),
-        f"{own}new_words": F.col(f"{own}distinct_words") / F.col(f"{own}words"),
-        # Does not fall with the length of a text as the share itself does.
-        f"{own}variety": F.log1p(f"{own}distinct_words") / F.log1p(f"{own}words"),
-        f"{own}new_lines": F.col(f"{own}distinct_lines") / F.col(f"{own}lines"),
-        f"{own}line_words": F.col(f"{own}words") / F.col(f"{own}lines"),
-    }
-    return sized.select(*[F.col(f"`{c}`") for c in docs.columns], *[v.alias(k) for k, v in shares.items()]), list(shares)
+def _among(text: Column, chars: str) -> Column:
+    """How many of the text's characters are among chars."""
+    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("double")
+
+
+def statistics(text: Column) -> Column:
+    """A struct of the statistics named above. A null text counts as empty."""
+
+    def counts(t: Column) -> Column:
+        return F.struct(
+            F.length(t).cast("double").alias("n"),
+            *[_among(t, c).alias(k) for k, c in (("upper", UPPER), ("digits", DIGITS), ("marks", MARKS), ("symbols", SYMBOLS), ("spaces", SPACES))],
+            F.split(F.translate(t, "\n\t\r", "   "), " ").alias("words"),
+            F.split(t, "\n").alias("lines"),
+        )
+
+    def sizes(c: Column) -> Column:
+        return F.struct(
+            F.greatest(c["n"], F.lit(1.0)).alias("chars"),
+            F.size(c["words"]).cast("double").alias("words"),
+            F.size(F.array_distinct(c["words"])).cast("double").alias("distinct_words"),
+            F.size(c["lines"]).cast("double").alias("lines"),
+            F.size(F.array_distinct(c["lines"])).cast("double").alias("distinct_lines"),
+            c.alias("of"),
+        )
+
+    def shares(d: Column) -> Column:
+        values = (
+            d["of"]["n"],
+            *[d["of"][k] / d["chars"] for k in ("upper", "digits", "marks", "symbols", "spaces")],
+            d["chars"] / d["words"],
+            d["distinct_words"] / d["words"],
+            # Does not fall with the length of a text as the share itself does.
+            F.log1p(d["distinct_words"]) / F.log1p(d["words"]),
+            d["distinct_lines"] / d["lines"],
+            d["words"] / d["lines"],
+        )
+        return F.struct(*[v.alias(k) for k, v in zip(NAMES, values, strict=True)])
+
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    return _let(whole, lambda t: _let(counts(t), lambda c: _let(sizes(c), shares)))
 
 
 Rule = tuple[tuple[int, bool, float], ...]  # of (statistic, whether above, threshold)
@@ -83,13 +90,13 @@ class RuleEnsemble:
     weights: list[float]
     bias: float
 
-    def column(self, names: list[str]) -> Column:
-        """The probability of label 1 as an expression over the named statistics."""
+    def column(self, values: list[Column]) -> Column:
+        """The probability of label 1 as an expression over the statistics, in the order of NAMES."""
         total = F.lit(self.bias)
         for rule, weight in zip(self.rules, self.weights, strict=True):
             holds = F.lit(True)
             for k, above, threshold in rule:
-                holds = holds & (F.col(names[k]) > threshold if above else F.col(names[k]) <= threshold)
+                holds = holds & (values[k] > threshold if above else values[k] <= threshold)
             total = total + F.when(holds, F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
@@ -203,9 +210,9 @@ def fit(
     )
     texts = docs.select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).alias("text"))
     joined = texts.join(F.broadcast(picked), F.col("_key") == F.col("_id"))
-    counted, names = with_statistics(joined.select("_id", "_label", "text"))
-    sample = counted.orderBy(F.xxhash64("_id"), "_id", "_label", *names).limit(rows).select("_label", *names).toPandas()
-    return train(sample[names].to_numpy(dtype=float), sample["_label"].to_numpy(dtype=float))
+    counted = joined.select("_id", "_label", statistics(F.col("text")).alias("s")).select("_id", "_label", "s.*")
+    sample = counted.orderBy(F.xxhash64("_id"), "_id", "_label", *NAMES).limit(rows).select("_label", *NAMES).toPandas()
+    return train(sample[list(NAMES)].to_numpy(dtype=float), sample["_label"].to_numpy(dtype=float))
 
 
 def score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -214,5 +221,5 @@ def score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", score_co
     Empty and null texts have the statistics of an empty text. Only the text is
     an input. Repeated rows get equal scores.
     """
-    counted, names = with_statistics(docs, text_col)
-    return counted.withColumn(score_col, model.column(names)).drop(*names)
+    found = _let(statistics(F.col(f"`{text_col}`")), lambda s: model.column([s[k] for k in NAMES]))
+    return docs.withColumn(score_col, found)

@@ -1,6 +1,7 @@
 """The pipeline against its stages done in plain Python, and what the contract registers."""
 
 import pytest
+from pyspark.sql import functions as F
 from test_jaccard import brute_force as linked
 from test_lines import WORD
 from test_lines import brute_force as without_copies
@@ -23,9 +24,8 @@ def test_pipeline_equals_plain_python(spark, word_bpe):
 
     docs = spark.createDataFrame(rows, SCHEMA)
     model = quality.fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
-    counted, names = quality.with_statistics(docs)
-    frame = counted.select("doc_id", *names).toPandas()
-    good = set(frame["doc_id"][model.predict(frame[names].to_numpy(dtype=float)) >= 0.5])
+    frame = docs.select("doc_id", quality.statistics(F.col("text")).alias("s")).select("doc_id", "s.*").toPandas()
+    good = set(frame["doc_id"][model.predict(frame[list(quality.NAMES)].to_numpy(dtype=float)) >= 0.5])
     rows = [r for r in rows if r["doc_id"] in good]
 
     left = without_copies([r["text"] for r in rows], lines.MIN_WORDS)

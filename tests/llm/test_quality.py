@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from airtally.llm import quality
 
@@ -37,22 +38,27 @@ def test_held_out_accuracy(spark, model):
 
 def test_column_equals_numpy(spark, model):
     rows = spark.createDataFrame(made(60, 3), "doc_id long, text string, quality int")
-    counted, names = quality.with_statistics(rows)
-    frame = counted.withColumn("score", model.column(names)).toPandas()
-    assert np.allclose(frame["score"], model.predict(frame[names].to_numpy(dtype=float)), atol=1e-12)
+    counted = quality.score(rows, model).select("score", quality.statistics(F.col("text")).alias("s")).select("score", "s.*")
+    frame = counted.toPandas()
+    assert np.allclose(frame["score"], model.predict(frame[list(quality.NAMES)].to_numpy(dtype=float)), atol=1e-12)
+
+
+def test_a_condition_on_the_score_computes_it_once(spark, model):
+    rows = spark.createDataFrame(made(60, 3), "doc_id long, text string, quality int")
+    plan = quality.score(rows, model).where("score >= 0.5").drop("score")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= 4, plan
 
 
 def test_statistics_of_a_text(documents):
-    counted, names = quality.with_statistics(documents(["AB c1, #\nAB c1, #"]))
-    row = counted.select(names).first().asDict()
-    own = {k.removeprefix("_q_"): v for k, v in row.items()}
+    row = documents(["AB c1, #\nAB c1, #"]).select(quality.statistics(F.col("text")).alias("s")).select("s.*")
+    own = row.first().asDict()
     assert own["length"] == 17 and own["share_upper"] == 4 / 17 and own["share_digits"] == 2 / 17
     assert own["share_marks"] == 2 / 17 and own["share_symbols"] == 2 / 17 and own["share_spaces"] == 5 / 17
     assert own["new_words"] == 0.5 and own["new_lines"] == 0.5 and own["line_words"] == 3
 
 
 def test_edge_rows(documents, edges, model):
-    docs = documents([*edges, (None, "no id")], ("score", "_q_n"))
+    docs = documents([*edges, (None, "no id")], ("score", "s"))
     scored = quality.score(docs, model).collect()
     assert len(scored) == len(edges) + 1 and set(scored[0].asDict()) == set(docs.columns)
     assert all(0 <= r["score"] <= 1 for r in scored)
@@ -65,7 +71,7 @@ def test_no_labels_one_label_and_empty(spark, documents):
     labels = spark.createDataFrame([(0, 1), (1, 1), (2, None), (None, 0), (77, 0)], "doc_id long, quality int")
     docs = documents(["a b", "c d", "e f"])
     one = quality.fit(docs, labels)
-    assert not one.rules and one.predict(np.zeros((1, 10)))[0] == pytest.approx(0.75)
+    assert not one.rules and one.predict(np.zeros((1, 11)))[0] == pytest.approx(0.75)
     none = quality.fit(docs, labels.limit(0))
     assert [r["score"] for r in quality.score(docs, none).collect()] == [0.5] * 3
     assert quality.score(documents([]), one).collect() == []
