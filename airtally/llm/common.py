@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from airtally.session import work_folder
 
-#: Documents that a task works on at once; an Arrow batch of long texts is cut into such slices.
+#: Rows, and bytes of them, that a task works on at once: an Arrow batch is cut into such slices, a
+#: row that is longer by itself is one of its own.
 SLICE = 512
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +35,14 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 def sliced(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, size):
-            yield batch.slice(at, size)
+        parts = [batch.slice(at, size) for at in reversed(range(0, batch.num_rows, size))]
+        while parts:
+            part = parts.pop()
+            if part.num_rows > 1 and part.nbytes > SLICE_BYTES:
+                half = part.num_rows // 2
+                parts += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
 
 
 def per_slice(
