@@ -1,4 +1,4 @@
-"""A table of what each query's final plan holds: plan_summary.py [sf dir]."""
+"""A table of what each query's final plan holds: plan_summary.py [sf dir] [name ...]."""
 
 from __future__ import annotations
 
@@ -21,11 +21,13 @@ def main() -> None:
     print("| Query | Scans | Row shuffles | Reused | Broadcast joins | Sort-merge joins | Windows | Columns read |")
     print("|---|---|---|---|---|---|---|---|")
     for name, run in QUERIES.items():
-        if name.startswith(WRITES):
+        if name.startswith(WRITES) or (sys.argv[2:] and name not in sys.argv[2:]):
             continue
         df = run(spark, sf_dir)
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # Subqueries have a final and an initial plan of their own.
+        plan = re.sub(r"(?s)== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", plan)
         scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
         columns = [str(len(s.split(","))) if s else "0" for s in scans]
         counts = [
