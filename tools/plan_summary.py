@@ -15,6 +15,19 @@ from airtally.session import local_session  # noqa: E402
 WRITES = ("sc", "sk", "st")
 
 
+def final_part(plan: str) -> str:
+    """The plan without the initial plans in it; subqueries have one of their own."""
+    kept, skipped = [], None
+    for line in plan.split("\n"):
+        place = len(line) - len(line.lstrip(" :"))
+        if skipped is not None and place > skipped:
+            continue
+        skipped = place if "== Initial Plan ==" in line else None
+        if skipped is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
@@ -26,8 +39,7 @@ def main() -> None:
         df = run(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        # Subqueries have a final and an initial plan of their own.
-        plan = re.sub(r"(?s)== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", plan)
+        plan = final_part(plan)
         scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
         columns = [str(len(s.split(","))) if s else "0" for s in scans]
         counts = [
