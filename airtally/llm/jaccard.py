@@ -18,8 +18,8 @@ Sets of equal tokens are one set. Of each key's sets, all meet the smallest
 first; what links is joined to components, and only sets of one key that are
 then in different components are paired. So groups of near copies never give
 all their pairs, and still no link between different components is lost. Pairs
-pass an exact bound on counts of tokens by hash bucket before they are verified
-on the whole sets.
+pass an exact bound by parities of hash buckets before they are verified on the
+whole sets.
 """
 
 from __future__ import annotations
@@ -40,8 +40,6 @@ FREQUENT_SHARE = 2.0**-20
 FREQUENT_LEAST = 16
 #: Tokens after which a task reports those that it has met often, and starts anew.
 BLOCK = 4_000_000
-#: Hash buckets of the counts that pairs are bounded by.
-BUCKETS = 32
 #: Bits of the map of sets that wait for verification. Its size is fixed; if it
 #: fills up, more sets than needed are sent, and an exact join drops them.
 MAP_BITS = 1 << 26
@@ -118,7 +116,7 @@ def keys(h: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     top = (n * 100 // percent).bit_length() - 1
     out = []
     for band in range(own, top + 1):
-        salt = np.uint64(band + 1) * P3
+        salt = np.uint64((band + 1) * int(P3) & 0xFFFFFFFFFFFFFFFF)
         out.append(mix((rare[:needed] ^ salt) * P1))
         more = needed - len(rare)
         if more > 0:
@@ -139,11 +137,39 @@ def keys(h: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def bucket_counts(h: np.ndarray) -> bytes:
-    return np.bincount((h >> np.uint64(59)).astype(np.int64), minlength=BUCKETS).astype("<u4").tobytes()
+def parity(h: np.ndarray) -> bytes:
+    """Two to four bits a token: of each hash bucket, whether its number of tokens is odd.
 
+    Where two sets differ in a bucket, at least one token is in one of them
+    only. The number of buckets is a power of two, so that two sizes can meet.
+    """
+    many = max(64, 2 << len(h).bit_length())
+    odd = np.bincount((h & np.uint64(many - 1)).astype(np.int64), minlength=many) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """How many tokens are in one of two sets only, at least."""
+    a, b = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def packed(h: np.ndarray) -> bytes:
+    """The first 48 bits of each token, in order: what the tasks that verify pairs get."""
+    return (h >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
-SETS = "kind int, doc_id long, sid long, n long, counts binary"
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8")[:, 0]
+
+
+SETS = "kind int, doc_id long, sid long, n long, parity binary"
 
 
 def _sets(rows: DataFrame, width: int, share: float) -> DataFrame:
@@ -175,7 +201,7 @@ def _sets(rows: DataFrame, width: int, share: float) -> DataFrame:
                     part.column(0),
                     pa.array([set_id(h) if len(h) else None for h in sets], pa.int64()),
                     pa.array(map(len, sets), pa.int64()),
-                    pa.array([bucket_counts(h) for h in sets], pa.binary()),
+                    pa.array([parity(h) for h in sets], pa.binary()),
                 ],
                 NAMES,
             )
@@ -193,14 +219,14 @@ NAMES = [x.split(" ")[0] for x in SETS.split(", ")]
 
 
 def _index(rows: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(key, sid, n) of every row's set."""
+    """(key, sid) of every row's set."""
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def make():
         met: set[int] = set()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out, ids, sizes = [], [], []
+            out, ids = [], []
             for text in batch.column(1).to_pylist():
                 h = tokens(text, width)
                 sid = set_id(h) if len(h) > 1 else None
@@ -212,101 +238,97 @@ def _index(rows: DataFrame, width: int, percent: int, frequent: np.ndarray) -> D
                 own = keys(h, sent.value, percent)
                 out.append(own)
                 ids.append(np.full(len(own), sid, dtype=np.int64))
-                sizes.append(np.full(len(own), len(h), dtype=np.int64))
             if not out:
                 return None
-            columns = [signed(np.concatenate(out)), np.concatenate(ids), np.concatenate(sizes)]
-            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "sid", "n"])
+            columns = [signed(np.concatenate(out)), np.concatenate(ids)]
+            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "sid"])
 
         return step
 
-    return per_slice(rows, make, "key long, sid long, n long")
+    return per_slice(rows, make, "key long, sid long")
 
 
 def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and counts by bucket allow the threshold."""
-    sizes = sets.select("sid", "n", "counts")
-    a = sizes.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("counts_a"))
-    b = sizes.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b"))
+    """Pairs (a, b) whose sizes and parities allow the threshold."""
+    sizes = sets.select("sid", "n", "parity")
+    a = sizes.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("parity_a"))
+    b = sizes.select(F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("parity_b"))
     sized = pairs.join(a, "a").join(b, "b")
     sized = sized.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, BUCKETS).astype(np.int64) for c in ("counts_a", "counts_b"))
+            both = zip(batch.column("parity_a").to_pylist(), batch.column("parity_b").to_pylist(), strict=True)
+            least = np.array([least_difference(x, y) for x, y in both], dtype=np.int64)
             n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            shared = np.minimum(x, y).sum(axis=1)  # at most
-            keep = pa.array(100 * shared >= percent * (n - shared))
-            return batch.select(["a", "b"]).filter(keep)
+            # At the threshold, all but this share of both sizes is common.
+            return batch.select(["a", "b"]).filter(pa.array((100 + percent) * least <= (100 - percent) * n))
 
         return step
 
-    return per_slice(sized.select("a", "b", "n_a", "n_b", "counts_a", "counts_b"), make, "a long, b long", 4096)
+    return per_slice(sized.select("a", "b", "n_a", "n_b", "parity_a", "parity_b"), make, "a long, b long", 4096)
 
 
-def _spots(sid: np.ndarray) -> np.ndarray:
-    return (mix(sid.view(np.uint64)) % np.uint64(MAP_BITS)).astype(np.int64)
+def _spots(sid: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    return (mix(sid.view(np.uint64) ^ mix(doc_id.view(np.uint64))) % np.uint64(MAP_BITS)).astype(np.int64)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) that are at the threshold, on their whole sets."""
-    spark = rows.sparkSession
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) that are at the threshold, on their whole sets.
+
+    A set is read from the document of the smallest id that has it. Which
+    documents these are, every task learns from a map of a fixed size.
+    """
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(sets.select("sid", "doc_id"), "sid")
 
     def spot(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = _spots(batch.column(0).to_numpy())
+        at = _spots(batch.column(0).to_numpy(), batch.column(1).to_numpy())
         words, place = np.unique(at >> 6, return_inverse=True)
         bits = np.zeros(len(words), dtype=np.uint64)
         np.bitwise_or.at(bits, place, np.uint64(1) << (at & 63).astype(np.uint64))
         return pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits.view(np.int64))], ["word", "bits"])
 
     cells = per_slice(asked, lambda: spot, "word long, bits long", 65536).groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    marks = np.zeros(MAP_BITS >> 6, dtype=np.uint64)
     if not len(cells):
         return pairs
+    marks = np.zeros(MAP_BITS >> 6, dtype=np.uint64)
     marks[cells["word"].to_numpy()] = cells["bits"].to_numpy().view(np.uint64)
-    sent = spark.sparkContext.broadcast(marks)
+    sent = rows.sparkSession.sparkContext.broadcast(marks)
 
     def make():
-        met: set[int] = set()
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            ids, sets = [], []
-            for text in batch.column(1).to_pylist():
+            ids, out = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h = tokens(text, width)
-                if len(h) < 2 or (sid := set_id(h)) in met:
+                if len(h) < 2:
                     continue
-                at = int(_spots(np.array([sid], dtype=np.int64))[0])
-                if not int(sent.value[at >> 6]) >> (at & 63) & 1:
-                    continue
-                if len(met) > REMEMBERED:
-                    met.clear()
-                met.add(sid)
-                ids.append(sid)
-                sets.append(h.tobytes())
+                sid = set_id(h)
+                at = int(_spots(np.array([sid]), np.array([key]))[0])
+                if int(sent.value[at >> 6]) >> (at & 63) & 1:
+                    ids.append(sid)
+                    out.append(packed(h))
             if not ids:
                 return None
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["sid", "set"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["sid", "set"])
 
         return step
 
-    sets = per_slice(rows, make, "sid long, set binary")
-    sets = stored(sets.join(asked, "sid", "left_semi").groupBy("sid").agg(F.first("set").alias("set")), "sets")
-    a = sets.select(F.col("sid").alias("a"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("sid").alias("b"), F.col("set").alias("set_b"))
+    # Both sides read one shuffle of the sets.
+    found = per_slice(rows, make, "sid long, set binary")
+    met = pairs.join(found.alias("x"), F.col("a") == F.col("x.sid")).join(found.alias("y"), F.col("b") == F.col("y.sid"))
 
     def check():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = []
             for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                shared = len(np.intersect1d(unpacked(x), unpacked(y), assume_unique=True))
+                keep.append(100 * shared >= percent * ((len(x) + len(y)) // 6 - shared))
             return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return step
 
-    return per_slice(pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b"), check, "a long, b long")
+    both = met.select("a", "b", F.col("x.set").alias("set_a"), F.col("y.set").alias("set_b"))
+    return per_slice(both, check, "a long, b long").distinct()
 
 
 def link_documents(
@@ -322,7 +344,7 @@ def link_documents(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     both = stored(_sets(rows, width, FREQUENT_SHARE), "sets", "kind")
-    of_rows = both.where("kind = 0").select("doc_id", "sid", "n", "counts")
+    of_rows = both.where("kind = 0").select("doc_id", "sid", "n", "parity")
     total = of_rows.agg(F.sum("n")).first()[0] or 0
     # Counts are of some blocks only, so at most all; hence at most 1 / share tokens are collected.
     often = both.where("kind = 1").groupBy("sid").agg(F.sum("n").alias("n"))
@@ -331,13 +353,13 @@ def link_documents(
 
     usable = rows.where(F.col("doc_id").isNotNull())
     ids = of_rows.where(F.col("doc_id").isNotNull() & F.col("sid").isNotNull())
-    sets = stored(ids.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "distinct")
+    sets = stored(ids.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity")), "distinct")
     index = stored(_index(usable, width, percent, frequent), "index")
 
     shared = index.groupBy("key").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b < top").select("key", "b")
     index = stored(index.join(stored(shared, "shared"), "key"), "met")  # only keys that sets share
     star = index.where("sid > b").select(F.col("sid").alias("a"), "b").distinct()
-    links = stored(_verified(stored(_may_link(star, sets, percent), "pairs"), usable, width, percent), "links")
+    links = stored(_verified(stored(_may_link(star, sets, percent), "pairs"), sets, usable, width, percent), "links")
 
     # Rows of one id join their sets.
     own = ids.groupBy("doc_id").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b < top").select("doc_id", "b")
@@ -346,17 +368,18 @@ def link_documents(
 
     label = components(links)
     labelled = index.join(label.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "key", "sid", "n", F.coalesce("component", "sid").alias("component")
+        "key", "sid", F.coalesce("component", "sid").alias("component")
     )
     labelled = stored(labelled, "labelled")
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    left = stored(labelled.join(stored(open_keys, "open"), "key", "left_semi"), "left")
+    left = labelled.join(stored(open_keys, "open"), "key", "left_semi").join(sets.select("sid", "n"), "sid")
+    left = stored(left, "left")
     x = left.select("key", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
     y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
     near = (F.col("a") > F.col("b")) & (F.col("c_a") != F.col("c_b"))
     near = near & (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
     met = x.join(y, "key").where(near).select("a", "b").distinct()
-    late = stored(_verified(stored(_may_link(met, sets, percent), "late-pairs"), usable, width, percent), "late")
+    late = stored(_verified(stored(_may_link(met, sets, percent), "late-pairs"), sets, usable, width, percent), "late")
     label = components(links.unionByName(late))
 
     named = sets.join(label.withColumnRenamed("node", "sid"), "sid", "left").select(

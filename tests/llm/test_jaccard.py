@@ -78,6 +78,18 @@ def test_sets_at_the_threshold_share_a_key(percent):
         assert len(np.intersect1d(jaccard.keys(x, frequent, percent), jaccard.keys(y, frequent, percent)))
 
 
+def test_parities_never_overstate_a_difference():
+    random_ = np.random.default_rng(4)
+    found = all_ = 0
+    for _ in range(400):
+        x = np.unique(random_.integers(0, 1 << 63, int(random_.integers(1, 900))).astype(np.uint64))
+        y = np.union1d(x[random_.random(len(x)) > 0.1], random_.integers(0, 1 << 63, int(random_.integers(0, 90))).astype(np.uint64))
+        least = jaccard.least_difference(jaccard.parity(x), jaccard.parity(y))
+        assert least <= len(np.setxor1d(x, y))
+        found, all_ = found + least, all_ + len(np.setxor1d(x, y))
+    assert found > 0.8 * all_
+
+
 def test_edge_rows(documents, edges):
     rows = jaccard.link_documents(documents([*edges, "WORD", (None, "word")], ("component_id",)), 3, 90).collect()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
