@@ -43,6 +43,8 @@ BLOCK = 4_000_000
 #: Bits of the map of sets that wait for verification. Its size is fixed; if it
 #: fills up, more sets than needed are sent, and an exact join drops them.
 MAP_BITS = 1 << 26
+#: Buckets of the parities that are compared while sets of one key are joined.
+SHORT_BITS = 1024
 REMEMBERED = 500_000
 
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -148,6 +150,12 @@ def parity(h: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def short_parity(h: np.ndarray) -> np.ndarray:
+    """The same of a fixed number of buckets, as 64-bit numbers: what a join can compare by itself."""
+    odd = np.bincount((h & np.uint64(SHORT_BITS - 1)).astype(np.int64), minlength=SHORT_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def least_difference(x: bytes, y: bytes) -> int:
     """How many tokens are in one of two sets only, at least."""
     a, b = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
@@ -169,7 +177,7 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8")[:, 0]
 
 
-SETS = "kind int, doc_id long, sid long, n long, parity binary"
+SETS = "kind int, doc_id long, sid long, n long, parity binary, bits array<long>"
 
 
 def _sets(rows: DataFrame, width: int, share: float) -> DataFrame:
@@ -190,7 +198,7 @@ def _sets(rows: DataFrame, width: int, share: float) -> DataFrame:
             none = pa.nulls(int(keep.sum()), pa.int64())
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(int(keep.sum()), dtype=np.int32)), none, pa.array(signed(token[keep])), pa.array(n[keep]),
-                 pa.nulls(int(keep.sum()), pa.binary())], NAMES,
+                 pa.nulls(int(keep.sum()), pa.binary()), pa.nulls(int(keep.sum()), pa.list_(pa.int64()))], NAMES,
             )
 
         for part in sliced(batches):
@@ -202,6 +210,7 @@ def _sets(rows: DataFrame, width: int, share: float) -> DataFrame:
                     pa.array([set_id(h) if len(h) else None for h in sets], pa.int64()),
                     pa.array(map(len, sets), pa.int64()),
                     pa.array([parity(h) for h in sets], pa.binary()),
+                    pa.array([short_parity(h) for h in sets], pa.list_(pa.int64())),
                 ],
                 NAMES,
             )
@@ -344,7 +353,7 @@ def link_documents(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     both = stored(_sets(rows, width, FREQUENT_SHARE), "sets", "kind")
-    of_rows = both.where("kind = 0").select("doc_id", "sid", "n", "parity")
+    of_rows = both.where("kind = 0").select("doc_id", "sid", "n", "parity", "bits")
     total = of_rows.agg(F.sum("n")).first()[0] or 0
     # Counts are of some blocks only, so at most all; hence at most 1 / share tokens are collected.
     often = both.where("kind = 1").groupBy("sid").agg(F.sum("n").alias("n"))
@@ -353,7 +362,7 @@ def link_documents(
 
     usable = rows.where(F.col("doc_id").isNotNull())
     ids = of_rows.where(F.col("doc_id").isNotNull() & F.col("sid").isNotNull())
-    sets = stored(ids.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity")), "distinct")
+    sets = stored(ids.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("bits").alias("bits")), "distinct")
     index = stored(_index(usable, width, percent, frequent), "index")
 
     shared = index.groupBy("key").agg(F.min("sid").alias("b"), F.max("sid").alias("top")).where("b < top").select("key", "b")
@@ -372,13 +381,18 @@ def link_documents(
     )
     labelled = stored(labelled, "labelled")
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    left = labelled.join(stored(open_keys, "open"), "key", "left_semi").join(sets.select("sid", "n"), "sid")
+    left = labelled.join(stored(open_keys, "open"), "key", "left_semi").join(sets.select("sid", "n", "bits"), "sid")
     left = stored(left, "left")
-    x = left.select("key", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    x = left.select("key", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("bits").alias("bits_a"))
+    y = left.select("key", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("bits").alias("bits_b"))
     near = (F.col("a") > F.col("b")) & (F.col("c_a") != F.col("c_b"))
     near = near & (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
-    met = x.join(y, "key").where(near).select("a", "b").distinct()
+    # Two sets differ in as many tokens as parities at least. The join itself drops pairs that differ in too many,
+    # so that a group of documents that are like but not like enough doesn't come out of it as all its pairs.
+    differing = F.zip_with("bits_a", "bits_b", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    least = F.aggregate(differing, F.lit(0), lambda total, bits: total + bits)
+    near = near & ((100 + percent) * least <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
+    met = x.withColumnRenamed("key", "key_a").join(y, (F.col("key_a") == F.col("key")) & near).select("a", "b").distinct()
     late = stored(_verified(stored(_may_link(met, sets, percent), "late-pairs"), sets, usable, width, percent), "late")
     label = components(links.unionByName(late))
 
