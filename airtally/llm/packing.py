@@ -11,6 +11,7 @@ of other tasks, some hundreds of tasks at a time, until one remainder is left.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -25,7 +26,7 @@ from airtally.llm.common import sliced, stored
 #: Tasks whose remainders are merged by one task of the next round.
 MERGED = 256
 #: Chunks that a worker remembers the ids of.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 ROWS = PIECES + ", part long, ids binary"  # ids: of pieces that still have to be merged
@@ -52,7 +53,8 @@ class WordTokenizer:
             part = new[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for word, e in zip(part, encoded, strict=True):
-                self.known[word] = b"".join([i.to_bytes(4, "little") for i in e.ids])
+                ids = e.ids
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
