@@ -278,8 +278,8 @@ def _may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return per_slice(sized.select("a", "b", "n_a", "n_b", "parity_a", "parity_b"), make, "a long, b long", 4096)
 
 
-def _spots(sid: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
-    return (mix(sid.view(np.uint64) ^ mix(doc_id.view(np.uint64))) % np.uint64(MAP_BITS)).astype(np.int64)
+def _spots(doc_id: np.ndarray) -> np.ndarray:
+    return (mix(doc_id.view(np.uint64)) % np.uint64(MAP_BITS)).astype(np.int64)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -291,7 +291,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, pe
     asked = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(sets.select("sid", "doc_id"), "sid")
 
     def spot(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = _spots(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        at = _spots(batch.column(1).to_numpy())
         words, place = np.unique(at >> 6, return_inverse=True)
         bits = np.zeros(len(words), dtype=np.uint64)
         np.bitwise_or.at(bits, place, np.uint64(1) << (at & 63).astype(np.uint64))
@@ -307,14 +307,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, width: int, pe
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
             ids, out = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            at = _spots(batch.column(0).to_numpy())
+            marked = sent.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1
+            for text in batch.column(1).filter(pa.array(marked)).to_pylist():  # only these are read
                 h = tokens(text, width)
-                if len(h) < 2:
-                    continue
-                sid = set_id(h)
-                at = int(_spots(np.array([sid]), np.array([key]))[0])
-                if int(sent.value[at >> 6]) >> (at & 63) & 1:
-                    ids.append(sid)
+                if len(h) > 1:
+                    ids.append(set_id(h))
                     out.append(packed(h))
             if not ids:
                 return None
