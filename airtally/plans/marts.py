@@ -93,15 +93,18 @@ def with_names(facts: DataFrame, streamers: DataFrame, games: DataFrame) -> Data
     An OR cannot be hashed, so the games are folded to a row per code of either
     kind, and the facts meet both by an equal code: no list of their codes is
     needed. A third of the facts may have one code. Adaptive execution splits its
-    partition, which takes that rows are laid out anew before they are grouped:
-    the grouping would otherwise build on the join's layout.
+    partition, which takes that the folded games are laid out apart from how they
+    were grouped, and rows anew before they are grouped: a grouping below or
+    above a join would otherwise share the join's layout.
     """
     first = games.where(F.col("chz_game_code").isNotNull()).groupBy(F.col("chz_game_code").alias("n_game_code")).agg(
         F.collect_list(F.struct("game_nm")).alias("_first")
-    )
+
+    ).hint("rebalance")
     second = games.where(F.col("afc_game_code").isNotNull()).groupBy(F.col("afc_game_code").alias("_plain")).agg(
         F.collect_list(F.struct("game_nm", "chz_game_code")).alias("_second")
-    )
+
+    ).hint("rebalance")
     known = facts.join(streamers.select("streamer_id", "streamer_nm"), "streamer_id", "left")
     met = known.join(first, "n_game_code", "left").withColumn("_plain", without_zeros(F.col("n_game_code")))
     met = met.join(second, "_plain", "left")
