@@ -13,6 +13,8 @@ A run of m lines is then named by the ranks of its first and last 2**k lines,
 that share m lines. Only runs of at least min_words words count. The shortest
 such runs from each line on and up to each line cover every longer one, so that
 these are the ones looked up, and their lengths bound the number of rounds.
+Runs of fewer words can count too, if they are hot: then each of them is looked
+up, and counts if its words times its places reach a bound of their own.
 Of each interval the first run stays, in the order of documents and lines.
 """
 
@@ -99,10 +101,26 @@ def shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
     return found.select("uid", "doc", F.explode(runs).alias("r")).select("uid", "doc", "r.*").distinct()
 
 
-def deleted_ranges(docs: DataFrame, uid: str, id_col: str, text_col: str, min_words: int) -> DataFrame:
+def short_runs(lines: DataFrame, min_words: int) -> DataFrame:
+    """All runs of fewer than min_words words: as shortest_runs, and their words."""
+    whole = Window.partitionBy("uid").orderBy("seq")
+    near = Window.partitionBy("uid").orderBy("upto").rangeBetween(0, min_words - 1)
+    found = lines.withColumn("upto", F.sum("words").over(whole)).withColumn("ends", F.collect_list(F.struct("seq", "pos", "upto")).over(near))
+    rows = found.where(F.col("words") < min_words).withColumn("before", F.col("upto") - F.col("words"))
+    rows = rows.select("uid", "doc", "seq", "pos", "before", F.explode("ends").alias("e"))
+    return rows.select(
+        "uid", "doc", F.col("seq").cast("int").alias("start"), (F.col("e.seq") + 1 - F.col("seq")).cast("int").alias("m"),
+        F.col("pos").alias("first_pos"), F.col("e.pos").alias("last_pos"), (F.col("e.upto") - F.col("before")).alias("words"),
+    ).where(F.col("words") < min_words)
+
+
+def deleted_ranges(docs: DataFrame, uid: str, id_col: str, text_col: str, min_words: int, hot_words: int | None = None) -> DataFrame:
     """Per document that loses lines: uid, and the ranges of its lines, by place in the text, that are later copies."""
     lines = stored(line_table(docs, uid, id_col, text_col), "lines")
     runs = shortest_runs(lines, min_words)
+    if hot_words is not None:
+        runs = runs.withColumn("words", F.lit(None).cast("long")).unionByName(short_runs(lines, min_words))
+    hot = [] if hot_words is None else ["words"]
     level = _ranked(lines.select("uid", "seq", "h1", "h2"), "h1", "h2")
     levels, k = level.withColumn("k", F.lit(0)), 0
     while 2 ** (k + 1) <= min_words and level.take(1):  # a line has a word at least
@@ -116,10 +134,13 @@ def deleted_ranges(docs: DataFrame, uid: str, id_col: str, text_col: str, min_wo
         .withColumn("tail_at", (F.col("start") + F.col("m") - F.pow(F.lit(2), F.col("k"))).cast("int"))
         .join(levels.select("uid", "k", F.col("seq").alias("tail_at"), F.col("rank").alias("tail")), ["uid", "k", "tail_at"])
         .withColumn("at", F.struct(F.col("doc").isNull().alias("late"), "doc", "uid", "start"))
-        .select("at", "m", "head", "tail", "first_pos", "last_pos")
+        .select("at", "m", "head", "tail", "first_pos", "last_pos", *hot)
     )
     named = stored(named, "named")
-    firsts = stored(named.groupBy("m", "head", "tail").agg(F.min("at").alias("kept"), F.max("at").alias("end")).where("kept < end"), "kept")
+    groups = named.groupBy("m", "head", "tail", *hot).agg(F.min("at").alias("kept"), F.max("at").alias("end"), F.count(F.lit(1)).alias("n"))
+    if hot:
+        groups = groups.where(F.col("words").isNull() | (F.col("words") * F.col("n") >= hot_words)).drop("words")
+    firsts = stored(groups.drop("n").where("kept < end"), "kept")
     copies = named.join(firsts.drop("end"), ["m", "head", "tail"]).where(
         (F.col("at.uid") != F.col("kept.uid")) | (F.col("at.start") >= F.col("kept.start") + F.col("m"))
     )
@@ -142,6 +163,7 @@ def drop_repeated_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     deleted_col: str | None = None,
+    hot_words: int | None = None,
 ) -> DataFrame:
     """The documents without the later copies of repeated runs of lines of at least min_words words.
 
@@ -151,12 +173,14 @@ def drop_repeated_lines(
     without a word are no part of a run; they go if they stand inside one that
     goes. All rows and columns come back, also of documents that have lost all
     lines (text ''); null texts stay null. Of repeated rows, one counts as the
-    first. deleted_col names a column for the number of places deleted.
+    first. deleted_col names a column for the number of places deleted. With
+    hot_words, runs of fewer than min_words words count as well if their words
+    times the number of places where they stand are at least hot_words.
     """
     uid = _free(docs.columns, "uid")
     rows = stored(docs.withColumn(uid, F.monotonically_increasing_id()), "documents")
     ranges_col, lines_col = _free([*rows.columns, "uid"], "ranges"), _free([*rows.columns, "uid"], "lines")
-    ranges = deleted_ranges(rows, uid, id_col, text_col, min_words)
+    ranges = deleted_ranges(rows, uid, id_col, text_col, min_words, hot_words)
     ranges = ranges.select(F.col("uid").alias(uid), F.col("ranges").alias(ranges_col))
     joined = rows.join(ranges, uid, "left").withColumn(
         lines_col, F.when(F.col(ranges_col).isNotNull(), F.split(F.col(text_col).cast("string"), "\n"))

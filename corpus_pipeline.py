@@ -12,6 +12,8 @@ from airtally.session import work_folder
 
 #: Below this probability of the best language a text is in none that is known.
 LEAST_LANGUAGE = 0.4
+#: Shorter runs of lines than line dedup's bound go too, if their words in all places are this many.
+HOT_WORDS = 300
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +28,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated lines go, and documents of which nothing is left; n_chars is counted anew."""
-    kept = lines.drop_repeated_lines(docs, deleted_col="_deleted")
+    """Later copies of repeated lines go, of short ones if they are hot, and documents of which nothing is left; n_chars is counted anew."""
+    kept = lines.drop_repeated_lines(docs, deleted_col="_deleted", hot_words=HOT_WORDS)
     kept = kept.where((F.col("_deleted") == 0) | F.col("text").rlike(lines.WORD)).drop("_deleted")
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -88,3 +88,38 @@ def test_no_python_in_the_plan(documents):
     docs = documents(["a b c\nd e f", "a b c\nd e f"])
     plan = lines.drop_repeated_lines(docs, min_words=3)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def hot_brute_force(texts, min_words, hot_words):
+    """As brute_force, and every shorter run goes whose words times its places reach hot_words."""
+    docs = [[(pos, x) for pos, x in enumerate((t or "").split("\n")) if WORD.search(x)] for t in texts]
+    runs, gone = {}, [set() for _ in docs]
+    for d, doc in enumerate(docs):
+        for i in range(len(doc)):
+            for j in range(i + 1, len(doc) + 1):
+                runs.setdefault(tuple(x for _, x in doc[i:j]), []).append((d, i, j))
+    for content, places in runs.items():
+        words = sum(len(WORD.findall(x)) for x in content)
+        first = min(places)
+        # Every long run counts: the shortest ones cover it.
+        for d, i, j in places if words >= min_words or words * len(places) >= hot_words else []:
+            if (d, i, j) != first and (d != first[0] or i >= first[2]):
+                gone[d] |= set(range(docs[d][i][0], docs[d][j - 1][0] + 1))
+    return [t if t is None or not g else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g) for t, g in zip(texts, gone, strict=True)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_hot_short_runs_equal_the_definition(documents, seed):
+    pick = random.Random(seed)
+    pool = [" ".join(pick.choices("abcd", k=pick.randrange(0, 4))) for _ in range(12)]
+    texts = ["\n".join(pick.choice(pool) + (str(pick.randrange(90)) if pick.random() < 0.7 else "") for _ in range(pick.randrange(1, 12))) for _ in range(50)]
+    expected = hot_brute_force(texts, 7, 24)
+    assert expected != brute_force(texts, 7)
+    assert result(documents(texts).repartition(3), min_words=7, hot_words=24) == dict(enumerate(expected))
+
+
+def test_hot_lines_go_and_rare_ones_stay(documents):
+    texts = [f"own {k}\nAll rights reserved.\nown words {k}\n" + ("seldom" if k < 2 else "") for k in range(20)]
+    got = result(documents(texts), hot_words=60)
+    assert got[0] == texts[0] and got[1] == "own 1\nown words 1\nseldom" and got[19] == "own 19\nown words 19\n"
+    assert result(documents(texts), hot_words=61) == dict(enumerate(texts))
