@@ -1,11 +1,13 @@
 """Approximate nearest neighbours on robust-pruned directed graphs, one to a shard.
 
-Vectors are dealt into shards of a bounded size by a hash of their ids. Within
+Distinct pairs of an id and a vector are dealt into shards of a bounded size by
+a hash of both, so that an id of many vectors is in many shards. Within
 a shard, a greedy beam search from the most central vector proposes neighbours
 for each vector, and relaxed distance pruning keeps a diverse few of them: a
 proposal goes if one already kept is much nearer to it than the vector is. Edges
 are added both ways. Every query is searched in every shard, and its nearest
-are those of all shards. Searches of many vectors advance together as arrays.
+are those of all shards. A shard answers with distinct ids; if the nodes that a
+search ends with have too few, all of the shard's are ranked. Searches of many vectors advance together as arrays.
 """
 
 from __future__ import annotations
@@ -168,7 +170,7 @@ def build_index(rows: DataFrame, shards: int) -> DataFrame:
             }
         )
 
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards))
+    shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards))
     schema = "size int, shard long, ids binary, node binary, x binary, edges binary"
     return rows.withColumn("shard", shard).groupBy("size", "shard").applyInArrow(run, schema)
 
@@ -184,6 +186,18 @@ def _search_shard(key: tuple, index: pa.Table, asked: pa.Table, k: int, beam: in
     ids, node = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["node"], "<i4")
     order = np.lexsort((ids, node))  # each node's ids, the smallest first
     ids, first = ids[order], np.searchsorted(node[order], np.arange(len(x) + 1))
+
+    def best(q: int, query: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Of ids under one node no more than k and the query itself can count.
+        each = [ids[first[n] : min(first[n + 1], first[n] + k + 1)] for n in nodes]
+        score = np.sqrt(((x[nodes] - query) ** 2).sum(axis=1)).repeat([len(e) for e in each])
+        candidates = np.concatenate([ids[:0], *each])
+        score, candidates = score[candidates != q], candidates[candidates != q]
+        ranked = np.lexsort((candidates, score))
+        _, nearest_of = np.unique(candidates[ranked], return_index=True)  # each id once, where it is nearest
+        ranked = ranked[np.sort(nearest_of)[:k]]
+        return candidates[ranked], score[ranked]
+
     query_ids = asked.column("vec_id").to_numpy()
     queries = asked.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
     out: list[list] = [[], [], []]
@@ -192,15 +206,12 @@ def _search_shard(key: tuple, index: pa.Table, asked: pa.Table, k: int, beam: in
         found, _ = graph.search(part.astype(np.float32), beam)
         for q, query, nodes in zip(query_ids[a : a + 256].tolist(), part, found, strict=True):
             nodes = nodes[nodes >= 0]
-            # Of copies under one node no more than k and the query itself can count.
-            each = [ids[first[n] : min(first[n + 1], first[n] + k + 1)] for n in nodes]
-            score = np.sqrt(((x[nodes] - query) ** 2).sum(axis=1)).repeat([len(e) for e in each])
-            candidates = np.concatenate(each)
-            score, candidates = score[candidates != q], candidates[candidates != q]
-            best = np.lexsort((candidates, score))[:k]
-            out[0] += [q] * len(best)
-            out[1] += candidates[best].tolist()
-            out[2] += score[best].tolist()
+            near, score = best(q, query, nodes)
+            if len(near) < k and len(nodes) < len(x):
+                near, score = best(q, query, np.arange(len(x)))
+            out[0] += [q] * len(near)
+            out[1] += near.tolist()
+            out[2] += score.tolist()
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
 
@@ -225,7 +236,7 @@ def nearest(
     vectors; shards meet queries in blocks, so that no task sees all of either.
     """
     spark = vectors.sparkSession
-    rows, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
+    rows, asked = usable(vectors, id_col, vector_col).distinct(), usable(queries, id_col, vector_col).distinct()
     shards = max(1, -(-rows.count() // shard_rows))
     blocks = max(1, -(-asked.count() // QUERIES_AT_ONCE))
     index = stored(build_index(rows, shards), "graphs")

@@ -63,3 +63,42 @@ def test_repeated_ids_and_empty_tables(spark):
     found = ann.nearest(vectors, vectors.where("vec_id = 2")).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found] == [(2, 1, 1, 1.0)]
     assert ann.nearest(vectors.limit(0), vectors.limit(0)).collect() == []
+
+
+def each_id_once(ids, x, q, k):
+    """The k nearest ids of the query's only vector, each where it is nearest."""
+    mine, near = x[ids.index(q)], {}
+    for i, v in zip(ids, x, strict=True):
+        if i != q:
+            near[i] = min(near.get(i, np.inf), float(np.sqrt(((v - mine) ** 2).sum())))
+    return sorted((score, i) for i, score in near.items())[:k]
+
+
+def found_of(spark, ids, x, queries, **how):
+    vectors = frame(spark, ids, x)
+    rows = sorted(ann.nearest(vectors, vectors.where(f"vec_id in ({','.join(map(str, queries))})"), **how).collect(), key=lambda r: r["rank"])
+    return {q: [(r["score"], r["vec_id"]) for r in rows if r["query_id"] == q] for q in queries}
+
+
+def test_doubled_rows(spark):
+    x = np.repeat(np.random.default_rng(5).normal(size=(60, 6)).astype(np.float32).astype(float), 2, axis=0)
+    ids = [k // 2 for k in range(120)]
+    got = found_of(spark, ids, x, (0, 7))
+    for q in (0, 7):
+        assert [i for _, i in got[q]] == [i for _, i in each_id_once(ids, x, q, 10)]
+
+
+@pytest.mark.parametrize("shard_rows", [4096, 100])
+def test_an_id_of_many_rows_takes_one_place(spark, shard_rows):
+    random = np.random.default_rng(6)
+    near = 5 + random.normal(size=(300, 6)) * 0.01  # all of id 1000, nearer to id 0 than any other
+    x = np.concatenate([np.full((1, 6), 5.0), near, near, np.full((100, 6), 5.1), 7 + random.normal(size=(40, 6))])
+    x = x.astype(np.float32).astype(float)
+    ids = [0, *[1000] * 600, *[1001] * 100, *range(1, 41)]
+    got = found_of(spark, ids, x, (0,), shard_rows=shard_rows)
+    assert [i for _, i in got[0]] == [i for _, i in each_id_once(ids, x, 0, 10)]
+
+
+def test_an_id_of_many_vectors_is_in_many_shards(spark):
+    rows = ann.usable(frame(spark, [1] * 64, np.arange(1.0, 65)[:, None]), "vec_id", "embedding")
+    assert ann.build_index(rows, 4).count() == 4
