@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtally.llm import ann, bpe, brown, fingerprints, jaccard, langid, lines, packing, quality, tokencounts
+from airtally.llm import (
+    ann, bpe, brown, collocations, fingerprints, htmltree, jaccard, langid, lines, packing, pagelayouts, quality, tokencounts, whitening,
+)
 from airtally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +108,26 @@ def op10_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query
+def op11_page_text(spark, sf_dir):
+    """The main text of every page by the page model."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltree.main_text(pages, htmltree.fit(pagelayouts.labelled_pages()))
+
+
+@query
+def op12_phrases(spark, sf_dir):
+    """The 2000 phrases of each language whose words stand together most."""
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_whitened(spark, sf_dir):
+    """Eight whitened components of every usable vector, and how well they are whitened."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 ORACLES["op4_ngram_jaccard"] = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -173,3 +195,43 @@ LEFT JOIN places p ON p.doc_id = d.doc_id
 LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.pos = p.pos
 GROUP BY d.doc_id
 """.replace("{min_words}", str(lines.MIN_WORDS)).replace("any_value(d.text) AS new_text_unused, ", "")
+
+ORACLES["op12_phrases"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), runs AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), f1 AS (
+    SELECT lang, w1, count(*) AS f FROM (SELECT lang, unnest(w) AS w1 FROM runs) GROUP BY ALL
+), f2 AS (
+    SELECT lang, w1, w2, count(*) AS f
+    FROM (SELECT lang, unnest(w[:-2]) AS w1, unnest(w[2:]) AS w2 FROM runs WHERE len(w) >= 2) GROUP BY ALL
+), f3 AS (
+    SELECT lang, w1, w2, w3, count(*) AS f
+    FROM (SELECT lang, unnest(w[:-3]) AS w1, unnest(w[2:-2]) AS w2, unnest(w[3:]) AS w3 FROM runs WHERE len(w) >= 3) GROUP BY ALL
+), cuts AS (
+    SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, p.f AS a, 1 AS k, x.f AS l, y.f AS r
+    FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.w1 = p.w1 JOIN f1 y ON y.lang = p.lang AND y.w1 = p.w2
+    WHERE p.f >= 10 AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = p.lang AND t.w1 = p.w1 AND t.w2 = p.w2 AND t.f >= 10 AND 100 * t.f >= 50 * p.f)
+        AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = p.lang AND t.w2 = p.w1 AND t.w3 = p.w2 AND t.f >= 10 AND 100 * t.f >= 50 * p.f)
+    UNION ALL
+    SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, p.f, 1, x.f, y.f
+    FROM f3 p JOIN f1 x ON x.lang = p.lang AND x.w1 = p.w1 JOIN f2 y ON y.lang = p.lang AND y.w1 = p.w2 AND y.w2 = p.w3
+    WHERE p.f >= 10
+    UNION ALL
+    SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, p.f, 2, x.f, y.f
+    FROM f3 p JOIN f2 x ON x.lang = p.lang AND x.w1 = p.w1 AND x.w2 = p.w2 JOIN f1 y ON y.lang = p.lang AND y.w1 = p.w3
+    WHERE p.f >= 10
+), scored AS (
+    SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, sum(len(w))::BIGINT AS n FROM runs GROUP BY lang) USING (lang)
+WHERE rank <= 2000
+"""
