@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from airtally.llm.common import sliced, stored
 
 #: Entries, and distinct words, that the tries of one task hold at most.
-ENTRIES = 400_000
+ENTRIES = 600_000
 WORDS = 400_000
 #: A container of more entries bursts.
 BURST = 2048
@@ -33,80 +33,91 @@ PARTS = 16
 
 # One byte for all that parts pieces, one for all that parts words; A-Z in lower case.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
+_END = b"."  # stands for the end of a piece, its id is 0
 _SHIFT = 32
 _LOW = (1 << _SHIFT) - 1
 COUNTS = "lang string, words int, w1 string, w2 string, w3 string, f long"
 
 
+class _Ids(dict):
+    """Ids of words, given as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        new = self[word] = len(self)
+        return new
+
+
 class Tries:
-    """Burst tries of a task, one a language; ids of words are the task's own, 0 is the end of a piece."""
+    """Burst tries of a task, one a language; ids of words are the task's own."""
 
     def __init__(self, entries: int = ENTRIES, words: int = WORDS, burst: int = BURST):
         self.entries, self.most_words, self.burst = entries, words, burst
-        self.pending = 0  # places counted since the tries were last measured
         self._clear()
 
     def _clear(self) -> None:
-        self.ids: dict[bytes, int] = {b"": 0}
+        self.ids = _Ids({_END: 0})
         self.roots: dict[str, dict[int, dict]] = {}
         self.burst_nodes: dict[str, set[int]] = {}
         self.totals: dict[str, int] = {}
+        self.at_most = 0  # entries held, if every place since they were last counted is a new one
 
     def add(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count the places of a text; what has to be spilled meanwhile comes out."""
-        for piece in text.translate(_BYTES).split(b"."):
-            words = piece.split()
-            for at in range(0, len(words), STRETCH):
-                self._count(lang, words[at : at + STRETCH + 2], min(STRETCH, len(words) - at))
-                if self.pending >= STRETCH:
-                    yield from self._relieve()
-
-    def _count(self, lang: str, words: list[bytes], places: int) -> None:
-        ids = self.ids
-        row = [ids.setdefault(w, len(ids)) for w in words]
-        row += (0, 0)
+        words = text.translate(_BYTES).replace(_END, b" . ").split()
+        words += (_END, _END)
+        for at in range(0, len(words) - 2, STRETCH):
+            self._count(lang, words[at : at + STRETCH + 2])
+            if self.at_most > self.entries or len(self.ids) > self.most_words:
+                yield from self._relieve()
+
+    def _count(self, lang: str, words: list[bytes]) -> None:
+        row = list(map(self.ids.__getitem__, words))
         root = self.roots.setdefault(lang, {})
         opened = self.burst_nodes.setdefault(lang, set())
+        places = len(row) - 2 - row[:-2].count(0)
         self.totals[lang] = self.totals.get(lang, 0) + places
-        self.pending += places
-        for i in range(places):
-            first = row[i]
+        self.at_most += places
+        burst = self.burst
+        for first, second, third in zip(row, row[1:], row[2:]):  # noqa: B905 - the last two words only follow
+            if not first:
+                continue
             node = root.get(first)
             if node is None:
                 node = root[first] = {}
+            if not second:
+                third = 0
             if first in opened:
-                second = row[i + 1]
                 leaf = node.get(second)
                 if leaf is None:
                     leaf = node[second] = {}
-                third = row[i + 2]
                 leaf[third] = leaf.get(third, 0) + 1
-            else:
-                key = row[i + 1] << _SHIFT | row[i + 2]
-                seen = node.get(key)
-                if seen is None:
-                    node[key] = 1
-                    if len(node) > self.burst:
-                        root[first] = _burst(node)
-                        opened.add(first)
-                else:
-                    node[key] = seen + 1
+                continue
+            key = second << _SHIFT | third
+            seen = node.get(key)
+            if seen is not None:
+                node[key] = seen + 1
+                continue
+            node[key] = 1
+            if len(node) > burst:
+                root[first] = _burst(node)
+                opened.add(first)
 
     def _sizes(self) -> list[tuple[int, str, int]]:
-        return [
-            (sum(map(len, node.values())) if first in self.burst_nodes[lang] else len(node), lang, first)
-            for lang, root in self.roots.items()
-            for first, node in root.items()
-        ]
+        """Entries of each subtree."""
+        out = []
+        for lang, root in self.roots.items():
+            opened = self.burst_nodes[lang]
+            out += [(len(node), lang, first) for first, node in root.items() if first not in opened]
+            out += [(sum(map(len, root[first].values())), lang, first) for first in opened]
+        return out
 
     def _relieve(self) -> Iterator[pa.RecordBatch]:
         """Spill the largest subtrees until half of the entries are free, or all if there are too many words."""
-        self.pending = 0
         if len(self.ids) > self.most_words:
             yield from self.flush()
             return
         sizes = self._sizes()
-        held = sum(size for size, _, _ in sizes)
+        held = self.at_most = sum(size for size, _, _ in sizes)
         if held <= self.entries:
             return
         sizes.sort(reverse=True)
@@ -116,6 +127,7 @@ class Tries:
                 break
             spilled.setdefault(lang, []).append(first)
             held -= size
+        self.at_most = held
         for lang, firsts in spilled.items():
             yield from self._runs(lang, firsts)
 

@@ -246,11 +246,6 @@ class Forest:
         self.leaves = [[first + i for i, x in enumerate(t.text) if x] for t, first in zip(trees, self.first.tolist(), strict=False)]
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    high = x.max(axis=-1)
-    return high + np.log(np.exp(x - high[..., None]).sum(axis=-1))
-
-
 def beliefs(parent: np.ndarray, levels: list[np.ndarray], own: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of each node's label, and of (parent's, own) label, by messages up and down the trees.
 
@@ -260,21 +255,20 @@ def beliefs(parent: np.ndarray, levels: list[np.ndarray], own: np.ndarray, edge:
     below = own.copy()  # own potential and the messages of all children
     up = np.zeros_like(own)
     for level in reversed(levels[1:]):
-        up[level] = _log_sum(edge[level] + below[level][:, None, :])
+        toward = edge[level] + below[level][:, None, :]
+        up[level] = np.logaddexp(toward[:, :, 0], toward[:, :, 1])
         _add_to_parents(below, parent[level], up[level])
     whole = below.copy()
     pair = np.zeros_like(edge)
     for level in levels[1:]:
         rest = whole[parent[level]] - up[level]  # what the parent knows without this child
         joint = rest[:, :, None] + edge[level] + below[level][:, None, :]
-        whole[level] = _log_sum(np.swapaxes(joint, 1, 2))
-        # Messages are scaled, so that sums of very wide or deep trees stay in range.
-        whole[level] -= whole[level].max(axis=1, keepdims=True)
-        flat = joint.reshape(len(level), 4)
-        flat = np.exp(flat - flat.max(axis=1, keepdims=True))
-        pair[level] = (flat / flat.sum(axis=1, keepdims=True)).reshape(-1, 2, 2)
-    single = np.exp(whole - whole.max(axis=1, keepdims=True)) if len(whole) else whole
-    return single / single.sum(axis=1, keepdims=True) if len(whole) else single, pair
+        both = np.logaddexp(joint[:, 0], joint[:, 1])
+        total = np.logaddexp(both[:, :1], both[:, 1:])
+        whole[level] = both - total  # scaled, so that very wide or deep trees stay in range
+        pair[level] = np.exp(joint - total[:, :, None])
+    whole -= np.logaddexp(whole[:, :1], whole[:, 1:])
+    return np.exp(whole), pair
 
 
 class Model:
@@ -323,7 +317,7 @@ def _labels(tree: Tree, main_text: str) -> list[int]:
     return [int(n > 0 and m >= 0.75 * n) for m, n in zip(main, length, strict=True)]
 
 
-def fit(labelled: Iterable[tuple[str, str]], rounds: int = 150, penalty: float = 0.1, rate: float = 0.1) -> Model:
+def fit(labelled: Iterable[tuple[str, str]], rounds: int = 100, penalty: float = 0.1, rate: float = 0.15) -> Model:
     """The model under which labelled pages, pairs of html and main text, are likeliest.
 
     The pages are held by the driver: some hundreds or thousands of them, whatever
@@ -345,7 +339,8 @@ def fit(labelled: Iterable[tuple[str, str]], rounds: int = 150, penalty: float =
         single, pair = beliefs(forest.parent, forest.levels, *Model(features, weights, pairs).potentials(forest))
         expected = np.bincount(forest.feature, single[forest.node, 1], len(features))
         expected_pair = np.zeros((3, 2, 2))
-        np.add.at(expected_pair, forest.kind[lower], pair[lower])
+        for kind in range(3):
+            expected_pair[kind] = pair[lower & (forest.kind == kind)].sum(axis=0)
         slopes = (seen_single - expected - penalty * weights, seen_pair - expected_pair - penalty * pairs)
         for value, slope, (mean, square) in zip((weights, pairs), slopes, moments, strict=True):
             mean += 0.1 * (slope - mean)

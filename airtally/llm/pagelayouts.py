@@ -190,7 +190,7 @@ class _Page:
         return f"<html><head><title>x</title></head><body>{wrapped}{self.maybe(0.85, self.footer)}</body></html>"
 
 
-def labelled_pages(n: int = 500, seed: int = 1) -> list[tuple[str, str]]:
+def labelled_pages(n: int = 400, seed: int = 1) -> list[tuple[str, str]]:
     """n labelled pages, the same ones for the same seed."""
     chance = random.Random(seed)
     out = []
