@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from airtally.functions.times import landing_parts
 from airtally.sources.landing import is_missing
-from airtally.sources.tables import current_version, published, version_folder
+from airtally.sources.log import entry_path, last_number, put_if_absent
+from airtally.sources.tables import log_folder, published, version_folder
 
 
 def spread_by(df: DataFrame, column: str, tasks_per_value: int) -> DataFrame:
@@ -72,33 +74,38 @@ def _holds_files(spark: SparkSession, path: str) -> bool:
 
 
 def append_increment(df: DataFrame, folder: str, load_key: str, load: Column) -> None:
-    """SK5: append one load under its key. The same load run again takes the place of itself."""
-    overwrite_partitions(df.withColumn(load_key, load), folder, [load_key])
+    """SK5: append one load under its key. The same load run again takes the place of itself, also if it has no rows now."""
+    owned = df.sparkSession.range(1).select(load.alias(load_key))
+    overwrite_partitions(df.withColumn(load_key, load), folder, [load_key], owned=owned)
 
 
-def publish(df: DataFrame, folder: str, *, sort_within: list[str] | None = None) -> int:
-    """SK4: replace a mart as a whole.
+def publish(df: DataFrame, folder: str, *, sort_within: list[str] | None = None, partition_by: tuple[str, ...] = ()) -> int:
+    """SK4: replace a mart as a whole; returns the version's number.
 
-    The rows go to a folder of their own; one appended log line then makes it
-    current. A failure before that line leaves the old version in place, readers
-    go on with the version they opened, and two publishers at once never write
-    one folder. Old versions stay until `expire` removes them.
+    The rows go to a folder of their own; a log entry then makes it current. A
+    failure before that leaves the old version in place, and readers go on
+    with the version they opened. Entries are numbered, and a number is
+    taken by creating its file if it is absent: of two publishers at once, the
+    later one takes the next number, so both are in the log, in order. Old
+    versions stay until `expire` removes them.
     """
     spark = df.sparkSession
-    version = (current_version(spark, folder) or (0,))[0] + 1
     mark = uuid.uuid4().hex[:12]
-    rows = df.sortWithinPartitions(*sort_within) if sort_within else df
-    rows.write.mode("errorifexists").parquet(version_folder(folder, version, mark))
-    log = spark.range(version, version + 1, 1, 1).select(F.col("id").alias("version"), F.lit(mark).alias("mark"))
-    log.write.mode("append").json(f"{folder.rstrip('/')}/published")
+    rows = df.hint("rebalance", *[F.col(k) for k in partition_by]) if partition_by else df
+    if sort_within:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_within)
+    rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(version_folder(folder, mark))
+    version = last_number(spark, log_folder(folder)) + 1
+    while not put_if_absent(spark, entry_path(log_folder(folder), version), json.dumps({"version": version, "mark": mark})):
+        version += 1
     return version
 
 
 def expire(spark: SparkSession, folder: str, keep: int) -> list[str]:
     """SK4: empty the folders of all but the last `keep` published versions; readers of older ones must have ended."""
     log = published(spark, folder)
-    rows = log.orderBy(F.desc("version"), F.desc("mark")).collect() if log is not None else []
-    old = [version_folder(folder, r["version"], r["mark"]) for r in rows[max(1, keep) :]]
+    rows = log.orderBy(F.desc("version")).collect() if log is not None else []
+    old = [version_folder(folder, r["mark"]) for r in rows[max(1, keep) :]]
     for path in old:
         if _holds_files(spark, path):
             none = spark.read.parquet(path).limit(0)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from airtally.schemas import SILVER, partition_columns
-from airtally.sources.landing import _with_folder_keys, in_folders, is_missing, table_folder
+from airtally.sources.landing import _with_folder_keys, in_folders, table_folder
+from airtally.sources.log import entries, last_number, read_entry
 
 
 def read_normalized(
@@ -59,26 +59,24 @@ def read_mart(spark: SparkSession, folder: str) -> DataFrame:
     current = current_version(spark, folder)
     if current is None:
         raise FileNotFoundError(f"nothing has been published in {folder}")
-    return spark.read.parquet(version_folder(folder, *current))
+    return spark.read.parquet(version_folder(folder, current[1]))
+
+
+def log_folder(folder: str) -> str:
+    return f"{folder.rstrip('/')}/published"
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame | None:
     """The mart's log: a small row per publication, its number and its folder's mark."""
-    try:
-        return spark.read.schema("version long, mark string").json(f"{folder.rstrip('/')}/published")
-    except AnalysisException as missing:
-        if is_missing(missing):
-            return None
-        raise
+    return entries(spark, log_folder(folder), "version long, mark string")
 
 
 def current_version(spark: SparkSession, folder: str) -> tuple[int, str] | None:
-    """Number and mark of the last publication; of two with one number, the larger mark."""
-    log = published(spark, folder)
-    row = log.agg(F.max(F.struct("version", "mark"))).first()[0] if log is not None else None
-    return (row["version"], row["mark"]) if row else None
+    """Number and mark of the last publication."""
+    number = last_number(spark, log_folder(folder))
+    return (number, json.loads(read_entry(spark, log_folder(folder), number))["mark"]) if number else None
 
 
-def version_folder(folder: str, version: int, mark: str) -> str:
+def version_folder(folder: str, mark: str) -> str:
     """Each publication has a folder of its own, so none is ever written where another is read."""
-    return f"{folder.rstrip('/')}/versions/{version:08d}-{mark}"
+    return f"{folder.rstrip('/')}/versions/{mark}"

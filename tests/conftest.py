@@ -7,8 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from airtally.session import local_session  # noqa: E402
 
-TESTDATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def shared_folder(tmp_path_factory):

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from airtally.reports.queries import QUERIES
-from conftest import TESTDATA
+from places import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 TABLES = (

@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from airtally.operators.lookups import resolve_codes
 from airtally.plans.marts import with_names
 from airtally.reports.queries import QUERIES
-from conftest import TESTDATA
+from places import TESTDATA
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 # Queries that write and read files plan their work while they run.

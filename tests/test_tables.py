@@ -1,6 +1,7 @@
 """Sources and sinks: layouts, pruning, reruns, refreshes, jobs."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from airtally.functions.times import partition_date, within_days
 from airtally.plans import loads, marts, refresh
 from airtally.session import work_folder
 from airtally.sinks import writers
-from airtally.sources import landing, tables
+from airtally.sources import landing, log, tables
 
 
 def ccu(spark, n=200):
@@ -127,6 +128,46 @@ def test_sk5_same_load_twice(spark, tmp_path):
     assert spark.read.parquet(folder).count() == 12
 
 
+def test_sk5_a_load_without_rows_empties_what_it_had(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    for n in (5, 0):
+        writers.append_increment(spark.range(n), folder, "load", F.lit(date(2024, 1, 1)))
+        writers.append_increment(spark.range(3), folder, "load", F.lit(date(2024, 1, 2)))
+    assert [tuple(r) for r in spark.read.parquet(folder).groupBy("load").count().collect()] == [(date(2024, 1, 2), 3)]
+
+
+def test_sk4_publishers_at_once_all_get_a_version(spark, tmp_path):
+    """Every one of many publishers is in the log, under a number of its own, and the last number is what readers get."""
+    folder = str(tmp_path / "mart")
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(lambda n: writers.publish(spark.range(n), folder), range(1, 13)))
+    assert sorted(numbers) == list(range(1, 13))
+    log = {r["version"]: r["mark"] for r in tables.published(spark, folder).collect()}
+    assert sorted(log) == sorted(numbers) and len(set(log.values())) == 12
+    for n, version in enumerate(numbers, 1):
+        assert spark.read.parquet(tables.version_folder(folder, log[version])).count() == n
+    assert tables.read_mart(spark, folder).count() == numbers.index(12) + 1
+
+
+def test_sk4_an_entry_is_created_once(spark, tmp_path):
+    path = log.entry_path(str(tmp_path / "log"), 7)
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: log.put_if_absent(spark, path, str(n)), range(32)))
+    assert sum(won) == 1
+    assert log.read_entry(spark, str(tmp_path / "log"), 7) == str(won.index(True))
+    assert [p.name for p in (tmp_path / "log").iterdir() if not p.name.endswith(".crc")] == ["00000000000000000007.json"]
+    assert log.last_number(spark, str(tmp_path / "log")) == 7 and log.last_number(spark, str(tmp_path / "none")) == 0
+
+
+def test_sk4_an_entry_by_rename_is_created_once(spark, tmp_path, monkeypatch):
+    """The way of file systems without links."""
+    monkeypatch.setattr(log, "_by_link", log._by_rename)
+    path = log.entry_path(str(tmp_path / "log"), 1)
+    assert [log.put_if_absent(spark, path, text) for text in ("first", "second")] == [True, False]
+    assert log.read_entry(spark, str(tmp_path / "log"), 1) == "first"
+    assert [p.name for p in (tmp_path / "log").iterdir() if not p.name.endswith(".crc")] == ["00000000000000000001.json"]
+
+
 def test_sk6_new_partitions_are_found(spark, tmp_path):
     folder = str(tmp_path / "t")
     writers.overwrite_partitions(ccu(spark).where("day < 3"), folder, ["year", "month", "day"])
