@@ -1,13 +1,16 @@
 """Phrases whose words stand together more than chance has it, counted in burst tries.
 
-Each task keeps a shallow trie of word ids for each language. A node for a first
-word holds a hash container of what follows it, and bursts into containers for
-its second words once it is large. Every place of a text is one entry, the word
-with the two after it, so that counts of shorter phrases are sums over subtrees.
-Where the tries of a task hold too many entries, their largest subtrees are spilled
-whole, as runs in the order of ids, until half is free. Runs of all tasks meet
-in partitions by prefix, where equal phrases are merged; a prefix itself is dealt
-over a fixed number of parts, as some begin a large share of all phrases.
+Each task keeps a shallow trie of word ids for each language. It starts as one hash
+container, which bursts into containers by first word once it is large, and
+those of triples into containers by second word. Where the tries of a task hold
+too many entries, subtrees are spilled whole, as runs in the order of ids,
+the least first, as they repeat least, until half is free. Runs of all tasks
+meet in partitions by prefix, where equal phrases are merged.
+
+Pairs and words are counted first. A triple is counted only if both its pairs may
+be frequent, as no triple is more frequent than its pairs: a map of bits of a
+fixed size, one for the hash of each frequent pair, tells. A pair that shares its
+bit with another costs some rows that are dropped after the merge, no more.
 """
 
 from __future__ import annotations
@@ -16,53 +19,69 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airtally.llm.common import sliced, stored
 
 #: Entries, and distinct words, that the tries of one task hold at most.
-ENTRIES = 600_000
+ENTRIES = 1_000_000
 WORDS = 400_000
 #: A container of more entries bursts.
-BURST = 2048
-#: Places counted between two looks at the size of the tries.
-STRETCH = 20_000
-#: Over how many parts the phrases of one prefix are dealt.
-PARTS = 16
+BURST = 4096
+#: Words counted at once.
+STRETCH = 50_000
+#: Bits of the map of frequent pairs, whatever the input.
+MAP_BITS = 1 << 26
 
 # One byte for all that parts pieces, one for all that parts words; A-Z in lower case.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
 _END = b"."  # stands for the end of a piece, its id is 0
-_SHIFT = 32
-_LOW = (1 << _SHIFT) - 1
+_BITS = 21  # of an id, three of which are one number
+_LOW = (1 << _BITS) - 1
+_SEED = 42  # of Spark's xxhash64
 COUNTS = "lang string, words int, w1 string, w2 string, w3 string, f long"
 
 
 class _Ids(dict):
-    """Ids of words, given as they come."""
+    """Ids of words, given as they come, and the words' hashes by id."""
+
+    def __init__(self):
+        self[_END] = 0
+        self.hashes = np.zeros(1024, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         new = self[word] = len(self)
+        if new == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+        self.hashes[new] = xxhash.xxh64_intdigest(word, _SEED)
         return new
 
 
 class Tries:
-    """Burst tries of a task, one a language; ids of words are the task's own."""
+    """Burst tries of a task, one a language, of phrases of two words or of three; ids of words are the task's own.
+
+    With a map, only phrases all of whose pairs have their bit in it are counted.
+    """
 
-    def __init__(self, entries: int = ENTRIES, words: int = WORDS, burst: int = BURST):
+    def __init__(self, size: int, pairs: np.ndarray | None = None, entries: int = ENTRIES, words: int = WORDS, burst: int = BURST):
+        if words + STRETCH > _LOW:
+            raise ValueError(f"ids of {words} words don't fit in {_BITS} bits")
+        self.size, self.pairs = size, pairs
         self.entries, self.most_words, self.burst = entries, words, burst
         self._clear()
 
     def _clear(self) -> None:
-        self.ids = _Ids({_END: 0})
+        self.ids = _Ids()
+        self.flat: dict[str, dict[int, int]] = {}  # of languages whose trie has not burst yet
         self.roots: dict[str, dict[int, dict]] = {}
-        self.burst_nodes: dict[str, set[int]] = {}
-        self.totals: dict[str, int] = {}
-        self.at_most = 0  # entries held, if every place since they were last counted is a new one
+        self.opened: dict[str, set[int]] = {}  # first words whose container has burst
+        self.singles: dict[str, np.ndarray] = {}  # counts of words by id
+        self.at_most = 0  # entries held, if every one since they were last counted is new
 
     def add(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
-        """Count the places of a text; what has to be spilled meanwhile comes out."""
+        """Count the phrases of a text; what has to be spilled meanwhile comes out."""
         words = text.translate(_BYTES).replace(_END, b" . ").split()
         words += (_END, _END)
         for at in range(0, len(words) - 2, STRETCH):
@@ -71,57 +90,77 @@ class Tries:
                 yield from self._relieve()
 
     def _count(self, lang: str, words: list[bytes]) -> None:
-        row = list(map(self.ids.__getitem__, words))
-        root = self.roots.setdefault(lang, {})
-        opened = self.burst_nodes.setdefault(lang, set())
-        places = len(row) - 2 - row[:-2].count(0)
-        self.totals[lang] = self.totals.get(lang, 0) + places
-        self.at_most += places
-        burst = self.burst
-        for first, second, third in zip(row, row[1:], row[2:]):  # noqa: B905 - the last two words only follow
-            if not first:
-                continue
+        row = np.array(list(map(self.ids.__getitem__, words)), dtype=np.int64)
+        first, second = row[:-2], row[1:-1]
+        whole = (first > 0) & (second > 0)
+        if self.size == 2:
+            self._count_singles(lang, first)
+            packed = (first[whole] << 2 * _BITS) | (second[whole] << _BITS)
+        else:
+            if self.pairs is not None:
+                hashed = self.ids.hashes[row]
+                whole &= self._known(lang, hashed[:-2], hashed[1:-1]) & self._known(lang, hashed[1:-1], hashed[2:])
+            whole &= row[2:] > 0
+            packed = (first[whole] << 2 * _BITS) | (second[whole] << _BITS) | row[2:][whole]
+        packed, times = np.unique(packed, return_counts=True)
+        self.at_most += len(packed)
+        self._insert(lang, packed, times)
+
+    def _known(self, lang: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the map has the bits of pairs; the same hash as pair_bit has it in Spark."""
+        own = np.uint64(xxhash.xxh64_intdigest(lang.encode(), _SEED))
+        at = ((left << np.uint64(7)) ^ (left >> np.uint64(57)) ^ right ^ own) & np.uint64(MAP_BITS - 1)
+        return (self.pairs[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+    def _count_singles(self, lang: str, row: np.ndarray) -> None:
+        counts = self.singles.get(lang)
+        if counts is None or len(counts) < len(self.ids):
+            larger = np.zeros(2 * len(self.ids), dtype=np.int64)
+            if counts is not None:
+                larger[: len(counts)] = counts
+            counts = self.singles[lang] = larger
+        ids, times = np.unique(row, return_counts=True)
+        counts[ids] += times
+        counts[0] = 0
+
+    def _insert(self, lang: str, packed: np.ndarray, times: np.ndarray) -> None:
+        if lang not in self.roots:
+            flat = self.flat.setdefault(lang, {})
+            for key, n in zip(packed.tolist(), times.tolist(), strict=True):
+                flat[key] = flat.get(key, 0) + n
+            if len(flat) > self.burst:
+                self.roots[lang], self.opened[lang] = _burst(self.flat.pop(lang), 2 * _BITS), set()
+            return
+        root, opened, burst, deep = self.roots[lang], self.opened[lang], self.burst, self.size > 2
+        firsts, rests = packed >> 2 * _BITS, packed & ((1 << 2 * _BITS) - 1)
+        for first, rest, n in zip(firsts.tolist(), rests.tolist(), times.tolist(), strict=True):
             node = root.get(first)
             if node is None:
-                node = root[first] = {}
-            if not second:
-                third = 0
-            if first in opened:
-                leaf = node.get(second)
-                if leaf is None:
-                    leaf = node[second] = {}
-                leaf[third] = leaf.get(third, 0) + 1
-                continue
-            key = second << _SHIFT | third
-            seen = node.get(key)
-            if seen is not None:
-                node[key] = seen + 1
-                continue
-            node[key] = 1
-            if len(node) > burst:
-                root[first] = _burst(node)
-                opened.add(first)
-
-    def _sizes(self) -> list[tuple[int, str, int]]:
-        """Entries of each subtree."""
-        out = []
-        for lang, root in self.roots.items():
-            opened = self.burst_nodes[lang]
-            out += [(len(node), lang, first) for first, node in root.items() if first not in opened]
-            out += [(sum(map(len, root[first].values())), lang, first) for first in opened]
-        return out
+                root[first] = {rest: n}
+            elif first in opened:
+                leaf = node.setdefault(rest >> _BITS, {})
+                third = rest & _LOW
+                leaf[third] = leaf.get(third, 0) + n
+            else:
+                node[rest] = node.get(rest, 0) + n
+                if deep and len(node) > burst:
+                    root[first] = _burst(node, _BITS)
+                    opened.add(first)
 
     def _relieve(self) -> Iterator[pa.RecordBatch]:
-        """Spill the largest subtrees until half of the entries are free, or all if there are too many words."""
+        """Spill the least subtrees until half of the entries are free, or all if there are too many words."""
         if len(self.ids) > self.most_words:
             yield from self.flush()
             return
-        sizes = self._sizes()
+        sizes = [(len(node), lang, None) for lang, node in self.flat.items()]
+        for lang, root in self.roots.items():
+            opened = self.opened[lang]
+            sizes += [(sum(map(len, node.values())) if first in opened else len(node), lang, first) for first, node in root.items()]
         held = self.at_most = sum(size for size, _, _ in sizes)
         if held <= self.entries:
             return
-        sizes.sort(reverse=True)
-        spilled: dict[str, list[int]] = {}
+        sizes.sort(key=lambda s: s[0])
+        spilled: dict[str, list[int | None]] = {}
         for size, lang, first in sizes:
             if held <= self.entries // 2:
                 break
@@ -129,90 +168,104 @@ class Tries:
             held -= size
         self.at_most = held
         for lang, firsts in spilled.items():
-            yield from self._runs(lang, firsts)
+            yield from self._run(lang, firsts)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        """Everything that is held, and how many words each language has had."""
+        """Everything that is held, counts of words, and how many of them each language has had."""
+        for lang in list(self.flat):
+            yield from self._run(lang, [None])
         for lang, root in self.roots.items():
-            yield from self._runs(lang, list(root))
-        if self.totals:
-            none = pa.nulls(len(self.totals), pa.string())
-            yield _batch(list(self.totals), 0, none, none, none, list(self.totals.values()))
+            yield from self._run(lang, list(root))
+        names = pa.array(list(self.ids), pa.string()) if self.singles else None
+        for lang, counts in self.singles.items():
+            seen = np.flatnonzero(counts)
+            none = pa.nulls(len(seen), pa.string())
+            if len(seen):
+                yield _batch(lang, 1, names.take(pa.array(seen)), none, none, counts[seen])
+                none = pa.nulls(1, pa.string())
+                yield _batch(lang, 0, none, none, none, counts.sum(keepdims=True))
         self._clear()
 
-    def _runs(self, lang: str, firsts: list[int]) -> Iterator[pa.RecordBatch]:
-        """Take the subtrees of some first words out, as one run in the order of ids: triples, then sums for pairs and words."""
-        root, opened = self.roots[lang], self.burst_nodes[lang]
-        first_ids, keys, counts = [], [], []
+    def _run(self, lang: str, firsts: list[int | None]) -> Iterator[pa.RecordBatch]:
+        """Take the subtrees of some first words out (None: the container that has not burst), as one run in the order of ids."""
+        packed, counts = [], []
         for first in firsts:
-            node = root.pop(first)
-            if first in opened:
-                opened.discard(first)
+            if first is None:
+                node, prefix = self.flat.pop(lang), 0
+            else:
+                node, prefix = self.roots[lang].pop(first), first << 2 * _BITS
+            if first in self.opened.get(lang, ()):
+                self.opened[lang].discard(first)
                 for second, leaf in node.items():
-                    keys += [second << _SHIFT | third for third in leaf]
+                    packed += [prefix | second << _BITS | third for third in leaf]
                     counts += leaf.values()
             else:
-                keys += node
+                packed += [prefix | rest for rest in node] if prefix else node
                 counts += node.values()
-            first_ids += [first] * (len(keys) - len(first_ids))
-        if not keys:
+        if not packed:
             return
-        a, key, n = np.array(first_ids, dtype=np.int64), np.array(keys, dtype=np.int64), np.array(counts, dtype=np.int64)
-        order = np.lexsort((key, a))
-        a, key, n = a[order], key[order], n[order]
-        b, c = key >> _SHIFT, key & _LOW
+        packed, counts = np.array(packed, dtype=np.int64), np.array(counts, dtype=np.int64)
+        order = np.argsort(packed)
+        packed, counts = packed[order], counts[order]
         names = pa.array(list(self.ids), pa.string())
-        none = pa.nulls
-        whole = c > 0
-        if whole.any():
-            yield _batch(lang, 3, names.take(pa.array(a[whole])), names.take(pa.array(b[whole])), names.take(pa.array(c[whole])), n[whole])
-        starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        pairs = np.add.reduceat(n, starts)
-        two = b[starts] > 0
-        if two.any():
-            at = starts[two]
-            yield _batch(lang, 2, names.take(pa.array(a[at])), names.take(pa.array(b[at])), none(len(at), pa.string()), pairs[two])
-        starts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
-        yield _batch(lang, 1, names.take(pa.array(a[starts])), none(len(starts), pa.string()), none(len(starts), pa.string()), np.add.reduceat(n, starts))
-
-
-def _burst(node: dict[int, int]) -> dict[int, dict[int, int]]:
-    """A container's entries in containers of their second words."""
+        w1, w2 = (names.take(pa.array(x)) for x in (packed >> 2 * _BITS, packed >> _BITS & _LOW))
+        w3 = names.take(pa.array(packed & _LOW)) if self.size > 2 else pa.nulls(len(packed), pa.string())
+        yield _batch(lang, self.size, w1, w2, w3, counts)
+
+
+def _burst(node: dict[int, int], bits: int) -> dict[int, dict[int, int]]:
+    """A container's entries in containers by what stands above the lower bits."""
     out: dict[int, dict[int, int]] = {}
+    low = (1 << bits) - 1
     for key, n in node.items():
-        out.setdefault(key >> _SHIFT, {})[key & _LOW] = n
+        out.setdefault(key >> bits, {})[key & low] = n
     return out
 
 
-def _batch(lang: str | list[str], words: int, w1, w2, w3, f) -> pa.RecordBatch:
-    f = pa.array(f, pa.int64())
-    langs = pa.array(lang if isinstance(lang, list) else [lang], pa.string())
-    if not isinstance(lang, list):
-        langs = langs.take(pa.array(np.zeros(len(f), dtype=np.int64)))
+def _batch(lang: str, words: int, w1, w2, w3, f) -> pa.RecordBatch:
+    langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(f), dtype=np.int64)))
     size = pa.array(np.full(len(f), words, dtype=np.int32))
-    return pa.RecordBatch.from_arrays([langs, size, w1, w2, w3, f], names=["lang", "words", "w1", "w2", "w3", "f"])
+    return pa.RecordBatch.from_arrays([langs, size, w1, w2, w3, pa.array(f, pa.int64())], names=["lang", "words", "w1", "w2", "w3", "f"])
 
 
-def phrase_counts(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entries: int = ENTRIES, words: int = WORDS, burst: int = BURST
-) -> DataFrame:
-    """How often each phrase of one to three words stands within a piece: lang, words, w1, w2, w3, f; words 0 holds all words of a language."""
+def counted(texts: DataFrame, size: int, pairs: np.ndarray | None = None, **limits: int) -> DataFrame:
+    """Counts of the phrases of `size` words of texts (lang, text as bytes): lang, words, w1, w2, w3, f.
+
+    With size 2, rows of words 1 are single words, and rows of words 0 all words of a language.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = Tries(entries, words, burst)
+        tries = Tries(size, sent.value, **limits)
         for batch in batches:
             for part in sliced([batch]):
-                langs = part.column(0).to_pylist()
-                for lang, text in zip(langs, part.column(1).to_pylist(), strict=True):
-                    yield from tries.add(lang, text)
+                by_lang: dict[str, list[bytes]] = {}
+                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    by_lang.setdefault(lang, []).append(text)
+                for lang, own in by_lang.items():
+                    yield from tries.add(lang, _END.join(own))
         yield from tries.flush()
 
-    texts = docs.select(
-        F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")
-    ).where(F.length("text") > 0)
-    runs = texts.mapInArrow(count, COUNTS).withColumn("part", F.pmod(F.xxhash64("w3"), F.lit(PARTS)).cast("int"))
-    merged = runs.repartition("lang", "w1", "w2", "part").groupBy("lang", "words", "w1", "w2", "part", "w3")
-    return merged.agg(F.sum("f").alias("f")).select("lang", "words", "w1", "w2", "w3", "f")
+    merged = texts.mapInArrow(count, COUNTS).repartition("lang", "w1", "w2").groupBy("lang", "words", "w1", "w2", "w3")
+    return merged.agg(F.sum("f").alias("f"))
+
+
+def pair_bit(lang: str, w1: str, w2: str) -> Column:
+    """Which bit of the map a pair has."""
+    left, right, own = F.xxhash64(w1), F.xxhash64(w2), F.xxhash64(lang)
+    mixed = F.shiftleft(left, 7).bitwiseXOR(F.shiftrightunsigned(left, 57)).bitwiseXOR(right).bitwiseXOR(own)
+    return mixed.bitwiseAND(F.lit(MAP_BITS - 1).cast("long"))
+
+
+def pair_map(spark: SparkSession, pairs: DataFrame) -> np.ndarray:
+    """The map of frequent pairs, as numbers of 64 bits: at most MAP_BITS / 64 rows come to the driver."""
+    cells = pairs.select(pair_bit("lang", "w1", "w2").alias("at")).select(
+        F.shiftright("at", 6).alias("cell"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit")
+    )
+    rows = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(MAP_BITS >> 6, dtype=np.uint64)
+    out[rows["cell"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return out
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -245,15 +298,17 @@ def phrases(
 
     A null language is `und`; null and empty texts have no words. Repeated rows count
     each time. No documents, or no phrase often enough, give no rows; other
-    columns are not read.
+    columns are not read. limits: what a task's tries hold (entries, words, burst).
     """
-    counts = phrase_counts(docs, text_col, lang_col, **limits)
-    counts = stored(counts.where((F.col("f") >= least) | (F.col("words") == 0)), "phrases", "words")
-    size = {k: counts.where(F.col("words") == k) for k in range(4)}
-    total = size[0].select("lang", F.col("f").alias("n"))
-    word = size[1].select("lang", "w1", "f")
-    pair = size[2].select("lang", "w1", "w2", F.col("f").alias("a"))
-    triple = size[3].select("lang", "w1", "w2", "w3", F.col("f").alias("a"))
+    texts = docs.select(
+        F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")
+    ).where(F.length("text") > 0)
+    short = stored(counted(texts, 2, **limits).where((F.col("f") >= least) | (F.col("words") == 0)), "phrases", "words")
+    total = short.where("words = 0").select("lang", F.col("f").alias("n"))
+    word = short.where("words = 1").select("lang", "w1", "f")
+    pair = short.where("words = 2").select("lang", "w1", "w2", F.col("f").alias("a"))
+    triple = counted(texts, 3, pair_map(docs.sparkSession, pair), **limits).where(F.col("f") >= least)
+    triple = stored(triple.select("lang", "w1", "w2", "w3", F.col("f").alias("a")), "triples")
 
     covered = triple.select(
         "lang", F.explode(F.array(F.struct("w1", "w2"), F.struct(F.col("w2").alias("w1"), F.col("w3").alias("w2")))).alias("p"), "a"

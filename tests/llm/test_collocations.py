@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 from airtally.llm import collocations
@@ -74,12 +75,13 @@ def test_phrases_equal_plain_counting(spark, rows, limits, monkeypatch):
     assert rows(found, *COLUMNS) == sorted(brute_force(data, least=5, top=40), key=lambda r: [(v is not None, str(v)) for v in r])
 
 
-@pytest.mark.parametrize("limits", [(10**9, 10**9, 10**9), (200, 10**9, 4), (10**9, 30, 4)])
-def test_runs_of_a_task_add_up(limits, monkeypatch):
+@pytest.mark.parametrize("size", [2, 3])
+@pytest.mark.parametrize("limits", [(10**9, 10**6, 10**9), (200, 10**6, 4), (10**9, 30, 4)])
+def test_runs_of_a_task_add_up(limits, size, monkeypatch):
     """Whatever is spilled and burst, all runs together hold every phrase's count once, and each run is in the order of ids."""
     monkeypatch.setattr(collocations, "STRETCH", 7)
     data = [(lang or "und", t) for lang, t in texts(60, 5)]
-    tries = collocations.Tries(*limits)
+    tries = collocations.Tries(size, None, *limits)
     batches = [b for lang, t in data for b in tries.add(lang, t.encode())] + list(tries.flush())
     got, totals = {}, Counter()
     for batch in batches:
@@ -93,8 +95,27 @@ def test_runs_of_a_task_add_up(limits, monkeypatch):
             seen.add(phrase)
             got.setdefault(r["lang"], Counter())[phrase] += r["f"]
     f, n = counted(data)
-    assert got == f and totals == n
-    assert (len(batches) > 20) == (min(limits) < 10**9)
+    sizes = (1, 2) if size == 2 else (3,)
+    assert got == {lang: Counter({p: c for p, c in counts.items() if len(p) in sizes}) for lang, counts in f.items()}
+    assert totals == (n if size == 2 else {})
+    assert (len(batches) > 15) == (min(limits) < 10**6)
+
+
+def test_the_map_has_a_bit_of_every_pair(spark):
+    """The hash in Spark is the hash in tasks; with the map, exactly the phrases of pairs that are in it are counted."""
+    data = [(lang or "und", t) for lang, t in texts(60, 8)]
+    f, _ = counted(data)
+    pairs = [(lang, *p) for lang, counts in f.items() for p, c in counts.items() if len(p) == 2 and c >= 4]
+    marks = collocations.pair_map(spark, spark.createDataFrame(pairs, "lang string, w1 string, w2 string"))
+    assert 0 < int(np.bitwise_count(marks).sum()) <= len(pairs)
+    tries, got, known = collocations.Tries(3, marks), Counter(), set(pairs)
+    for lang, t in data:
+        list(tries.add(lang, t.encode()))
+    for batch in tries.flush():
+        for r in batch.to_pylist():
+            got[r["lang"], r["w1"], r["w2"], r["w3"]] += r["f"]
+    wanted = Counter({(lang, *p): c for lang, counts in f.items() for p, c in counts.items() if len(p) == 3 and (lang, *p[:2]) in known and (lang, *p[1:]) in known})
+    assert got == wanted and wanted
 
 
 def test_large_counts_are_exact(spark):
