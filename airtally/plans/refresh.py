@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtally.functions.times import day_window, landing_days, partition_date
-from airtally.plans import loads, marts, normalize
+from airtally.plans import loads, marts, normalize, upkeep
 from airtally.schemas import SILVER, partition_columns
 from airtally.sinks import writers
 from airtally.sources import landing, tables
@@ -61,15 +61,23 @@ def read_broadcasts(spark: SparkSession, root: str) -> DataFrame:
     folder = mart_folder(root, "anal_broadcast")
     base = tables.current_version(spark, folder)
     rows = tables.read_mart(spark, folder) if base else None
+    added = _added_days(spark, folder, base, rows)
+    if rows is None or added is None:
+        if rows is None and added is None:
+            raise FileNotFoundError(f"no broadcasts have been written in {folder}")
+        return rows if added is None else added
+    return rows.unionByName(added.select(*rows.columns))
+
+
+def _added_days(spark: SparkSession, folder: str, base: tuple[int, str] | None, like: DataFrame | None) -> DataFrame | None:
+    """The days added to a version, None if there are none."""
     try:
-        schema = rows.schema if rows is not None else None
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        added = reader.parquet(_increments(folder, base))
+        reader = spark.read.schema(like.schema) if like is not None else spark.read
+        return reader.parquet(_increments(folder, base))
     except AnalysisException as missing:
-        if rows is None or not landing.is_missing(missing):
+        if not landing.is_missing(missing):
             raise
-        return rows
-    return added if rows is None else rows.unionByName(added.select(*rows.columns))
+        return None
 
 
 def _increments(folder: str, base: tuple[int, str] | None) -> str:
@@ -119,8 +127,13 @@ def refresh_marts(
     now: datetime | None = None,
     full: bool = True,
 ) -> list[str]:
-    """Every mart of a day. Those over broadcasts read the one written before them."""
+    """Every mart of a day; `read_built` reads them.
+
+    Those that add up over broadcasts are kept up: a full refresh folds the new
+    version anew, any other the days that it does not have yet. The others are published.
+    """
     broadcasts = refresh_broadcasts(spark, root, streamers, games, as_of=as_of, full=full)
+    keep_up(spark, root, as_of)
     now = now or datetime.combine(as_of, time())
 
     def silver(table: str, first: date | None = None, last: date | None = None) -> DataFrame:
@@ -128,17 +141,12 @@ def refresh_marts(
 
     built = {
         "anal_game_price": marts.game_price(silver("raw_game_price"), games),
-        "anal_streamer_count_rank": marts.streamer_count_rank(broadcasts, games, as_of=as_of),
-        "anal_streamer_duration_rank": marts.streamer_duration_rank(broadcasts, games, as_of=as_of),
         "anal_streamer_follower_info": marts.streamer_follower_info(
             silver("followers"), streamers, as_of=as_of
         ),
-        "anal_streamer_game_rader": marts.streamer_game_radar(broadcasts, as_of=as_of),
         "anal_tdy_game_rating": marts.today_game_rating(
             silver("raw_game_rating", as_of), games, as_of=as_of
         ),
-        "anal_week_broadcast_duration": marts.week_broadcast_duration(broadcasts, as_of=as_of),
-        "anal_week_broadcast_freq": marts.week_broadcast_freq(broadcasts, as_of=as_of),
         "anal_week_game_viewer": marts.week_game_viewer(silver("raw_live_viewer"), streamers, games),
         "anal_ysd_game_ccu": marts.yesterday_game_ccu(
             silver("raw_game_ccu", (now - timedelta(days=1)).date(), (now + timedelta(days=1)).date()),
@@ -149,7 +157,35 @@ def refresh_marts(
     }
     for name, rows in built.items():
         writers.publish(rows, mart_folder(root, name))
-    return list(built)
+    return [*built, *upkeep.MARTS]
+
+
+def kept_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/analytics/kept"
+
+
+def keep_up(spark: SparkSession, root: str, as_of: date) -> None:
+    """Bring the kept marts up to the broadcasts: the current version if it is a new one, days not folded yet, and the day of the run again."""
+    folder, kept = mart_folder(root, "anal_broadcast"), kept_folder(root)
+    base = tables.current_version(spark, folder)
+    rows = tables.read_mart(spark, folder) if base else None
+    if base and f"base-{base[1]}" not in upkeep.state(spark, kept)["loads"]:
+        upkeep.add_load(rows, kept, f"base-{base[1]}", replace_all=True)
+    added = _added_days(spark, folder, base, rows)
+    days = [r[0] for r in added.select("created_date").distinct().collect()] if added is not None else []
+    done = upkeep.state(spark, kept)["loads"]
+    for day in sorted(days):
+        if str(day) not in done or day == as_of:
+            upkeep.add_load(added.where(F.col("created_date") == F.lit(day)), kept, str(day))
+    if str(as_of) in done and as_of not in days:
+        upkeep.add_load(added.limit(0) if added is not None else rows.limit(0), kept, str(as_of))
+
+
+def read_built(spark: SparkSession, root: str, name: str, *, as_of: date, games: DataFrame) -> DataFrame:
+    """A mart of the last refresh, kept up or published."""
+    if name in upkeep.MARTS:
+        return upkeep.read_kept(spark, kept_folder(root), name, as_of=as_of, games=games)
+    return tables.read_mart(spark, mart_folder(root, name))
 
 
 def load_raw_ccu(spark: SparkSession, root: str, load: str) -> None:

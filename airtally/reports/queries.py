@@ -14,7 +14,7 @@ from airtally.operators.lookups import attach_or_blank, resolve_codes
 from airtally.operators.ordered import running_sum
 from airtally.operators.sessions import gap_sessions
 from airtally.functions.codes import with_zeros
-from airtally.plans import loads, marts, normalize, refresh, shaping
+from airtally.plans import loads, marts, normalize, refresh, shaping, upkeep
 from airtally.reports import views
 from airtally.session import work_folder
 from airtally.sinks import writers
@@ -655,6 +655,38 @@ def sc4_base_and_days(spark, sf_dir):
     return marts.week_broadcast_duration(refresh.read_broadcasts(spark, root), as_of=AS_OF)
 
 
+def _kept(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A kept mart: all broadcasts as one load, then a day as another, which touches its own streamers only."""
+    root = work_folder(spark, "kept")
+    _broadcasts(spark, sf_dir).write.parquet(f"{root}/broadcasts")
+    day = loads.broadcast_incremental(
+        views.live(spark, sf_dir), views.streamers(spark, sf_dir), views.games(spark, sf_dir), as_of=AS_OF
+    )
+    upkeep.add_load(spark.read.parquet(f"{root}/broadcasts"), f"{root}/kept", "base", replace_all=True)
+    upkeep.add_load(day, f"{root}/kept", str(AS_OF))
+    return upkeep.read_kept(spark, f"{root}/kept", name, as_of=AS_OF, games=views.games(spark, sf_dir))
+
+
+@query
+def sk5_kept_count_rank(spark, sf_dir):
+    return _kept(spark, sf_dir, "anal_streamer_count_rank")
+
+
+@query
+def sk5_kept_game_radar(spark, sf_dir):
+    return _kept(spark, sf_dir, "anal_streamer_game_rader")
+
+
+@query
+def sk5_kept_duration(spark, sf_dir):
+    return _kept(spark, sf_dir, "anal_week_broadcast_duration")
+
+
+@query
+def sk5_kept_freq(spark, sf_dir):
+    return _kept(spark, sf_dir, "anal_week_broadcast_freq")
+
+
 @query
 def st5_price_change_stream(spark, sf_dir):
     """Prices of early years, then the later ones, through one stream."""

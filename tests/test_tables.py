@@ -235,7 +235,7 @@ def test_jobs_from_documents_to_marts(spark, tmp_path, games, streamers):
         built = refresh.refresh_marts(spark, root, names, dimension, as_of=day + timedelta(days=1), now=datetime(2024, 3, 10, 0))
 
     def mart(name):
-        return tables.read_mart(spark, refresh.mart_folder(root, name))
+        return refresh.read_built(spark, root, name, as_of=day, games=dimension)
 
     assert spark.read.parquet(f"{root}/raw_data/raw_game_ccu").count() == 1
     assert [(r["game_nm"], r["max_viewer_num"], r["game_duration"]) for r in mart("anal_broadcast").orderBy("broadcast_start_time").collect()] == [
@@ -246,6 +246,8 @@ def test_jobs_from_documents_to_marts(spark, tmp_path, games, streamers):
     for _ in range(2):  # the day is added to what was published, once
         added = refresh.refresh_broadcasts(spark, root, names, dimension, as_of=day + timedelta(days=1), full=False)
         assert sorted((r["game_nm"], r["game_duration"]) for r in added.collect()) == [("One", 0.0), ("One", 10.0), ("One", 30.0)]
+        refresh.keep_up(spark, root, day + timedelta(days=1))
+        assert [tuple(r)[:3] for r in mart("anal_week_broadcast_duration").collect()] == [("One", "S", 40.0)]
 
 
 def test_work_folder_is_the_named_one(spark, shared_folder):
