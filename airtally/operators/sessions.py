@@ -38,37 +38,55 @@ def gap_sessions(
     rows are combined before they are shuffled. The windows below then see at
     most (time range / gap) rows of a key, however many rows it has.
 
-    That needs sessions of `by` to start only where this track starts one.
-    `split_tracks` marks the rows where several tracks are counted together;
-    those are folded per distinct time instead, so that a session started by
-    one track still divides the rows of another.
+    `split_tracks`, a condition on columns of `by`, marks the keys that have
+    several tracks; all others must have one. There a start on one track also
+    divides the rows of the others, so cells are cut at such starts
+    (`cut_cells`): a slice has at most one start of each track, so a track's
+    slice is cut into at most `tracks` cells.
 
     measures: name -> (min | max | sum | count, column).
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
     width = gap // timedelta(microseconds=1)
-    cell = micros - F.pmod(micros, F.lit(width)) if width else micros
-    if split_tracks is not None:
-        cell = F.when(split_tracks, micros).otherwise(cell)
-    # A hash before the key columns, so that sorts mostly compare one number.
-    keys = ["_hash", *by]
-
-    cells = (
-        df.withColumns({"_hash": F.xxhash64(*by), "_track": F.lit(0) if track is None else track})
-        .groupBy(*keys, "_track", *also, cell.alias("_cell"))
-        .agg(
-            F.min(ts).alias("session_start"),
-            F.max(ts).alias("session_end"),
-            *[_START[kind](column).alias(name) for name, (kind, column) in measures.items()],
-        )
-        .repartition(*by)
+    rows = df.withColumns({"_hash": F.xxhash64(*by), "_track": F.lit(0) if track is None else track})
+    if split_tracks is None:
+        return _numbered(_cells(rows, by, ts, width, measures, also), by, width, measures, tracks, also)
+    shared = F.coalesce(split_tracks, F.lit(False))
+    single = rows.where(~shared).withColumn("_track", F.lit(0))
+    plain = _numbered(_cells(single, by, ts, width, measures, also), by, width, measures, 1, also)
+    cut = cut_cells(rows.where(shared), by, ts, width, measures, tracks, also)
+    return plain.unionByName(_numbered(cut, by, width, measures, tracks, also))
+
+
+def _micros(column: str) -> Column:
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
+def _slice(micros: Column, width: int) -> Column:
+    return micros - F.pmod(micros, F.lit(width)) if width else micros
+
+
+def _merged(measures: dict[str, tuple[str, str]]) -> list[Column]:
+    return [
+        F.min("session_start").alias("session_start"),
+        F.max("session_end").alias("session_end"),
+        *[_MERGE[kind](name).alias(name) for name, (kind, _) in measures.items()],
+    ]
+
+
+def _cells(rows: DataFrame, by: list[str], ts: str, width: int, measures: dict, also: tuple[str, ...], fine: bool = False) -> DataFrame:
+    """Rows of one track folded by slice, or by distinct time within slices. A hash before the keys lets sorts mostly compare one number."""
+    keys = ["_hash", *by, "_track", *also, _slice(_micros(ts), width).alias("_cell")]
+    return rows.groupBy(*keys, *([_micros(ts).alias("_at")] if fine else [])).agg(
+        F.min(ts).alias("session_start"),
+        F.max(ts).alias("session_end"),
+        *[_START[kind](column).alias(name) for name, (kind, column) in measures.items()],
     )
 
+
+def _starting(cells: DataFrame, by: list[str], width: int, tracks: int) -> DataFrame:
+    """The cells laid out by key, each with `_starts`, 1 if it starts a session on its track."""
     # All windows share one order, so that rows are sorted once.
-    in_order = Window.partitionBy(*keys).orderBy(F.col("session_start").asc_nulls_last(), "_track")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    # Peers are counted together, so one of them starting a session is enough.
-    so_far = in_order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = _in_order(by).rowsBetween(Window.unboundedPreceding, -1)
 
     def on(number: int) -> Column:
         return F.col("_track") == number
@@ -76,17 +94,58 @@ def gap_sessions(
     last_on_track = F.coalesce(
         *[F.when(on(n), F.max(F.when(on(n), F.col("session_end"))).over(before)) for n in range(tracks)]
     )
-    starts = F.unix_micros(F.col("session_start").cast("timestamp")) - width > F.unix_micros(
-        last_on_track.cast("timestamp")
-    )
+    starts = _micros("session_start") - width > F.unix_micros(last_on_track.cast("timestamp"))
+    return cells.repartition(*by).withColumn("_starts", F.when(starts, 1).otherwise(0))
+
+
+def _in_order(by: list[str]):
+    return Window.partitionBy("_hash", *by).orderBy(F.col("session_start").asc_nulls_last(), "_track")
+
+
+def _numbered(
+    cells: DataFrame, by: list[str], width: int, measures: dict, tracks: int, also: tuple[str, ...]
+) -> DataFrame:
+    """Cells with the number of their session, folded to sessions."""
+    # Peers are counted together, so one of them starting a session is enough.
+    so_far = _in_order(by).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        cells.withColumn("_starts", F.when(starts, 1).otherwise(0))
+        _starting(cells, by, width, tracks)
         .withColumn("group_id", F.sum("_starts").over(so_far))
-        .groupBy(*keys, *also, "group_id")
-        .agg(
-            F.min("session_start").alias("session_start"),
-            F.max("session_end").alias("session_end"),
-            *[_MERGE[kind](name).alias(name) for name, (kind, _) in measures.items()],
-        )
+        .groupBy("_hash", *by, *also, "group_id")
+        .agg(*_merged(measures))
         .drop("_hash")
     )
+
+
+def cut_cells(
+    rows: DataFrame, by: list[str], ts: str, width: int, measures: dict, tracks: int, also: tuple[str, ...]
+) -> DataFrame:
+    """Cells by slice, cut where another track starts a session inside them.
+
+    Rows are folded by distinct time, then by slice; where the slices tell of a start on
+    another track between a cell's first row and its last, its times are folded
+    again, apart before and after it. Only those slices are.
+    """
+    cell = ["_hash", *by, "_track", *also, "_cell"]
+    fine = _cells(rows, by, ts, width, measures, also, fine=True)
+    coarse = _starting(fine.groupBy(*cell).agg(*_merged(measures)), by, width, tracks)
+    of_slice = Window.partitionBy("_hash", *by, "_cell")
+    place = F.struct(_micros("session_start").alias("t"), F.col("_track").alias("k"))
+    cuts = F.collect_list(F.when(F.col("_starts") == 1, place)).over(of_slice)
+    end = F.struct(_micros("session_end").alias("t"), F.col("_track").alias("k"))
+    inside = F.filter(cuts, lambda c: (c["k"] != F.col("_track")) & (c > place) & (c <= end))
+    marked = coarse.withColumn("_cuts", inside)
+    whole = marked.where(F.size("_cuts") == 0).select(*cell, "session_start", "session_end", *measures)
+    open_ = marked.where(F.size("_cuts") > 0).select(*[F.col(c).alias(f"_r{c}") for c in cell], "_cuts")
+    equal = F.lit(True)
+    for c in cell:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"_r{c}"))
+    own = F.struct(F.col("_at").alias("t"), F.col("_track").alias("k"))
+    parts = (
+        fine.join(open_, equal)
+        .withColumn("_part", F.size(F.filter("_cuts", lambda c: c <= own)))
+        .groupBy(*cell, "_part")
+        .agg(*_merged(measures))
+        .drop("_part")
+    )
+    return whole.unionByName(parts.select(*whole.columns))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from airtally.functions.codes import code_track, normalized_code
-from airtally.operators.sessions import gap_sessions
+from airtally.operators.sessions import cut_cells, gap_sessions
 
 START = datetime(2024, 1, 1)
 GAP = timedelta(minutes=5)
@@ -156,3 +156,20 @@ def test_hot_key_is_folded_before_it_is_shuffled(spark, code):
     assert [(r["rows"], r["total"]) for r in out] == [(100_000, 100_000)]
     # Eight tasks; fifty collect times lie in ten slices.
     assert read == 8 * (10 if code else 50)
+
+
+def test_windows_of_a_hot_talk_broadcast_see_slices(spark):
+    """A snapshot a second on three tracks, one of which breaks off now and then: cells are a few per slice, not one per second."""
+    seconds = 20_000
+    hot = spark.range(0, 3 * seconds, 1, 8).selectExpr(
+        "'b' b", "element_at(array(null, '', 'talk'), cast(id % 3 + 1 as int)) code", "'p' platform",
+        "timestamp_seconds(1704067200 + id div 3) ts", "'t' title", "1 n",
+    ).where("code is null or code = '' or (unix_seconds(ts) div 700) % 2 = 0")
+    rows = hot.withColumn("norm", normalized_code("code")).withColumns({"_hash": F.xxhash64("b", "norm"), "_track": code_track("code")})
+    cells = cut_cells(rows, ["b", "norm"], "ts", int(GAP.total_seconds()) * 10**6, MEASURES, 3, ("platform",))
+    slices = seconds / GAP.total_seconds()
+    breaks = seconds // 1400
+    assert cells.count() <= 3 * (slices + 1) + 3 * (breaks + 1)
+    assert cells.agg(F.sum("rows")).first()[0] == rows.count()
+    table = [tuple(r) for r in hot.collect()]
+    assert len(by_hand(table)) > 10 and by_spark(spark, table) == by_hand(table)
