@@ -23,6 +23,7 @@ def gap_sessions(
     tracks: int = 1,
     split_tracks: Column | None = None,
     also: tuple[str, ...] = (),
+    dense: bool = False,
 ) -> DataFrame:
     """One row per session with its measures, `session_start` and `session_end`.
 
@@ -40,9 +41,11 @@ def gap_sessions(
 
     `split_tracks`, a condition on columns of `by`, marks the keys that have
     several tracks; all others must have one. There a start on one track also
-    divides the rows of the others, so cells are cut at such starts
-    (`cut_cells`): a slice has at most one start of each track, so a track's
-    slice is cut into at most `tracks` cells.
+    divides the rows of the others, so cells are one per distinct time. Where rows
+    come once a gap or less often, as those of one poll do, there are no more of
+    these than slices. `dense` is for rows that come more often: cells are
+    slices cut at such starts (`cut_cells`), at most `tracks` of a slice and
+    track, for the price of some more shuffles of folded rows.
 
     measures: name -> (min | max | sum | count, column).
     """
@@ -50,6 +53,9 @@ def gap_sessions(
     rows = df.withColumns({"_hash": F.xxhash64(*by), "_track": F.lit(0) if track is None else track})
     if split_tracks is None:
         return _numbered(_cells(rows, by, ts, width, measures, also), by, width, measures, tracks, also)
+    if not dense:
+        width_at = F.when(split_tracks, F.lit(1)).otherwise(F.lit(width))
+        return _numbered(_cells(rows, by, ts, width_at, measures, also), by, width, measures, tracks, also)
     shared = F.coalesce(split_tracks, F.lit(False))
     single = rows.where(~shared).withColumn("_track", F.lit(0))
     plain = _numbered(_cells(single, by, ts, width, measures, also), by, width, measures, 1, also)
@@ -61,8 +67,9 @@ def _micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 
-def _slice(micros: Column, width: int) -> Column:
-    return micros - F.pmod(micros, F.lit(width)) if width else micros
+def _slice(micros: Column, width: int | Column) -> Column:
+    width = F.lit(width) if isinstance(width, int) else width
+    return micros - F.coalesce(F.pmod(micros, F.nullif(width, F.lit(0))), F.lit(0))
 
 
 def _merged(measures: dict[str, tuple[str, str]]) -> list[Column]:
@@ -73,7 +80,7 @@ def _merged(measures: dict[str, tuple[str, str]]) -> list[Column]:
     ]
 
 
-def _cells(rows: DataFrame, by: list[str], ts: str, width: int, measures: dict, also: tuple[str, ...], fine: bool = False) -> DataFrame:
+def _cells(rows: DataFrame, by: list[str], ts: str, width: int | Column, measures: dict, also: tuple[str, ...], fine: bool = False) -> DataFrame:
     """Rows of one track folded by slice, or by distinct time within slices. A hash before the keys lets sorts mostly compare one number."""
     keys = ["_hash", *by, "_track", *also, _slice(_micros(ts), width).alias("_cell")]
     return rows.groupBy(*keys, *([_micros(ts).alias("_at")] if fine else [])).agg(
@@ -128,11 +135,13 @@ def cut_cells(
     """
     cell = ["_hash", *by, "_track", *also, "_cell"]
     fine = _cells(rows, by, ts, width, measures, also, fine=True)
-    coarse = _starting(fine.groupBy(*cell).agg(*_merged(measures)), by, width, tracks)
+    # The first and last time are taken from the folded times, so that both uses of these share one shuffle.
+    sliced = fine.groupBy(*cell).agg(*_merged(measures), F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+    coarse = _starting(sliced, by, width, tracks)
     of_slice = Window.partitionBy("_hash", *by, "_cell")
-    place = F.struct(_micros("session_start").alias("t"), F.col("_track").alias("k"))
+    place = F.struct(F.col("_from").alias("t"), F.col("_track").alias("k"))
     cuts = F.collect_list(F.when(F.col("_starts") == 1, place)).over(of_slice)
-    end = F.struct(_micros("session_end").alias("t"), F.col("_track").alias("k"))
+    end = F.struct(F.col("_to").alias("t"), F.col("_track").alias("k"))
     inside = F.filter(cuts, lambda c: (c["k"] != F.col("_track")) & (c > place) & (c <= end))
     marked = coarse.withColumn("_cuts", inside)
     whole = marked.where(F.size("_cuts") == 0).select(*cell, "session_start", "session_end", *measures)

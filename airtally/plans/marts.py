@@ -151,14 +151,21 @@ BROADCAST = [
 
 
 def broadcast(
-    live: DataFrame, streamers: DataFrame, games: DataFrame, *, as_of: date, gap: timedelta = POLL_GAP
+    live: DataFrame,
+    streamers: DataFrame,
+    games: DataFrame,
+    *,
+    as_of: date,
+    gap: timedelta = POLL_GAP,
+    poll: timedelta | None = None,
 ) -> DataFrame:
     """M1: a row per stretch of one game in one broadcast.
 
     The step to the snapshot before is looked up among rows of the same raw
     code, so missing, empty and literal talk codes have histories of their own,
     but stretches are counted over all three. A talk code's cells are one per
-    collect time, of which a broadcast has one every few minutes.
+    collect time, of which a broadcast has one a gap; if polls come more often,
+    as `poll` says, they are slices of the gap instead, cut where they must be.
     """
     facts = live_facts(live)
     sessions = gap_sessions(
@@ -171,6 +178,7 @@ def broadcast(
         tracks=CODE_TRACKS,
         split_tracks=F.col("n_game_code") == NO_GAME_CODE,
         also=("platform",),
+        dense=poll is not None and poll < gap,
     )
     return (
         with_names(sessions, streamers, games)

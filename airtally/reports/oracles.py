@@ -440,6 +440,7 @@ for _kept, _mart in (
     ("sk5_kept_freq", "m10_week_broadcast_freq"),
 ):
     QUERIES[_kept] = QUERIES[_mart].replace("{played}", "{grown_played}").replace("{broadcast}", "{grown}")
+QUERIES["m1_dense_polls"] = QUERIES["m1_broadcast"]
 
 
 def sql(name: str) -> str:

@@ -89,6 +89,13 @@ def m1_broadcast(spark, sf_dir):
     return _broadcasts(spark, sf_dir)
 
 
+@query
+def m1_dense_polls(spark, sf_dir):
+    """The same broadcasts, told that polls come more often than once a gap."""
+    live, streamers, games = (view(spark, sf_dir) for view in (views.live, views.streamers, views.games))
+    return marts.broadcast(live, streamers, games, as_of=AS_OF, gap=GAP, poll=timedelta(days=1))
+
+
 @query
 def m2_broadcast_incremental(spark, sf_dir):
     return loads.broadcast_incremental(

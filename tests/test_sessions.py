@@ -39,10 +39,17 @@ def by_hand(table, gap=GAP):
 
 
 def by_spark(spark, table, gap=GAP):
+    """Both ways of folding shared keys, which must agree."""
+    often, seldom = (_by_spark(spark, table, gap, dense) for dense in (True, False))
+    assert often == seldom
+    return often
+
+
+def _by_spark(spark, table, gap, dense):
     df = spark.createDataFrame(table, SCHEMA).withColumn("norm", normalized_code("code"))
     out = gap_sessions(
         df, ["b", "norm"], "ts", gap, MEASURES,
-        track=code_track("code"), tracks=3, split_tracks=F.col("norm") == "talk", also=("platform",),
+        track=code_track("code"), tracks=3, split_tracks=F.col("norm") == "talk", also=("platform",), dense=dense,
     )
     picked = out.select("b", "norm", "platform", "session_start", "session_end", *MEASURES)
     return sorted(tuple(r) for r in picked.collect())
