@@ -694,19 +694,29 @@ def sk5_kept_freq(spark, sf_dir):
     return _kept(spark, sf_dir, "anal_week_broadcast_freq")
 
 
-@query
-def st5_price_change_stream(spark, sf_dir):
-    """Prices of early years, then the later ones, through one stream."""
+def _followed_prices(spark: SparkSession, sf_dir: str) -> str:
+    """Three runs of the price stream: odd days of early years, then the even days and what is later, then a week that is long closed."""
     root, prices = work_folder(spark, "prices"), views.prices(spark, sf_dir)
-    early = F.col("collect_date") < date(1999, 1, 1)
-    for part in (prices.where(early), prices.where(~early)):
-        part.write.mode("append").parquet(f"{root}/prices")
+    early, late = F.col("collect_date") < date(1997, 1, 1), F.col("collect_date").between(date(1995, 3, 1), date(1995, 3, 7))
+    odd = F.dayofmonth("collect_date") % 2 == 1
+    for part in (early & odd & ~late, ~(early & odd) & ~late, late):
+        prices.where(part).write.mode("append").parquet(f"{root}/prices")
         stream = spark.readStream.schema(prices.schema).parquet(f"{root}/prices")
-        query = streams.price_change_stream(
-            stream, views.games(spark, sf_dir), f"{root}/out", f"{root}/checkpoint"
-        )
+        query = streams.price_change_stream(stream, views.games(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", "800 days")
         streams.run_to_end(query)
-    return spark.read.parquet(f"{root}/out/changes").drop("batch")
+    return f"{root}/out"
+
+
+@query
+def st5_price_change_stream(spark, sf_dir):
+    """Changes of the days that the stream has closed, from runs that bring days in no order."""
+    return streams.price_changes(spark, _followed_prices(spark, sf_dir))
+
+
+@query
+def st5_late_prices(spark, sf_dir):
+    """Prices that came when their day was closed."""
+    return streams.late_prices(spark, _followed_prices(spark, sf_dir))
 
 
 @query
