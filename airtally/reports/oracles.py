@@ -356,6 +356,11 @@ QUERIES = {
         SELECT g.game_id, COALESCE(c.c_mktsegment, '') AS category FROM {games} g
         LEFT JOIN customer c ON g.game_id = CAST(c.c_custkey AS VARCHAR)""",
     "sc1_landing_documents": _LIVE_ROWS,
+    "sc1_unreadable_documents": """
+        SELECT CAST(year(ts) AS BIGINT) AS year, CAST(month(ts) AS BIGINT) AS month, CAST(day(ts) AS BIGINT) AS day,
+               '{{"collect_time": "' || strftime(ts, '%Y-%-m-%-d %-H:%-M') || '", "raw_game_ccu": [{{"player_count": ' || user_id AS document
+        FROM events WHERE user_id % 11 = 3 AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-21'""",
+    "st1_old_and_new_document": "SELECT *, CAST(2 AS BIGINT) AS folders_read FROM (" + _CCU_ROWS + ") rows",
     "sc2_normalized_day": """
         SELECT game_id, collect_time, game_ccu FROM {ccu} WHERE wall >= TIMESTAMP '2024-01-10' AND wall < TIMESTAMP '2024-01-12'""",
     "sc3_dimension": "SELECT * FROM {streamers}",

@@ -409,6 +409,46 @@ def sc1_landing_documents(spark, sf_dir):
     return rows.drop("year", "month", "day", "hour")
 
 
+@query
+def sc1_unreadable_documents(spark, sf_dir):
+    """Landed documents of which some break off: these are listed, and their games are in no row."""
+    root = work_folder(spark, "broken")
+    whole = F.to_json(F.struct("collect_time", "raw_game_ccu"))
+    cut = F.concat(F.lit('{"collect_time": "'), "collect_time", F.lit('", "raw_game_ccu": [{"player_count": '), F.get("raw_game_ccu", F.lit(0))["game_id"])
+    documents = views.ccu_documents(spark, sf_dir).withColumn("at", F.to_timestamp("collect_time", "yyyy-M-d H:m"))
+    lines = documents.select(
+        F.when(F.get("raw_game_ccu", F.lit(0))["game_id"].cast("bigint") % 11 == 3, cut).otherwise(whole).alias("value"),
+        F.year("at").alias("year"), F.month("at").alias("month"), F.dayofmonth("at").alias("day"),
+    )
+    lines.write.partitionBy("year", "month", "day").text(landing.table_folder(root, "json", "raw_game_ccu"))
+    bad = landing.unreadable_documents(spark, root, "raw_game_ccu", first=date(2024, 1, 1), last=date(2024, 1, 20), multiline=False)
+    return bad.select("year", "month", "day", "document")
+
+
+@query
+def st1_old_and_new_document(spark, sf_dir):
+    """A stream whose second batch has the first half hour and the last one only, and reads the folders of these two days."""
+    root, documents = work_folder(spark, "late"), views.ccu_documents(spark, sf_dir)
+    taken = documents.withColumn("taken", F.to_timestamp("collect_time", "yyyy-M-d H:m"))
+    ends = taken.agg(F.min("taken").alias("a"), F.max("taken").alias("b")).first()
+    second = (F.col("taken") < ends["a"] + timedelta(minutes=30)) | (F.col("taken") > ends["b"] - timedelta(minutes=30))
+    out = tables.table_folder(root, "parquet", "raw_game_ccu")
+    read: list[int] = []
+
+    def again(folders):
+        read.append(len(folders))
+        return landing.read_folders(spark, root, "raw_game_ccu", folders, multiline=False)
+
+    for part in (taken.where(~second), taken.where(second)):
+        _landed(spark, root, "raw_game_ccu", part, "taken")
+        stream = landing.stream_documents(spark, root, "raw_game_ccu", multiline=False)
+        streams.run_to_end(
+            streams.normalize_stream(stream, normalize.game_ccu, out, f"{root}/checkpoint", keys=["year", "month", "day"], again=again)
+        )
+    rows = spark.read.parquet(out).select("game_id", "collect_time", "game_ccu")
+    return rows.withColumn("folders_read", F.lit(read[-1]))
+
+
 def _ccu_written(spark: SparkSession, sf_dir: str) -> str:
     root = work_folder(spark, "normalized")
     writers.overwrite_partitions(
@@ -459,7 +499,7 @@ def sc5_only_new_files(spark, sf_dir):
             out,
             f"{root}/checkpoint",
             keys=["year", "month", "day"],
-            again=lambda first, last: landing.read_documents(spark, root, "raw_game_ccu", first=first, last=last, multiline=False),
+            again=lambda folders: landing.read_folders(spark, root, "raw_game_ccu", folders, multiline=False),
         )
         streams.run_to_end(query)
     return spark.read.parquet(out).select("game_id", "collect_time", "game_ccu")
@@ -585,7 +625,7 @@ def st1_normalize_stream(spark, sf_dir):
         out,
         f"{root}/checkpoint",
         keys=["year", "month", "day"],
-        again=lambda first, last: landing.read_documents(spark, root, "raw_live_viewer", first=first, last=last, multiline=False),
+        again=lambda folders: landing.read_folders(spark, root, "raw_live_viewer", folders, multiline=False),
     )
     streams.run_to_end(query)
     return spark.read.parquet(out).drop("year", "month", "day", "hour")
@@ -598,13 +638,14 @@ def st1_stream_and_batch(spark, sf_dir):
     documents = views.ccu_documents(spark, sf_dir)
     _landed(spark, root, "raw_game_ccu", documents.withColumn("taken", F.to_timestamp("collect_time", "yyyy-M-d H:m")), "taken")
 
-    def again(first, last):
-        return landing.read_documents(spark, root, "raw_game_ccu", first=first, last=last, multiline=False)
+    def again(folders):
+        return landing.read_folders(spark, root, "raw_game_ccu", folders, multiline=False)
 
     out, keys = tables.table_folder(root, "parquet", "raw_game_ccu"), ["year", "month", "day"]
     stream = landing.stream_documents(spark, root, "raw_game_ccu", multiline=False)
     streams.run_to_end(streams.normalize_stream(stream, normalize.game_ccu, out, f"{root}/checkpoint", keys=keys, again=again))
-    writers.overwrite_partitions(normalize.game_ccu(again(date(2024, 1, 5), date(2024, 1, 6))), out, keys)
+    two_days = landing.read_documents(spark, root, "raw_game_ccu", first=date(2024, 1, 5), last=date(2024, 1, 6), multiline=False)
+    writers.overwrite_partitions(normalize.game_ccu(two_days), out, keys)
     whole = tables.read_normalized(spark, root, "raw_game_ccu")
     ranged = tables.read_normalized(spark, root, "raw_game_ccu", first=date(2023, 1, 1), last=date(2024, 12, 31))
     columns = ["game_id", "collect_time", "game_ccu"]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from airtally.functions.times import within_days
@@ -61,6 +62,44 @@ def read_documents(
     return in_folders(reader.json(table_folder(root, "json", table)), first, last, hour)
 
 
+def read_folders(
+    spark: SparkSession, root: str, table: str, folders: list[Row], *, multiline: bool | None = None
+) -> DataFrame:
+    """SC1 for a list of folders, as rows of their keys; no other folder is listed or read."""
+    base = table_folder(root, "json", table)
+    reader = spark.read.schema(_with_folder_keys(LANDING[table], table)).option("basePath", base)
+    paths = ["/".join([base, *(f"{k}={v}" for k, v in folder.asDict().items())]) for folder in folders]
+    return reader.option("multiLine", table in MULTILINE if multiline is None else multiline).json(paths)
+
+
+UNREAD = "_unread"
+
+
+def unreadable_documents(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    *,
+    first: date | None = None,
+    last: date | None = None,
+    hour: int | None = None,
+    multiline: bool | None = None,
+) -> DataFrame:
+    """SC1: the documents that `read_documents` takes for empty, as they can't be parsed: their folder keys, file and text."""
+    schema = _with_folder_keys(LANDING[table], table)
+    reader = (
+        spark.read.schema(StructType(list(schema.fields)).add(UNREAD, "string"))
+        .option("columnNameOfCorruptRecord", UNREAD)
+        .option("multiLine", table in MULTILINE if multiline is None else multiline)
+    )
+    rows = in_folders(reader.json(table_folder(root, "json", table)), first, last, hour)
+    # Nothing is parsed, so nothing found amiss, unless a field of the document is asked for as well.
+    some_field = F.coalesce(F.to_json(F.struct(LANDING[table].fieldNames()[0])), F.lit(""))
+    document = F.concat(UNREAD, F.substring(some_field, 1, 0)).alias("document")
+    keys = [F.col(k) for k in partition_columns(table)]
+    return rows.select(*keys, F.col("_metadata.file_path").alias("file"), document).where(F.col("document").isNotNull())
+
+
 def stream_documents(
     spark: SparkSession,
     root: str,

@@ -5,10 +5,11 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from airtally.functions.times import partition_date, within_days
-from airtally.plans import loads, marts, refresh
+from airtally.plans import loads, marts, normalize, refresh
 from airtally.session import work_folder
 from airtally.sinks import writers
 from airtally.sources import landing, log, tables
@@ -262,3 +263,31 @@ def test_read_documents_prunes(spark, tmp_path):
         folder.mkdir(parents=True)
         (folder / "a.json").write_text('{"collect_time":"2024-1-1 0:0","raw_game_ccu":[]}')
     assert landing.read_documents(spark, str(tmp_path), "raw_game_ccu", first=date(2024, 1, 2)).count() == 1
+
+
+def test_sc1_broken_documents_are_listed_and_others_read(spark, tmp_path):
+    """One whole document, one that breaks off, one that is no JSON, an empty file; over several lines and one to a line."""
+    where = tmp_path / "source" / "json" / "table_name=raw_game_ccu" / "year=2024" / "month=1" / "day=5" / "hour=0"
+    where.mkdir(parents=True)
+    whole = {"collect_time": "2024-1-5 0:0", "raw_game_ccu": [{"player_count": 1, "result": 1, "game_id": 7}]}
+    texts = {"whole": json.dumps(whole, indent=1), "cut": json.dumps(whole)[:-9], "no": "<html>", "empty": ""}
+    for name, text in texts.items():
+        (where / f"{name}.json").write_text(text)
+    bad = landing.unreadable_documents(spark, str(tmp_path), "raw_game_ccu", first=date(2024, 1, 5), multiline=True).collect()
+    assert sorted((r["file"].rsplit("/", 1)[1], r["document"], r["day"], r["hour"]) for r in bad) == [
+        ("cut.json", texts["cut"], 5, 0), ("no.json", texts["no"], 5, 0),
+    ]
+    assert landing.unreadable_documents(spark, str(tmp_path), "raw_game_ccu", first=date(2024, 1, 6), multiline=True).count() == 0
+    rows = normalize.game_ccu(landing.read_documents(spark, str(tmp_path), "raw_game_ccu", multiline=True))
+    assert [r["game_id"] for r in rows.collect()] == ["7"]
+
+
+def test_st1_reads_listed_folders_only(spark, tmp_path):
+    where = tmp_path / "source" / "json" / "table_name=raw_game_ccu"
+    for d in range(1, 9):
+        folder = where / f"year=2024/month=1/day={d}/hour=0"
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text('{"collect_time":"2024-1-1 0:0","raw_game_ccu":[]}')
+    folders = [Row(year=2024, month=1, day=d, hour=0) for d in (2, 8)]
+    rows = landing.read_folders(spark, str(tmp_path), "raw_game_ccu", folders)
+    assert sorted(r["day"] for r in rows.select("day").collect()) == [2, 8] and len(rows.inputFiles()) == 2
