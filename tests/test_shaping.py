@@ -1,6 +1,9 @@
 from datetime import date, datetime
 
 from airtally.operators.lookups import attach_or_blank
+from pyspark.sql import functions as F
+
+from airtally.functions.texts import plain_text
 from airtally.plans import shaping
 from airtally.schemas import FEEDS
 
@@ -137,3 +140,14 @@ def test_r12_lookup(spark, rows):
     names = spark.createDataFrame([("a",), ("b",)], "game string")
     lookup = spark.createDataFrame([("a", "tag"), ("b", None)], "game string, category string")
     assert rows(attach_or_blank(names, lookup, "game", "category")) == [("a", "tag"), ("b", "")]
+
+
+def test_references_are_decoded_once(spark):
+    """Common and other names, decimal and hexadecimal numbers, none at all, and what names no character."""
+    texts = {
+        "a &amp;lt; b": "a &lt; b", "&#039;&#x2122;&eacute;&hearts;": "'™é♥", "&nope; &#0; &#xD800; &;": "&nope; &#0; &#xD800; &;",
+        "no reference": "no reference", "&nbsp;x&nbsp;": "x", "<b>&lt;</b>&gt;": "<>", "R&D &amp": "R&D &amp", "&#1114111;": chr(1114111),
+        "&#9999999; &#128;": "&#9999999; \x80",
+    }
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", plain_text(F.col("t")).alias("p")).collect()
+    assert {r["t"]: r["p"] for r in rows} == {**texts, None: None}
