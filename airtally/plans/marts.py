@@ -35,6 +35,9 @@ from airtally.operators.ordered import latest_per_key, previous_value, top_per_g
 from airtally.operators.sessions import gap_sessions
 
 POLL_GAP = timedelta(minutes=5)
+# When the day of the game ranking starts, and on which clock.
+RANK_DAY_START = time(6)
+RANK_ZONE = "Asia/Tokyo"
 
 
 def _div(total: Column, rows: Column) -> Column:
@@ -402,8 +405,8 @@ def yesterday_game_rank(
     games: DataFrame,
     *,
     as_of: date,
-    day_start: time = time(6),
-    zone: str = "Asia/Tokyo",
+    day_start: time = RANK_DAY_START,
+    zone: str = RANK_ZONE,
     n: int = 5,
 ) -> DataFrame:
     """The games with most viewers among broadcasts started on the day that ends on `as_of`.

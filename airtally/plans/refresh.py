@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, time, timedelta
+from datetime import UTC, date, datetime, time, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtally.functions.times import day_window, landing_days, partition_date
+from airtally.functions.times import day_window, instant, landing_days, partition_date
 from airtally.plans import loads, marts, normalize, upkeep
 from airtally.schemas import SILVER, partition_columns
 from airtally.sinks import writers
@@ -56,11 +56,39 @@ def mart_folder(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/analytics/{name}"
 
 
-def read_broadcasts(spark: SparkSession, root: str) -> DataFrame:
-    """The broadcast mart: the version published last, and the days added to that version since."""
+#: The folders of a published broadcast mart: the UTC day of a stretch's start.
+START_DAY = "start_day"
+
+
+def publish_broadcasts(rows: DataFrame, root: str) -> int:
+    """Replace the broadcast mart as a whole, in folders by start day."""
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(instant("broadcast_start_time")) / 86_400).cast("int"))
+    return writers.publish(
+        rows.withColumn(START_DAY, day),
+        mart_folder(root, "anal_broadcast"),
+        sort_within=["streamer_nm", "broadcast_id", "broadcast_start_time"],
+        partition_by=(START_DAY,),
+    )
+
+
+def _published(spark: SparkSession, folder: str, started: tuple[date, date] | None = None) -> DataFrame:
+    rows = tables.read_mart(spark, folder)
+    if START_DAY not in rows.columns:
+        return rows
+    if started:
+        rows = rows.where(F.col(START_DAY).between(F.lit(started[0]), F.lit(started[1])))
+    return rows.drop(START_DAY)
+
+
+def read_broadcasts(spark: SparkSession, root: str, *, started: tuple[date, date] | None = None) -> DataFrame:
+    """The broadcast mart: the version published last, and the days added to that version since.
+
+    `started` names the first and the last UTC day of starts that are wanted: of the version, only their
+    folders are read.
+    """
     folder = mart_folder(root, "anal_broadcast")
     base = tables.current_version(spark, folder)
-    rows = tables.read_mart(spark, folder) if base else None
+    rows = _published(spark, folder, started) if base else None
     added = _added_days(spark, folder, base, rows)
     if rows is None or added is None:
         if rows is None and added is None:
@@ -96,11 +124,7 @@ def refresh_broadcasts(
     folder = mart_folder(root, "anal_broadcast")
     if full:
         live = tables.read_normalized(spark, root, "raw_live_viewer")
-        writers.publish(
-            marts.broadcast(live, streamers, games, as_of=as_of),
-            folder,
-            sort_within=["streamer_nm", "broadcast_id", "broadcast_start_time"],
-        )
+        publish_broadcasts(marts.broadcast(live, streamers, games, as_of=as_of), root)
     else:
         first, last = landing_days(*day_window(as_of, loads.DAY_START, loads.ZONE))
         live = tables.read_normalized(spark, root, "raw_live_viewer", first=first, last=last)
@@ -132,8 +156,9 @@ def refresh_marts(
     Those that add up over broadcasts are kept up: a full refresh folds the new
     version anew, any other the days that it does not have yet. The others are published.
     """
-    broadcasts = refresh_broadcasts(spark, root, streamers, games, as_of=as_of, full=full)
+    refresh_broadcasts(spark, root, streamers, games, as_of=as_of, full=full)
     keep_up(spark, root, as_of)
+    ranked = [moment.astimezone(UTC).date() for moment in day_window(as_of, marts.RANK_DAY_START, marts.RANK_ZONE)]
     now = now or datetime.combine(as_of, time())
 
     def silver(table: str, first: date | None = None, last: date | None = None) -> DataFrame:
@@ -153,7 +178,9 @@ def refresh_marts(
             games,
             now=now,
         ),
-        "anal_ysd_game_rank": marts.yesterday_game_rank(broadcasts, games, as_of=as_of),
+        "anal_ysd_game_rank": marts.yesterday_game_rank(
+            read_broadcasts(spark, root, started=(ranked[0], ranked[1])), games, as_of=as_of
+        ),
     }
     for name, rows in built.items():
         writers.publish(rows, mart_folder(root, name))
@@ -168,7 +195,7 @@ def keep_up(spark: SparkSession, root: str, as_of: date) -> None:
     """Bring the kept marts up to the broadcasts: the current version if it is a new one, days not folded yet, and the day of the run again."""
     folder, kept = mart_folder(root, "anal_broadcast"), kept_folder(root)
     base = tables.current_version(spark, folder)
-    rows = tables.read_mart(spark, folder) if base else None
+    rows = _published(spark, folder) if base else None
     if base and f"base-{base[1]}" not in upkeep.state(spark, kept)["loads"]:
         upkeep.add_load(rows, kept, f"base-{base[1]}", replace_all=True)
     added = _added_days(spark, folder, base, rows)

@@ -409,6 +409,21 @@ QUERIES = {
                 AND live_collect_time < TIMESTAMP '1999-06-15 06:00:00'
               GROUP BY streamer_nm, broadcast_id, m.game_nm, platform) rows
         GROUP BY game_nm, streamer_nm""",
+    "st3_week_game_viewer": """
+        SELECT u.game_nm, CAST(u.hour AS BIGINT) AS hour, s.streamer_nm, AVG(u.viewer_num) AS viewer_avg,
+               strftime(u.live_collect_time, '%Y-%m-%d') AS created_date
+        FROM (SELECT g.game_nm, l.game_code, l.live_collect_time, l.viewer_num, l.year, l.month, l.day, l.hour, l.streamer_id
+              FROM {live} l JOIN {games} g ON l.game_code = g.chz_game_code
+              WHERE g.chz_game_code <> ''
+              UNION
+              SELECT g.game_nm, l.game_code, l.live_collect_time, l.viewer_num, l.year, l.month, l.day, l.hour, l.streamer_id
+              FROM {live} l
+              JOIN {games} g ON l.game_code = lpad(g.afc_game_code, CAST(length(g.afc_game_code) + 3 AS INTEGER), '0')
+              WHERE g.afc_game_code <> '') u
+        JOIN {streamers} s ON u.streamer_id = s.streamer_id
+        -- An hour is closed once a snapshot is 200 days past its end.
+        WHERE date_trunc('hour', u.live_collect_time) + INTERVAL 1 HOUR <= (SELECT MAX(live_collect_time) FROM {live}) - INTERVAL 200 DAY
+        GROUP BY u.game_nm, strftime(u.live_collect_time, '%Y-%m-%d'), u.hour, s.streamer_nm""",
     "st4_sliding_day_average": f"""
         SELECT event_type, strftime(window_start, {TIME}) AS window_start,
                strftime(window_start + INTERVAL 24 HOUR, {TIME}) AS window_end, AVG(viewers) AS viewer_avg
@@ -461,6 +476,7 @@ for _kept, _mart in (
 ):
     QUERIES[_kept] = QUERIES[_mart].replace("{played}", "{grown_played}").replace("{broadcast}", "{grown}")
 QUERIES["m1_dense_polls"] = QUERIES["m1_broadcast"]
+QUERIES["sc4_rank_of_days"] = QUERIES["m13_yesterday_game_rank"]
 
 
 def sql(name: str) -> str:

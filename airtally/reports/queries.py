@@ -669,6 +669,18 @@ def st3_hourly_average(spark, sf_dir):
     return _closed(spark, averages, "hourly")
 
 
+@query
+def st3_week_game_viewer(spark, sf_dir):
+    """M11 on a stream of snapshots: hours that are closed when all have come, some snapshots twice."""
+    root, live = work_folder(spark, "viewers"), views.live(spark, sf_dir)
+    for part in (live, live.where("cast(viewer_num as int) % 3 = 0 and live_collect_time >= '2001-06-01'")):
+        part.write.mode("append").parquet(f"{root}/live")
+        rows = spark.readStream.schema(live.schema).parquet(f"{root}/live")
+        sums = streams.hourly_viewer_stream(rows, views.streamers(spark, sf_dir), views.games(spark, sf_dir), "200 days")
+        streams.run_to_end(streams.write_windows(sums, f"{root}/table", f"{root}/checkpoint"))
+    return streams.hourly_viewers(spark.read.schema(sums.schema).parquet(f"{root}/table").select(*sums.columns))
+
+
 @query
 def st4_sliding_day_average(spark, sf_dir):
     averages = streams.window_average(
@@ -748,6 +760,15 @@ def _followed_prices(spark: SparkSession, sf_dir: str) -> str:
     return f"{root}/out"
 
 
+@query
+def sc4_rank_of_days(spark, sf_dir):
+    """M13 over a published mart in folders of its start days, of which the two that it asks for are read."""
+    root = work_folder(spark, "days")
+    refresh.publish_broadcasts(_broadcasts(spark, sf_dir), root)
+    broadcasts = refresh.read_broadcasts(spark, root, started=(AS_OF - timedelta(days=1), AS_OF))
+    return marts.yesterday_game_rank(broadcasts, views.games(spark, sf_dir), as_of=AS_OF)
+
+
 @query
 def st5_price_change_stream(spark, sf_dir):
     """Changes of the days that the stream has closed, from runs that bring days in no order."""

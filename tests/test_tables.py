@@ -291,3 +291,24 @@ def test_st1_reads_listed_folders_only(spark, tmp_path):
     folders = [Row(year=2024, month=1, day=d, hour=0) for d in (2, 8)]
     rows = landing.read_folders(spark, str(tmp_path), "raw_game_ccu", folders)
     assert sorted(r["day"] for r in rows.select("day").collect()) == [2, 8] and len(rows.inputFiles()) == 2
+
+
+def test_m13_reads_two_folders_of_the_published_mart(spark, tmp_path, games):
+    """Other days' files can't even be opened, and it still comes out."""
+    root = str(tmp_path)
+    rows = spark.range(40).selectExpr(
+        "'S' streamer_nm", "cast(id as string) broadcast_id", "concat('g', id % 4) game_nm", "'chzzk' platform", "'t' broadcast_title",
+        "cast(id as int) max_viewer_num", "cast(id as int) avg_viewer_num", "timestamp'2024-03-01 12:00:00' + make_dt_interval(cast(id div 4 as int)) broadcast_start_time",
+        "timestamp'2024-03-01 13:00:00' + make_dt_interval(cast(id div 4 as int)) broadcast_end_time", "60.0D game_duration", "date'2024-03-20' created_date",
+    )
+    refresh.publish_broadcasts(rows, root)
+    assert sorted(refresh.read_broadcasts(spark, root).collect()) == sorted(rows.collect())
+    days = (date(2024, 3, 4), date(2024, 3, 5))
+    dimension = games(*({"game_id": str(i), "game_nm": f"g{i}"} for i in range(4)))
+    picked = marts.yesterday_game_rank(refresh.read_broadcasts(spark, root, started=days), dimension, as_of=date(2024, 3, 5))
+    assert any("start_day" in f for f in pruned(picked))
+    for path in tmp_path.rglob("*.parquet"):
+        if not any(f"start_day=2024-03-0{d}/" in str(path) for d in (4, 5)):
+            path.write_text("no Parquet")
+    whole = marts.yesterday_game_rank(rows, dimension, as_of=date(2024, 3, 5))
+    assert sorted(picked.collect()) == sorted(whole.collect()) and picked.count() == 4
