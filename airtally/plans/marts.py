@@ -93,32 +93,36 @@ def with_names(facts: DataFrame, streamers: DataFrame, games: DataFrame) -> Data
 
     A code stands for the games that have it as their first code, and for those
     that have it, without its zeros, as their second and not as their first too.
-    An OR cannot be hashed, so the games are folded to a row per code of either
-    kind, and the facts meet both by an equal code: no list of their codes is
-    needed. A third of the facts may have one code. Adaptive execution splits its
-    partition, which takes that the folded games are laid out apart from how they
-    were grouped, and rows anew before they are grouped: a grouping below or
-    above a join would otherwise share the join's layout.
+    An OR cannot be hashed, so codes of both kinds are one long table, a row per
+    game and kind, and a fact looks for its code of the first kind, and of the second if
+    there is any game with it. So no row or list holds the games of one code, and a third
+    of the facts may have one: adaptive execution splits the join's partition, which
+    takes that rows are laid out anew before they are grouped, as a grouping
+    above the join would otherwise share its layout.
     """
-    first = games.where(F.col("chz_game_code").isNotNull()).groupBy(F.col("chz_game_code").alias("n_game_code")).agg(
-        F.collect_list(F.struct("game_nm")).alias("_first")
-
-    ).hint("rebalance")
-    second = games.where(F.col("afc_game_code").isNotNull()).groupBy(F.col("afc_game_code").alias("_plain")).agg(
-        F.collect_list(F.struct("game_nm", "chz_game_code")).alias("_second")
-
-    ).hint("rebalance")
+    second = games.where(F.col("afc_game_code").isNotNull())
+    long = (
+        games.where(F.col("chz_game_code").isNotNull())
+        .select(F.lit(1).alias("kind"), F.col("chz_game_code").alias("code"), F.col("game_nm").alias("dim_game_nm"), F.lit(None).cast("string").alias("_own"))
+        .unionByName(second.select(F.lit(2).alias("kind"), F.col("afc_game_code").alias("code"), F.col("game_nm").alias("dim_game_nm"), F.col("chz_game_code").alias("_own")))
+    )
+    has_second = second.select(F.col("afc_game_code").alias("_plain")).distinct().withColumn("_second", F.lit(True))
     known = facts.join(streamers.select("streamer_id", "streamer_nm"), "streamer_id", "left")
-    met = known.join(first, "n_game_code", "left").withColumn("_plain", without_zeros(F.col("n_game_code")))
-    met = met.join(second, "_plain", "left")
-    other = F.filter("_second", lambda g: ~g["chz_game_code"].eqNullSafe(F.col("n_game_code")))
-    names = F.concat(
-        F.coalesce(F.transform("_first", lambda g: g["game_nm"]), F.array().cast("array<string>")),
-        F.coalesce(F.transform(other, lambda g: g["game_nm"]), F.array().cast("array<string>")),
+    asking = known.withColumn("_plain", without_zeros(F.col("n_game_code"))).join(has_second, "_plain", "left")
+    lookups = F.array(
+        F.struct(F.lit(1).alias("kind"), F.col("n_game_code").alias("code")),
+        F.when(F.col("_second"), F.struct(F.lit(2).alias("kind"), F.col("_plain").alias("code"))),
+    )
+    met = asking.withColumn("_ask", F.explode(F.filter(lookups, lambda k: k.isNotNull()))).select(
+        *[F.col(c) for c in known.columns], "_second", F.col("_ask.kind").alias("kind"), F.col("_ask.code").alias("code")
     )
+    named = met.join(long.withColumn("_found", F.lit(True)), ["kind", "code"], "left")
+    # Without a game of either kind the fact stays; a game of both kinds counts by its first code.
+    by_first = (F.col("kind") == 1) & (F.col("_found").isNotNull() | F.col("_second").isNull())
+    by_second = (F.col("kind") == 2) & ~F.col("_own").eqNullSafe(F.col("n_game_code"))
     return (
-        met.withColumn("dim_game_nm", F.explode_outer(names))
-        .drop("_plain", "_first", "_second")
+        named.where(by_first | by_second)
+        .drop("kind", "code", "_second", "_own", "_found")
         .repartition("streamer_nm", "broadcast_id")
     )
 

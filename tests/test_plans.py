@@ -93,3 +93,17 @@ def test_scans_read_only_the_columns_they_need(spark):
     plan = plan_of(contract.queries()["m12_yesterday_game_ccu"](spark, SF_DIR))
     schemas = [part.split("\n")[0] for part in plan.split("ReadSchema: ")[1:]]
     assert not any("props" in s or "event_type" in s for s in schemas)
+
+
+def test_no_row_holds_all_games_of_a_code(spark, games, streamers, rows):
+    """A code of half of 20 000 games: no list is made of them, and the join gives what the OR join gives."""
+    many = spark.range(20_000).selectExpr(
+        "cast(id as string) game_id", "concat('n', id) game_nm", "if(id % 2 = 0, 'hot', if(id % 3 = 0, null, concat('c', id % 100))) chz_game_code",
+        "if(id % 5 = 0, 'hot', if(id % 7 = 0, '7', null)) afc_game_code",
+    )
+    facts = spark.createDataFrame([(c,) for c in ("hot", "c1", "007", "7", "none", "talk", "000")], "n_game_code string").selectExpr("'s' streamer_id", "n_game_code broadcast_id", "n_game_code")
+    named = with_names(facts, streamers({"streamer_id": "s", "streamer_nm": "S"}), many)
+    plan = plan_of(named)
+    assert "collect_list" not in plan and "ObjectHashAggregate" not in plan
+    theirs = facts.join(many, F.expr("n_game_code = chz_game_code OR ltrim('0', n_game_code) = afc_game_code"), "left")
+    assert rows(named, "n_game_code", "dim_game_nm") == rows(theirs, "n_game_code", "game_nm")
