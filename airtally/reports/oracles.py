@@ -424,6 +424,17 @@ QUERIES = {
         -- An hour is closed once a snapshot is 200 days past its end.
         WHERE date_trunc('hour', u.live_collect_time) + INTERVAL 1 HOUR <= (SELECT MAX(live_collect_time) FROM {live}) - INTERVAL 200 DAY
         GROUP BY u.game_nm, strftime(u.live_collect_time, '%Y-%m-%d'), u.hour, s.streamer_nm""",
+    "st2_broadcast_sessions": f"""
+        -- The stream is 1200 days behind; it has a stretch when the next one has begun, or 400 days after the last snapshot.
+        SELECT streamer_id, broadcast_id, n_game_code, CAST(group_id AS BIGINT) AS group_id,
+               strftime(MIN(live_collect_time), {TIME}) AS session_start, strftime(MAX(live_collect_time), {TIME}) AS session_end,
+               COUNT(*) AS snapshots, CAST(MAX(viewer_num) AS BIGINT) AS top, CAST(SUM(viewer_num) AS BIGINT) AS total
+        FROM (SELECT n.*, passed, MAX(live_collect_time) OVER k AS last,
+                     MAX(CASE WHEN live_collect_time < passed THEN group_id END) OVER k AS reached
+              FROM {{numbered}} n, (SELECT MAX(live_collect_time) - INTERVAL 1200 DAY AS passed FROM {{live}} WHERE broadcast_id IS NOT NULL) m
+              WINDOW k AS (PARTITION BY streamer_id, broadcast_id, n_game_code)) n
+        WHERE last + INTERVAL 400 DAY < passed OR group_id < reached
+        GROUP BY streamer_id, broadcast_id, n_game_code, group_id""",
     "st4_sliding_day_average": f"""
         SELECT event_type, strftime(window_start, {TIME}) AS window_start,
                strftime(window_start + INTERVAL 24 HOUR, {TIME}) AS window_end, AVG(viewers) AS viewer_avg

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from airtally.operators.lookups import attach_or_blank, resolve_codes
 from airtally.operators.ordered import running_sum
 from airtally.operators.sessions import gap_sessions
-from airtally.functions.codes import with_zeros
+from airtally.functions.codes import code_track, normalized_code, with_zeros
 from airtally.plans import loads, marts, normalize, refresh, shaping, upkeep
 from airtally.reports import views
 from airtally.session import work_folder
@@ -661,6 +661,22 @@ def st2_session_stream(spark, sf_dir):
     return _closed(spark, sessions, "sessions")
 
 
+@query
+def st2_broadcast_sessions(spark, sf_dir):
+    """M1's stretches of broadcasts that are over, from a stream that brings the snapshots in two runs."""
+    root, live = work_folder(spark, "stretches"), views.live(spark, sf_dir).where("broadcast_id is not null")
+    early = F.col("live_collect_time") < F.lit("1998-01-01").cast("timestamp")
+    for part in (live.where(early & (F.col("viewer_num") % 2 == 0)), live.where(~(early & (F.col("viewer_num") % 2 == 0)))):
+        part.write.mode("append").parquet(f"{root}/live")
+        rows = spark.readStream.schema(live.schema).parquet(f"{root}/live").withColumn("n_game_code", normalized_code("game_code"))
+        sessions = streams.broadcast_session_stream(
+            rows, ["streamer_id", "broadcast_id", "n_game_code"], "live_collect_time", code_track("game_code"), "viewer_num",
+            GAP, "1200 days", timedelta(days=400),
+        )
+        streams.run_to_end(streams.write_windows(sessions, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.schema(sessions.schema).parquet(f"{root}/table").select(*sessions.columns)
+
+
 @query
 def st3_hourly_average(spark, sf_dir):
     averages = streams.window_average(
