@@ -179,13 +179,18 @@ def fit(
     """
     text, order = F.col(text_col).cast("string"), F.xxhash64(F.col(id_col).cast("string"))
     place = F.lit(1) + F.pmod(order, F.greatest(F.length(text) - WINDOW, F.lit(1))).cast("int")
-    sample = (
-        labelled.where(F.col(lang_col).isNotNull() & (F.length(text) > 0))
-        .select(order.alias("order"), F.substring(text, place, F.lit(WINDOW)).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-        .orderBy("order", "lang", "text")
-        .limit(rows)
-        .collect()
+    taught = labelled.where(F.col(lang_col).isNotNull())
+    usable = taught.where(F.length(text) > 0).select(
+        order.alias("order"), F.substring(text, place, F.lit(WINDOW)).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
+    # Tasks send only rows under a hash that little more than the wanted number can be under; if too few are, more are asked for.
+    share = 1.2 * rows / max(1, taught.count())
+    while True:
+        below = usable if share >= 1 else usable.where(F.col("order") < int(-(2**63) + share * 2**64))
+        sample = below.orderBy("order", "lang", "text").limit(rows).collect()
+        if share >= 1 or len(sample) >= rows:
+            break
+        share *= 4
     sample = [r for r in sample if r["text"] and LETTER.search(r["text"])]
     if not sample:
         none = np.zeros((0, 0), dtype=np.float32)

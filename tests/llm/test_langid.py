@@ -87,3 +87,26 @@ def test_nothing_to_learn_from(documents):
     net = langid.fit(documents([]))
     assert [r["lang_pred"] for r in langid.identify(documents(["the of"]), net).collect()] == ["und"]
     assert langid.identify(documents([]), net).collect() == []
+
+
+def test_forward_pass_against_plain_loops():
+    """What the network serves with, window by window and filter by filter."""
+    chance = np.random.default_rng(3)
+    texts = ["ein kurzer Satz", "another one, longer than the first", "x", "¿qué?"] * 3
+    net = langid.train(np.concatenate([langid.cut(t.encode()[: langid.WINDOW]) for t in texts]), ["a", "b", "c", "d"] * 3)
+    text = "".join(chance.choice(list("abcdé ß?")) for _ in range(700))
+    windows = langid.cut(text.encode())
+    logits = net.logits(windows)
+    for window, row in zip(windows, logits, strict=True):
+        span = net.vectors[window]
+        pooled = []
+        for width, f, offset in zip(langid.WIDTHS, net.filters, net.offsets, strict=True):
+            for k in range(f.shape[1]):
+                best = max(float(span[at : at + width].ravel() @ f[:, k] + offset[k]) for at in range(len(span) - width + 1))
+                pooled.append(max(best, 0.0))
+        raw = np.array(pooled) @ net.weight + net.bias
+        assert np.allclose(raw - raw.max() - np.log(np.exp(raw - raw.max()).sum()), row, atol=1e-3)
+    mean = np.mean(logits.astype(float), axis=0)
+    lang, score = net.predict([text])[0]
+    share = np.exp(mean - mean.max())
+    assert lang == net.languages[int(mean.argmax())] and score == pytest.approx(float((share / share.sum()).max()), abs=1e-3)
