@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from airtally.llm.common import stored
 
-SHARD_ROWS = 4096
+SHARD_ROWS = 16384
 QUERIES_AT_ONCE = 2048
 DEGREE = 24
 BEAM = 64
@@ -30,12 +30,24 @@ class Graph:
     """Out-edges between distinct vectors; -1 fills rows up."""
 
     def __init__(self, x: np.ndarray, degree: int = DEGREE):
-        self.x = np.ascontiguousarray(x, dtype=np.float32)
-        self.square = (self.x.astype(np.float64) ** 2).sum(axis=1).astype(np.float32)
+        # Single precision holds differences only about the middle and in the scale of these vectors; both are medians,
+        # which a few far vectors don't move.
+        self.middle = np.median(x, axis=0)
+        apart = np.abs(x - self.middle).max(axis=1)
+        self.scale = float(np.median(apart)) or float(apart.max()) or 1.0
+        self.x = self.own(x)
+        with np.errstate(over="ignore"):
+            self.square = (self.x.astype(np.float64) ** 2).sum(axis=1).astype(np.float32)
         self.degree = degree
         self.edges = np.full((len(x), degree + degree // 2), -1, dtype=np.int32)
-        center = self.x.mean(axis=0)
-        self.start = int(((self.x - center) ** 2).sum(axis=1).argmin())
+        with np.errstate(over="ignore", invalid="ignore"):
+            from_middle = np.nan_to_num((self.x**2).sum(axis=1), nan=np.inf)
+        self.start = int(from_middle.argmin())
+
+    def own(self, vectors: np.ndarray) -> np.ndarray:
+        """Vectors as the graph compares them."""
+        with np.errstate(over="ignore"):
+            return np.ascontiguousarray((vectors - self.middle) / self.scale, dtype=np.float32)
 
     def search(self, queries: np.ndarray, beam: int, at_once: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """The nodes (and squared distances) that beam search ends with, nearest first; -1 fills up."""
@@ -71,9 +83,11 @@ class Graph:
         return ids, near
 
     def _distance(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        products = np.einsum("nkd,nd->nk", self.x[ids], queries, optimize=True)
-        square = (queries**2).sum(axis=1)[:, None]
-        return np.where(ids < 0, np.inf, np.maximum(self.square[ids] - 2 * products + square, 0)).astype(np.float32)
+        with np.errstate(over="ignore", invalid="ignore"):  # of vectors far away: infinite
+            products = np.einsum("nkd,nd->nk", self.x[ids], queries, optimize=True)
+            square = (queries**2).sum(axis=1)[:, None]
+            near = np.nan_to_num(self.square[ids] - 2 * products + square, nan=np.inf, posinf=np.inf)
+        return np.where(ids < 0, np.inf, np.maximum(near, 0)).astype(np.float32)
 
     def prune(self, nodes: np.ndarray, proposed: np.ndarray, relaxed: float = RELAXED) -> np.ndarray:
         """At most `degree` of each node's proposals (-1: none), nearest first, that no kept one stands before."""
@@ -85,7 +99,8 @@ class Graph:
         ids, near = np.take_along_axis(proposed, order, 1), np.take_along_axis(near, order, 1)
         points = self.x[ids]
         square = self.square[ids]
-        between = square[:, :, None] + square[:, None, :] - 2 * np.matmul(points, points.transpose(0, 2, 1))
+        with np.errstate(over="ignore", invalid="ignore"):
+            between = square[:, :, None] + square[:, None, :] - 2 * np.matmul(points, points.transpose(0, 2, 1))
         alive = ~np.isinf(near)
         kept = np.full((len(nodes), self.degree), -1, dtype=np.int64)
         rows = np.arange(len(nodes))
@@ -203,7 +218,7 @@ def _search_shard(key: tuple, index: pa.Table, asked: pa.Table, k: int, beam: in
     out: list[list] = [[], [], []]
     for a in range(0, len(queries), 256):
         part = queries[a : a + 256]
-        found, _ = graph.search(part.astype(np.float32), beam)
+        found, _ = graph.search(graph.own(part), beam)
         for q, query, nodes in zip(query_ids[a : a + 256].tolist(), part, found, strict=True):
             nodes = nodes[nodes >= 0]
             near, score = best(q, query, nodes)
@@ -227,7 +242,10 @@ def nearest(
     """Each query's k nearest found: query_id, rank (from 1), vec_id, score (Euclidean distance in doubles).
 
     Ties go to the smaller vec_id; a query's own id is no candidate, and fewer
-    than k candidates are all returned. Vectors that are null, zero or hold null
+    than k candidates are all returned. Neighbours are looked for in single precision about
+    the middle of each shard and in its scale, so offsets and scales common to its vectors
+    cost nothing; a query that is far from all of a shard is compared with each vector there.
+    Vectors that are null, zero or hold null
     or non-finite components take no part, as query or candidate, nor do rows
     without an id; vectors of different lengths never meet. Rows that repeat an
     id count once, where they are nearest. Empty tables give no rows.

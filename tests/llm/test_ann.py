@@ -102,3 +102,36 @@ def test_an_id_of_many_rows_takes_one_place(spark, shard_rows):
 def test_an_id_of_many_vectors_is_in_many_shards(spark):
     rows = ann.usable(frame(spark, [1] * 64, np.arange(1.0, 65)[:, None]), "vec_id", "embedding")
     assert ann.build_index(rows, 4).count() == 4
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e6])
+@pytest.mark.parametrize("scale", [1e-20, 1.0, 1e20])
+def test_recall_does_not_depend_on_offset_or_scale(offset, scale):
+    """One shard's graph in double vectors; the offset is in units of the spread."""
+    random = np.random.default_rng(7)
+    centers = random.normal(size=(12, 32))
+    x = (centers[random.integers(0, 12, 1500)] + random.normal(size=(1500, 32)) * 0.5 + offset) * scale
+    graph = ann.Graph(x).build()
+    queries = x[::25] + random.normal(size=(60, 32)) * 0.01 * scale
+    found, _ = graph.search(graph.own(queries), 64)
+    hits = 0
+    for query, nodes in zip(queries, found, strict=True):
+        exact = np.argsort(((x - query) ** 2).sum(axis=1), kind="stable")[:10]
+        nodes = nodes[nodes >= 0]
+        ranked = nodes[np.argsort(((x[nodes] - query) ** 2).sum(axis=1), kind="stable")[:10]]
+        hits += len(set(ranked.tolist()) & set(exact.tolist()))
+    assert hits >= 0.95 * 600
+
+
+def test_far_and_huge_vectors(spark):
+    """Some vectors of 1e30 among small ones; extra columns of clashing names."""
+    random = np.random.default_rng(8)
+    x = random.normal(size=(300, 8))
+    x[::50] *= 1e30
+    x = x.astype(np.float32).astype(float)
+    vectors = frame(spark, list(range(300)), x).selectExpr("*", "1 query_id", "'s' shard", "2.5 score", "embedding v")
+    found = ann.nearest(vectors, vectors.where("vec_id % 25 = 0")).collect()
+    exact = brute_force(list(range(300)), x, range(0, 300, 25), 10)
+    got = {q: {r["vec_id"] for r in found if r["query_id"] == q} for q in exact}
+    assert all(len(got[q]) == 10 for q in exact)
+    assert sum(len(got[q] & {v for _, v in exact[q]}) for q in exact) >= 0.95 * 10 * len(exact)
