@@ -410,10 +410,19 @@ def link_documents(
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The documents, with all their columns, without those that link to one of a smaller id, however many links away.
 
-    Rows without an id stay. Of rows that repeat an id, one stays.
+    Rows without an id stay. Rows that repeat an id are documents of their own if
+    their texts differ (a hash of id and text tells them apart): of those that link, one
+    stays, and no text is lost that links to nothing. Of rows that repeat both, one
+    stays. Columns of the documents may have any name.
     """
-    linked = link_documents(docs, width, percent, id_col, text_col)
-    first = linked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    with_id = docs.where(F.col(id_col).isNotNull())
-    kept = with_id.join(first, with_id[id_col].cast("long") == first["_kept"], "left_semi")
-    return kept.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    taken = {c.lower() for c in docs.columns}
+    own = "own"
+    while own in taken:
+        own = "_" + own
+    text = F.col(f"`{text_col}`").cast("string")
+    keyed = docs.where(F.col(f"`{id_col}`").isNotNull()).withColumn(own, F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(text, F.lit(""))))
+    linked = link_documents(keyed, width, percent, own, text_col).select(F.col("doc_id").alias("own"), "component_id").distinct()
+    ids = keyed.select(F.col(own).alias("own"), F.col(f"`{id_col}`").alias("id"))
+    first = linked.join(ids, "own").groupBy("component_id").agg(F.min_by("own", F.struct("id", "own")).alias(own)).select(own)
+    kept = keyed.join(first, own, "left_semi").dropDuplicates([own]).drop(own)
+    return kept.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

@@ -110,6 +110,14 @@ def test_one_of_each_stays(documents):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1, 5, 6, 8]
 
 
+def test_texts_under_one_id_are_kept_apart(documents):
+    """Unlinked texts of one id all stay; one that links to a text of a smaller id goes; of repeated rows one stays."""
+    long = " ".join(f"w{k}" for k in range(60))
+    docs = documents([(1, long), (1, "quite other words than those above"), (1, long), (2, long + " end"), (2, "a third text of some words"), (3, None), (3, "")], ("own",))
+    kept = sorted((r["doc_id"], r["text"] or "") for r in jaccard.keep_one_of_each(docs).collect())
+    assert kept == [(1, "quite other words than those above"), (1, long), (2, "a third text of some words"), (3, "")]
+
+
 def test_empty_table(documents):
     assert jaccard.link_documents(documents([])).collect() == []
 
