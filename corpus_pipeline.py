@@ -16,6 +16,13 @@ LEAST_LANGUAGE = 0.4
 HOT_WORDS = 300
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return name
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those in no language that the network is sure of, go."""
     return langid.keep_known(docs, langid.fit(docs), LEAST_LANGUAGE)
@@ -23,19 +30,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules score below one half go."""
-    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), score_col="_quality")
-    return scored.where(F.col("_quality") >= 0.5).drop("_quality")
+    own = _free(docs, "quality")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), score_col=own)
+    return scored.where(F.col(own) >= 0.5).drop(own)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated lines go, of short ones if they are hot, and documents of which nothing is left; n_chars is counted anew."""
-    kept = lines.drop_repeated_lines(docs, deleted_col="_deleted", hot_words=HOT_WORDS)
-    kept = kept.where((F.col("_deleted") == 0) | F.col("text").rlike(lines.WORD)).drop("_deleted")
+    own = _free(docs, "deleted")
+    kept = lines.drop_repeated_lines(docs, deleted_col=own, hot_words=HOT_WORDS)
+    kept = kept.where((F.col(own) == 0) | F.col("text").rlike(lines.WORD)).drop(own)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that five-word shingles link at 0.8, the one of the smallest id stays."""
+    """Of documents that five-word shingles link at 0.8, the one of the smallest id stays; unlinked texts under one id all do."""
     return jaccard.keep_one_of_each(docs, width=5, percent=80)
 
 
