@@ -549,10 +549,11 @@ def sk6_register(spark, sf_dir):
         for part in (rows.where("day < 15"), rows.where("day >= 15")):
             writers.overwrite_partitions(part, folder, ["year", "month", "day"])
             writers.register(spark, name, folder)
-        counted = spark.table(name).groupBy("year", "month", "day").agg(F.count("*").alias("n")).collect()
+        counted = work_folder(spark, "counted")
+        spark.table(name).groupBy("year", "month", "day").agg(F.count("*").alias("n")).write.parquet(counted)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.createDataFrame(counted, "year int, month int, day int, n bigint")
+    return spark.read.parquet(counted)
 
 
 @query
