@@ -21,9 +21,15 @@ from airtally.llm import bytebpe
 from airtally.llm.common import per_slice
 
 NEVER = np.int64(1) << 62
-#: Cells of the arrays of one group of trees; and pieces that a worker remembers.
+#: Cells of the arrays of one group of trees.
 CELLS = 1 << 21
-REMEMBERED = 400_000
+#: Pieces after which what a worker remembers becomes the older half; what is met again of that half is kept.
+REMEMBERED = 350_000
+#: Fewer pieces than this of one size are merged one by one, as arrays of few rows cost more than they save.
+FEW = 24
+#: Rows, and bytes of them, whose new pieces are merged together.
+TOGETHER = 4096
+TOGETHER_BYTES = 24 << 20
 
 
 class SegmentTreeBPE:
@@ -35,8 +41,10 @@ class SegmentTreeBPE:
         codes = merges[:, 0] << 32 | merges[:, 1]
         order = np.argsort(codes, kind="stable")
         self.codes, self.ranks, self.made = codes[order], order, merges[:, 2]
+        self.pairs = {code: (rank << 32, made) for rank, (code, made) in enumerate(zip(codes.tolist(), merges[:, 2].tolist(), strict=True))}
         self.single = np.array([self.vocabulary.ids[bytes([b])] for b in range(256)], dtype=np.int64)
         self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.older: dict[str, tuple[str, int, bytes]] = {}
 
     def _leaf(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The leaf of each pair: its rank, then its place; NEVER where there is no such merge."""
@@ -85,6 +93,50 @@ class SegmentTreeBPE:
             row = row[tree[row, 1] < NEVER]
         return [line[line >= 0].tolist() for line in symbol]
 
+    def _merge_one(self, piece: bytes, size: int) -> list[int]:
+        """The same tree in plain lists, for one piece; a change goes up only as far as it changes a node."""
+        never, pairs, last = int(NEVER), self.pairs, len(piece) - 1
+        symbol = self.single[np.frombuffer(piece, dtype=np.uint8)].tolist()
+        after, before = list(range(1, last + 2)), list(range(-1, last))
+        tree = [never] * (2 * size)
+        for i in range(last):
+            pair = pairs.get(symbol[i] << 32 | symbol[i + 1])
+            if pair:
+                tree[size + i] = pair[0] | i
+        for node in range(size - 1, 0, -1):
+            a, b = tree[2 * node], tree[2 * node + 1]
+            tree[node] = a if a < b else b
+        while (root := tree[1]) < never:
+            i = root & 0xFFFFFFFF
+            j = after[i]
+            k = after[j]
+            symbol[i] = pairs[symbol[i] << 32 | symbol[j]][1]
+            symbol[j] = -1
+            after[i] = k
+            changed = [(j, never)]
+            if k <= last:
+                before[k] = i
+                pair = pairs.get(symbol[i] << 32 | symbol[k])
+                changed.append((i, pair[0] | i if pair else never))
+            else:
+                changed.append((i, never))
+            h = before[i]
+            if h >= 0:
+                pair = pairs.get(symbol[h] << 32 | symbol[i])
+                changed.append((h, pair[0] | h if pair else never))
+            for leaf, value in changed:
+                node = size + leaf
+                tree[node] = value
+                node >>= 1
+                while node:
+                    a, b = tree[2 * node], tree[2 * node + 1]
+                    least = a if a < b else b
+                    if tree[node] == least:
+                        break
+                    tree[node] = least
+                    node >>= 1
+        return [s for s in symbol if s >= 0]
+
     def encode_pieces(self, pieces: list[str]) -> dict[str, list[int]]:
         """The ids of distinct pieces."""
         groups: dict[int, list[tuple[str, bytes]]] = {}
@@ -93,6 +145,9 @@ class SegmentTreeBPE:
             groups.setdefault(max(2, 1 << (len(data) - 1).bit_length()), []).append((piece, data))
         out = {}
         for size, group in groups.items():
+            if len(group) < FEW:
+                out.update((piece, self._merge_one(data, size)) for piece, data in group)
+                continue
             step = max(1, CELLS // size)
             for at in range(0, len(group), step):
                 part = group[at : at + step]
@@ -105,10 +160,14 @@ class SegmentTreeBPE:
     def learn(self, chunks: set[str]) -> None:
         """Put the chunks not met before among the known ones."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, special = self.known, self.vocabulary.special
-        split = {c: bytebpe.PIECE.findall(c) for c in chunks if c not in known and c not in special}
-        new = {p for pieces in split.values() for p in pieces if p not in known}
+            self.known, self.older = {}, self.known
+        known, older, special = self.known, self.older, self.vocabulary.special
+        unknown = [c for c in chunks if c not in known]
+        known.update((c, older[c]) for c in unknown if c in older)
+        split = {c: bytebpe.PIECE.findall(c) for c in unknown if c not in known and c not in special}
+        met = {p for pieces in split.values() for p in pieces if p not in known}
+        known.update((p, older[p]) for p in met if p in older)
+        new = {p for p in met if p not in known}
         ids = self.encode_pieces(list(new))
         for piece, its in ids.items():
             known[piece] = self._record(its)
@@ -187,4 +246,4 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         return step
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return per_slice(rows, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return per_slice(rows, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", TOGETHER, TOGETHER_BYTES)

@@ -33,12 +33,12 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def sliced(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], size: int = SLICE, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts = [batch.slice(at, size) for at in reversed(range(0, batch.num_rows, size))]
         while parts:
             part = parts.pop()
-            if part.num_rows > 1 and part.nbytes > SLICE_BYTES:
+            if part.num_rows > 1 and part.nbytes > most:
                 half = part.num_rows // 2
                 parts += [part.slice(half), part.slice(0, half)]
             else:
@@ -50,12 +50,13 @@ def per_slice(
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]],
     schema: str,
     size: int = SLICE,
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
     """Apply to each slice of rows what make() returns; make runs once in each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for part in sliced(batches, size):
+        for part in sliced(batches, size, most):
             out = step(part)
             if out is not None and out.num_rows:
                 yield out

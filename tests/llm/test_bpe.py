@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from tokenizers import Tokenizer
@@ -80,3 +81,28 @@ def test_counts_and_cuts_of_edge_rows(documents, edges, library, byte_bpe):
 def test_empty_table(documents, byte_bpe):
     assert bpe.digests(documents([]), byte_bpe).collect() == []
     assert tokencounts.count_tokens(documents([]), byte_bpe).collect() == []
+
+
+@pytest.mark.parametrize("text", ["x" * 100_000, " " * 50_000 + "a", "-=" * 30_000, "ab" * 7 + "c" * 33, "0123456789" * 3000])
+def test_long_pieces(byte_bpe, text):
+    """One piece of very many characters: the library's ids, in seconds."""
+    began = time.perf_counter()
+    assert bpe.SegmentTreeBPE(byte_bpe).encode(text) == Tokenizer.from_file(byte_bpe).encode(text, add_special_tokens=False).ids
+    assert time.perf_counter() - began < 20
+
+
+def test_one_by_one_and_together_are_the_same(byte_bpe, monkeypatch):
+    pieces = [" tokenization", "aaaa", "ééé", "x", "hello", "日本語日本語", "mississippi" * 9] * 1
+    coder = bpe.SegmentTreeBPE(byte_bpe)
+    alone = coder.encode_pieces(pieces)
+    monkeypatch.setattr(bpe, "FEW", 0)
+    assert coder.encode_pieces(pieces) == alone
+
+
+def test_what_is_remembered_rotates(byte_bpe, monkeypatch):
+    """With room for a few pieces only, halves are dropped all the time and ids stay the library's."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    coder, library = bpe.SegmentTreeBPE(byte_bpe), Tokenizer.from_file(byte_bpe)
+    for text in odd_texts(60) * 2:
+        assert coder.encode(text) == library.encode(text, add_special_tokens=False).ids
+        assert len(coder.known) < 2000
