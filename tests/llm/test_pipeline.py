@@ -53,8 +53,19 @@ def test_nothing_is_left(spark, documents, texts):
         assert docs.count() == 0, name
 
 
+def test_columns_of_any_name_pass(spark):
+    """Extra columns named as the stages' own working columns come back as they were, and repeated ids keep unlinked texts."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    names = ["quality", "_quality", "deleted", "_deleted", "own", "uid", "ranges", "_kept", "score", "component_id", "sid", "key", "words"]
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        assert out.where(" or ".join(f"`{n}` <> concat('{n}', doc_id)" for n in names)).count() == 0, name
+
+
 def test_registered():
     names = contract.queries()
-    assert [n for n in range(1, 11) if any(k.startswith(f"op{n}_") for k in names)] == list(range(1, 11))
+    assert [n for n in range(1, 14) if any(k.startswith(f"op{n}_") for k in names)] == list(range(1, 14))
     assert "pipeline" in names
-    assert {k for k in contract.oracle_sql() if k.startswith("op")} == {"op4_ngram_jaccard", "op9_repeated_lines"}
+    assert {k for k in contract.oracle_sql() if k.startswith("op")} == {"op4_ngram_jaccard", "op9_repeated_lines", "op12_phrases"}
