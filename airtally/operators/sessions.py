@@ -135,7 +135,7 @@ def cut_cells(
     """
     cell = ["_hash", *by, "_track", *also, "_cell"]
     fine = _cells(rows, by, ts, width, measures, also, fine=True)
-    # The first and last time are taken from the folded times, so that both uses of these share one shuffle.
+    # The first and last time are taken from the folded times, in the unit that cuts are compared in.
     sliced = fine.groupBy(*cell).agg(*_merged(measures), F.min("_at").alias("_from"), F.max("_at").alias("_to"))
     coarse = _starting(sliced, by, width, tracks)
     of_slice = Window.partitionBy("_hash", *by, "_cell")
