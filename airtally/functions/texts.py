@@ -65,4 +65,4 @@ def plain_text(html: Column) -> Column:
 def trailing_numbers(text: Column) -> Column:
     """Whole numbers in the text, last one first, thousands separators dropped."""
     digits = F.regexp_extract_all(F.regexp_replace(text, ",", ""), F.lit(r"(\d+)"), F.lit(1))
-    return F.transform(F.reverse(digits), lambda n: n.try_cast("int"))
+    return F.transform(F.reverse(digits), lambda n: n.try_cast("bigint"))

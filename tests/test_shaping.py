@@ -151,3 +151,10 @@ def test_references_are_decoded_once(spark):
     }
     rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", plain_text(F.col("t")).alias("p")).collect()
     assert {r["t"]: r["p"] for r in rows} == {**texts, None: None}
+
+
+def test_review_counts_over_two_billion(spark, rows):
+    """A count that no 32-bit number holds is a number too."""
+    html = '<span class="responsive_reviewdesc_short">(93% of 2,147,483,648) All Time</span>'
+    out = shaping.review_summary(spark.createDataFrame([(1, html)], "game_id int, html string"))
+    assert rows(out, "all_positive_num", "all_positive_percent") == [(2147483648, 93)]
