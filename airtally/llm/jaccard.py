@@ -5,14 +5,17 @@ found in more than a fixed share of all tokens are the frequent class, and come
 last in the one order that all documents use; there can't be more of them than
 that share's inverse, which bounds what every task gets.
 
-Two sets at the threshold lack at most a known number of each other's tokens. A
-prefix of one token more than that shares a token, if single tokens are
-indexed. Frequent tokens are dealt into groups by hash, and within a group pairs
-of tokens are indexed instead; two documents without a common pair share one
-token of the group at most, so the prefix is extended by one token for each
-group that it reaches. Number of groups and keys go by the power of two below
-the set's size; a document whose partners may lie above the next power is
-indexed there too.
+Two sets at the threshold differ in a known number of tokens at most. The one
+order of tokens is cut into more groups than that, ranges of hashes, and a set's
+tokens of one group are one combination. As each token that differs spoils one
+group only, a prefix of one group more than that has a combination of both. So a
+set indexes the combinations of its first groups that have tokens, one more than
+tokens may differ. Groups of frequent tokens follow those of the others, so that
+a passage of many documents comes last; and as a key stands for several tokens,
+documents that share a few n-grams hardly ever share one, however many they are.
+A set whose tokens fill too few groups indexes single tokens of its prefix as
+well. Number of groups and keys go by the power of two below the set's size; a
+document whose partners may lie above the next power is indexed there too.
 
 Sets of equal tokens are one set. Of each key's sets, all meet the smallest
 first; what links is joined to components, and only sets of one key that are
@@ -102,41 +105,44 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def most_differing(n: int, m: int, percent: int) -> int:
+    """How many tokens are in one of two sets of n and m only, at most, if they are at the threshold."""
+    return (100 - percent) * (n + m) // (100 + percent)
+
+
 def keys(h: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The index keys of one set: single rare tokens and pairs of frequent ones from its prefixes.
+    """The index keys of one set: combinations of its tokens in the first groups that it has tokens of.
 
-    Sets of one token link with equal sets only, and those are one already.
+    A set takes one group more than it and a partner may differ in. Of two at the
+    threshold, the one that reaches less far so has a group that the other has
+    too, with the same tokens. If neither finds groups enough, both index single
+    tokens of their prefixes. Sets in which no token may differ have no keys, as
+    equal sets are one already.
     """
     n = len(h)
     if n < 2:
         return np.zeros(0, dtype=np.uint64)
     at = np.minimum(np.searchsorted(frequent, h), max(len(frequent) - 1, 0))
     common = frequent[at] == h if len(frequent) else np.zeros(n, dtype=bool)
-    rare, often = h[~common], h[common]
-    needed = n - least_overlap(n, percent) + 1
+    parts = np.concatenate([h[~common], h[common]])  # in the order of all documents
+    high, late = parts >> np.uint64(32), np.arange(n) >= n - np.count_nonzero(common)
     own = n.bit_length() - 1
     top = (n * 100 // percent).bit_length() - 1
     out = []
     for band in range(own, top + 1):
+        largest = (2 << band) - 1
+        differing = most_differing(n, min(n * 100 // percent, largest), percent)
+        if not differing:
+            continue
         salt = np.uint64((band + 1) * int(P3) & 0xFFFFFFFFFFFFFFFF)
-        out.append(mix((rare[:needed] ^ salt) * P1))
-        more = needed - len(rare)
-        if more > 0:
-            groups = max(1, (1 << band) // 16)
-            group = (mix(often) % np.uint64(groups)).astype(np.int64)
-            first = np.zeros(len(often), dtype=bool)
-            first[np.unique(group, return_index=True)[1]] = True
-            reach = int(np.searchsorted(np.cumsum(~first), more)) + 1
-            often_here, group = often[:reach], group[:reach]
-            order = np.argsort(group, kind="stable")
-            often_here, group = often_here[order], group[order]
-            starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-            for a, b in zip(starts, [*starts[1:], len(group)], strict=True):
-                members = often_here[a:b]
-                i, j = np.triu_indices(len(members), 1)
-                if len(i):
-                    out.append(mix(mix((members[i] ^ salt) * P2) + members[j]))
-    return np.unique(np.concatenate(out))
+        # Some more groups than can differ in the largest sets here, as some have no tokens.
+        groups = most_differing(largest, largest, percent) * 9 // 8 + 2
+        group = (high * np.uint64(groups) >> np.uint64(32)) + late * np.uint64(groups)  # ranges of hashes
+        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        out.append(mix((np.add.reduceat(parts, starts)[: differing + 1] ^ salt) * P1))
+        if len(starts) <= differing:
+            out.append(mix((h[: n - least_overlap(n, percent) + 1] ^ salt) * P2))
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, dtype=np.uint64)
 
 
 def parity(h: np.ndarray) -> bytes:

@@ -78,6 +78,27 @@ def test_sets_at_the_threshold_share_a_key(percent):
         assert len(np.intersect1d(jaccard.keys(x, frequent, percent), jaccard.keys(y, frequent, percent)))
 
 
+@pytest.mark.parametrize(("percent", "most"), [(80, 6), (90, 1)])
+def test_few_shared_tokens_hardly_give_keys(percent, most):
+    """Long sets that share a twelfth of their tokens share less than so many keys a pair; by single tokens it was a share of 300."""
+    random_ = np.random.default_rng(percent)
+    none = np.zeros(0, dtype=np.uint64)
+    passage = random_.integers(0, 1 << 64, 300, dtype=np.uint64)
+    sets = [np.unique(np.r_[passage, random_.integers(0, 1 << 64, int(random_.integers(3000, 4000)), dtype=np.uint64)]) for _ in range(40)]
+    _, n = np.unique(np.concatenate([jaccard.keys(h, none, percent) for h in sets]), return_counts=True)
+    assert (n * (n - 1) // 2).sum() < most * 40 * 39 // 2
+
+
+def test_sets_in_few_groups_share_a_key():
+    """Tokens of one range of hashes are one group; such sets meet by single tokens."""
+    random_ = np.random.default_rng(6)
+    for _ in range(200):
+        x = np.unique(random_.integers(0, 1 << 40, int(random_.integers(20, 400)), dtype=np.uint64))
+        y = np.delete(x, random_.choice(len(x), len(x) // 20, replace=False))
+        none = np.zeros(0, dtype=np.uint64)
+        assert len(np.intersect1d(jaccard.keys(x, none, 90), jaccard.keys(y, none, 90)))
+
+
 def test_parities_never_overstate_a_difference():
     random_ = np.random.default_rng(4)
     found = all_ = 0
