@@ -49,6 +49,9 @@ MAP_BITS = 1 << 26
 #: Buckets of the parities that are compared while sets of one key are joined.
 SHORT_BITS = 1024
 REMEMBERED = 500_000
+#: Words that a worker remembers the hashes of, and bytes of the longest one; tasks to come keep them too.
+WORDS = 1 << 17
+WORD_BYTES = 64
 
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -63,9 +66,11 @@ class Words(dict):
     """64-bit hashes of words, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= WORD_BYTES:
+            if len(self) >= WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 

@@ -25,8 +25,9 @@ from airtally.llm.common import sliced, stored
 
 #: Tasks whose remainders are merged by one task of the next round.
 MERGED = 256
-#: Chunks that a worker remembers the ids of.
-REMEMBERED = 1_000_000
+#: Words that a worker remembers the ids of, and characters of the longest one; tasks to come keep them too.
+REMEMBERED = 1 << 19
+REMEMBERED_LENGTH = 64
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 ROWS = PIECES + ", part long, ids binary"  # ids: of pieces that still have to be merged
@@ -36,7 +37,8 @@ class WordTokenizer:
     """Ids of texts whose tokenizer drops white space, as little-endian unsigned 32-bit numbers.
 
     No token crosses white space, so the ids of a text are those of its words,
-    which the library gives; each word is asked for once.
+    which the library gives. When too many are remembered, those stay that more
+    than one slice of texts had; words of one slice only are most of them.
     """
 
     def __init__(self, path: str):
@@ -44,11 +46,14 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.again: set[str] = set()
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
+            kept = self.again if len(self.again) <= REMEMBERED // 2 else ()
+            self.known, self.again = {"": b""} | {w: self.known[w] for w in kept}, set()
         new = list(words.difference(self.known))
+        self.again.update(words.difference(new))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
@@ -58,9 +63,14 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*words))
+        every = set().union(*words)
+        self.learn(every)
         ids = self.known.__getitem__
-        return [b"".join(map(ids, w)) for w in words]
+        out = [b"".join(map(ids, w)) for w in words]
+        for word in every:
+            if len(word) > REMEMBERED_LENGTH:
+                del self.known[word]
+        return out
 
 
 @cache

@@ -37,6 +37,14 @@ def brute_force(texts, width, percent):
     return {k: (len(sets[k]), root(k)) for k in sets}
 
 
+def test_a_worker_remembers_few_words_and_no_long_ones():
+    words = jaccard.Words()
+    for k in range(jaccard.WORDS + 10):
+        words[b"%d" % k]
+    assert words[b"a" * 10_000] == jaccard.Words()[b"a" * 10_000]
+    assert len(words) <= jaccard.WORDS and max(map(len, words)) <= jaccard.WORD_BYTES
+
+
 def near_copies(pick, many=150):
     words = ["".join(pick.choice("abcdefg") for _ in range(4)) for _ in range(300)]
     hot = " ".join(pick.choices(words, k=25))

@@ -48,6 +48,18 @@ def test_words_have_the_library_s_ids(library, word_bpe):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_worker_remembers_few_words_and_no_long_ones(library, word_bpe, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 100)
+    tokenizer = packing.WordTokenizer(word_bpe)
+    for k in range(20):
+        texts = [f"often there {k}once{n} " + f"x{k}y{n}" * 400 for n in range(10)]
+        for text, ids in zip(texts, tokenizer.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(tokenizer.known) <= 100 + 22 and max(map(len, tokenizer.known)) <= packing.REMEMBERED_LENGTH
+        assert {"often", "there"} <= set(tokenizer.known)
+    assert "0once0" not in tokenizer.known
+
+
 def test_edge_rows(documents, edges, library, word_bpe):
     rows = packing.pack(documents(edges, ("start", "part", "ids")).repartition(3), word_bpe, 2).collect()
     sizes = check(rows, dict(enumerate(edges)), library, 4096)
