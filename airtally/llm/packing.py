@@ -11,12 +11,15 @@ of other tasks, some hundreds of tasks at a time, until one remainder is left.
 
 from __future__ import annotations
 
-import struct
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +31,30 @@ MERGED = 256
 #: Words that a worker remembers the ids of, and characters of the longest one; tasks to come keep them too.
 REMEMBERED = 1 << 19
 REMEMBERED_LENGTH = 64
+#: New words that the library gets as one text, and what stands between them.
+JOINED = 256
+MARK = "\x01"
+#: Rows, and bytes of them, of a slice; more than elsewhere, as a slice's distinct words are looked up once each.
+SLICE = 2048
+SLICE_BYTES = 8 << 20
+#: Words that are letters, all in Latin-1, and signs after them; how a tokenizer is set that parts the two and lower-cases.
+LETTERS_AND_SIGNS = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<signs>[!-/:-@\[-`{-~]*)$"
+LOWER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+BY_KIND = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 ROWS = PIECES + ", part long, ids binary"  # ids: of pieces that still have to be merged
@@ -37,8 +64,11 @@ class WordTokenizer:
     """Ids of texts whose tokenizer drops white space, as little-endian unsigned 32-bit numbers.
 
     No token crosses white space, so the ids of a text are those of its words,
-    which the library gives. When too many are remembered, those stay that more
-    than one slice of texts had; words of one slice only are most of them.
+    which the library gives. A slice's distinct words are looked up once each;
+    new ones are given to the library many in a text, with a mark between them.
+    Where the tokenizer takes letters apart from what follows them and lower-cases
+    them, a word like `And,` is looked up as `and` and `,`. When many words are
+    remembered, they become the older ones, of which those stay that are met again.
     """
 
     def __init__(self, path: str):
@@ -46,31 +76,79 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
-        self.again: set[str] = set()
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            kept = self.again if len(self.again) <= REMEMBERED // 2 else ()
-            self.known, self.again = {"": b""} | {w: self.known[w] for w in kept}, set()
-        new = list(words.difference(self.known))
-        self.again.update(words.difference(new))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, e in zip(part, encoded, strict=True):
-                ids = e.ids
-                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        every = set().union(*words)
-        self.learn(every)
-        ids = self.known.__getitem__
-        out = [b"".join(map(ids, w)) for w in words]
-        for word in every:
-            if len(word) > REMEMBERED_LENGTH:
-                del self.known[word]
-        return out
+        self.older: dict[str, bytes] = {}
+        self.mark = np.frombuffer(self._each([MARK])[0], "<u4")
+        whole = json.loads(self.tokenizer.to_str())
+        own = [whole["normalizer"], whole["pre_tokenizer"], [t["content"] for t in whole["added_tokens"] if re.search(LETTERS_AND_SIGNS, t["content"])]]
+        self.apart = own == [LOWER, BY_KIND, []]
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are given as one text; one by one where the mark's id does not stand just between them."""
+        text = f" {MARK} ".join(words)
+        if len(self.mark) != 1 or text.count(MARK) != len(words) - 1:
+            return self._each(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        marks = np.flatnonzero(ids == self.mark[0])
+        if len(marks) != len(words) - 1:
+            return self._each(words)
+        data, ends = ids.tobytes(), (4 * marks).tolist()
+        return [data[start:end] for start, end in zip([0, *(end + 4 for end in ends)], [*ends, len(data)], strict=True)]
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {"": b""}, self.known
+        ids = list(map(self.known.get, words))
+        new = []
+        for k, x in enumerate(ids):
+            if x is None:
+                old = self.older.get(words[k])
+                if old is None:
+                    new.append(k)
+                else:
+                    ids[k] = self.known[words[k]] = old
+        for at in range(0, len(new), JOINED):
+            part = new[at : at + JOINED]
+            for k, x in zip(part, self._joined([words[k] for k in part]), strict=True):
+                ids[k] = x
+                if len(words[k]) <= REMEMBERED_LENGTH:
+                    self.known[words[k]] = x
+        return ids
+
+    def _lists(self, words: pa.Array) -> pa.LargeListArray:
+        """The ids of each of some distinct words."""
+        if self.apart:
+            found = pc.extract_regex(words, LETTERS_AND_SIGNS)
+            letters = pc.coalesce(pc.utf8_lower(pc.struct_field(found, "letters")), words)
+            signs = pc.fill_null(pc.struct_field(found, "signs"), "")
+            both = pa.concat_arrays([letters, signs]).dictionary_encode()
+        else:
+            both = words.dictionary_encode()
+        ids = self.learn(both.dictionary.to_pylist())
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]) // 4
+        lists = pa.LargeListArray.from_arrays(pa.array(ends), np.frombuffer(b"".join(ids), "<u4"))
+        if not self.apart:
+            return lists.take(both.indices)
+        lists = lists.take(pa.array(both.indices.to_numpy().reshape(2, -1).T.ravel()))
+        return pa.LargeListArray.from_arrays(pa.array(_starts(lists)[::2]), lists.flatten())
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        every = words.flatten().dictionary_encode()
+        taken = self._lists(every.dictionary).take(every.indices)
+        data = memoryview(taken.flatten().to_numpy()).cast("B")
+        at = (4 * _starts(taken)[_starts(words)]).tolist()
+        return [bytes(data[start:end]) for start, end in zip(at[:-1], at[1:], strict=True)]
+
+
+def _starts(lists: pa.Array) -> np.ndarray:
+    """Where each list starts among the entries of all, and the last one ends."""
+    return np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)])
 
 
 @cache
@@ -207,8 +285,8 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, end = word_tokenizer(path), end_id.to_bytes(4, "little")
         packer, out = Packer(length, windows, least), Rows(0, TaskContext.get().partitionId())
-        for part in sliced(batches):
-            texts = [t or "" for t in part.column(1).to_pylist()]
+        for part in sliced(batches, SLICE, SLICE_BYTES):
+            texts = part.column(1).fill_null("")
             for key, ids in zip(part.column(0).to_pylist(), tokenizer.encode(texts), strict=True):
                 ids += end
                 for sequence in packer.place(Piece(key, 0, ids, len(ids) // 4)):

@@ -60,6 +60,38 @@ def test_a_worker_remembers_few_words_and_no_long_ones(library, word_bpe, monkey
     assert "0once0" not in tokenizer.known
 
 
+def test_the_library_gets_letters_and_signs_once(library, word_bpe):
+    """Words are looked up in lower case and without the signs after them, where that gives the library's ids; the rest whole."""
+
+    class Spy:
+        def __init__(self):
+            self.words = []
+
+        def encode_batch_fast(self, texts, **options):
+            self.words += [w for t in texts for w in t.split() if w != "\x01"]
+            return library.encode_batch_fast(texts, **options)
+
+    tokenizer = packing.WordTokenizer(word_bpe)
+    tokenizer.tokenizer = spy = Spy()
+    texts = ["And, and AND! And!! È, è È! it's IT'S and... über, ÜBER!,", "AND, \nÈ,  and! Über and, é"]
+    texts += ["<|endoftext|>, <|ENDOFTEXT|>, and<|endoftext|>, İ, I\u0307, H\u0331, e\u0301, \u0301 and\x01, \x01 ' 's, we'll, a'\t's x\x00, 日本, ﬁ, Σς, ß! 1, a1, ,a"]
+    for part in (texts[:1], texts[1:], texts):
+        for text, ids in zip(part, tokenizer.encode(part), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert len(spy.words) == len(set(spy.words))
+    assert {"and", "è", "über", "it's", "IT'S"} <= set(spy.words) and not {"And,", "AND", "and!", "È,", "ÜBER!,"} & set(spy.words)
+
+
+def test_words_of_any_kind_in_one_slice(library, word_bpe):
+    pick = random.Random(4)
+    letters, rest = "abIKHSéÉßÿ×ªıſ", ".,!*'<|>\x010\u0301\u0331\u0307日\t"
+    words = ["".join(pick.choice(letters if pick.random() < 0.7 else rest) for _ in range(pick.randint(1, 6))) for _ in range(4000)]
+    tokenizer = packing.WordTokenizer(word_bpe)
+    texts = [" ".join(words[k : k + 9]) for k in range(0, 4000, 9)]
+    for text, ids in zip(texts, tokenizer.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_edge_rows(documents, edges, library, word_bpe):
     rows = packing.pack(documents(edges, ("start", "part", "ids")).repartition(3), word_bpe, 2).collect()
     sizes = check(rows, dict(enumerate(edges)), library, 4096)
