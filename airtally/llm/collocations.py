@@ -1,11 +1,12 @@
 """Phrases whose words stand together more than chance has it, counted in burst tries.
 
-Each task keeps a shallow trie of word ids for each language. It starts as one hash
-container, which bursts into containers by first word once it is large, and
-those of triples into containers by second word. Where the tries of a task hold
-too many entries, subtrees are spilled whole, as runs in the order of ids,
-the least first, as they repeat least, until half is free. Runs of all tasks
-meet in partitions by prefix, where equal phrases are merged.
+Each task keeps a trie of word ids for each language, laid flat: its paths are one
+ascending array of numbers, so a subtree is a stretch of it. New phrases gather
+in a container, which bursts once it is large: its paths are sorted, counted and
+merged into the trie. Where the tries of a task hold too many entries, subtrees
+of first words are spilled whole, as runs in the order of ids, the least first,
+as they repeat least, until half is free. Runs of all tasks meet in partitions
+by prefix, where equal phrases are merged.
 
 Pairs and words are counted first. A triple is counted only if both its pairs may
 be frequent, as no triple is more frequent than its pairs: a map of bits of a
@@ -25,11 +26,13 @@ from pyspark.sql import functions as F
 
 from airtally.llm.common import sliced, stored
 
-#: Entries, and distinct words, that the tries of one task hold at most.
-ENTRIES = 1_000_000
+#: Entries, and distinct words, that the tries of one task hold at most, beside their containers.
+ENTRIES = 2_000_000
 WORDS = 400_000
-#: A container of more entries bursts.
-BURST = 4096
+#: Containers of a task that hold more phrases, equal ones each, burst.
+BURST = 1_000_000
+#: Rows of a batch that leaves a task.
+ROWS = 1 << 18
 #: Words counted at once.
 STRETCH = 50_000
 #: Bits of the map of frequent pairs, whatever the input.
@@ -45,14 +48,17 @@ COUNTS = "lang string, words int, w1 string, w2 string, w3 string, f long"
 
 
 class _Ids(dict):
-    """Ids of words, given as they come, and the words' hashes by id."""
+    """Ids of words, given as they come, and if asked for the words' hashes by id."""
 
-    def __init__(self):
+    def __init__(self, hashed: bool):
         self[_END] = 0
+        self.hashed = hashed
         self.hashes = np.zeros(1024, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         new = self[word] = len(self)
+        if not self.hashed:
+            return new
         if new == len(self.hashes):
             self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
         self.hashes[new] = xxhash.xxh64_intdigest(word, _SEED)
@@ -73,12 +79,12 @@ class Tries:
         self._clear()
 
     def _clear(self) -> None:
-        self.ids = _Ids()
-        self.flat: dict[str, dict[int, int]] = {}  # of languages whose trie has not burst yet
-        self.roots: dict[str, dict[int, dict]] = {}
-        self.opened: dict[str, set[int]] = {}  # first words whose container has burst
+        self.ids = _Ids(self.pairs is not None)
+        self.fresh: dict[str, list[np.ndarray]] = {}  # containers: paths as they come
+        self.paths: dict[str, np.ndarray] = {}  # tries: paths ascending
+        self.counts: dict[str, np.ndarray] = {}  # and how often each was met
         self.singles: dict[str, np.ndarray] = {}  # counts of words by id
-        self.at_most = 0  # entries held, if every one since they were last counted is new
+        self.waiting = 0  # paths in containers
 
     def add(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         """Count the phrases of a text; what has to be spilled meanwhile comes out."""
@@ -86,7 +92,10 @@ class Tries:
         words += (_END, _END)
         for at in range(0, len(words) - 2, STRETCH):
             self._count(lang, words[at : at + STRETCH + 2])
-            if self.at_most > self.entries or len(self.ids) > self.most_words:
+            if len(self.ids) > self.most_words:
+                yield from self.flush()
+            elif self.waiting > self.burst:
+                self._burst()
                 yield from self._relieve()
 
     def _count(self, lang: str, words: list[bytes]) -> None:
@@ -102,9 +111,9 @@ class Tries:
                 whole &= self._known(lang, hashed[:-2], hashed[1:-1]) & self._known(lang, hashed[1:-1], hashed[2:])
             whole &= row[2:] > 0
             packed = (first[whole] << 2 * _BITS) | (second[whole] << _BITS) | row[2:][whole]
-        packed, times = np.unique(packed, return_counts=True)
-        self.at_most += len(packed)
-        self._insert(lang, packed, times)
+        if len(packed):
+            self.fresh.setdefault(lang, []).append(packed)
+            self.waiting += len(packed)
 
     def _known(self, lang: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the map has the bits of pairs; the same hash as pair_bit has it in Spark."""
@@ -119,63 +128,40 @@ class Tries:
             if counts is not None:
                 larger[: len(counts)] = counts
             counts = self.singles[lang] = larger
-        ids, times = np.unique(row, return_counts=True)
-        counts[ids] += times
+        counts += np.bincount(row, minlength=len(counts))
         counts[0] = 0
 
-    def _insert(self, lang: str, packed: np.ndarray, times: np.ndarray) -> None:
-        if lang not in self.roots:
-            flat = self.flat.setdefault(lang, {})
-            for key, n in zip(packed.tolist(), times.tolist(), strict=True):
-                flat[key] = flat.get(key, 0) + n
-            if len(flat) > self.burst:
-                self.roots[lang], self.opened[lang] = _burst(self.flat.pop(lang), 2 * _BITS), set()
-            return
-        root, opened, burst, deep = self.roots[lang], self.opened[lang], self.burst, self.size > 2
-        firsts, rests = packed >> 2 * _BITS, packed & ((1 << 2 * _BITS) - 1)
-        for first, rest, n in zip(firsts.tolist(), rests.tolist(), times.tolist(), strict=True):
-            node = root.get(first)
-            if node is None:
-                root[first] = {rest: n}
-            elif first in opened:
-                leaf = node.setdefault(rest >> _BITS, {})
-                third = rest & _LOW
-                leaf[third] = leaf.get(third, 0) + n
-            else:
-                node[rest] = node.get(rest, 0) + n
-                if deep and len(node) > burst:
-                    root[first] = _burst(node, _BITS)
-                    opened.add(first)
+    def _burst(self) -> None:
+        """Sort and count what the containers hold, and merge it into the tries."""
+        for lang, parts in self.fresh.items():
+            paths, counts = np.unique(np.concatenate(parts), return_counts=True)
+            if lang in self.paths:
+                paths, counts = _merged(np.concatenate([self.paths[lang], paths]), np.concatenate([self.counts[lang], counts]))
+            self.paths[lang], self.counts[lang] = paths, counts
+        self.fresh, self.waiting = {}, 0
 
     def _relieve(self) -> Iterator[pa.RecordBatch]:
-        """Spill the least subtrees until half of the entries are free, or all if there are too many words."""
-        if len(self.ids) > self.most_words:
-            yield from self.flush()
-            return
-        sizes = [(len(node), lang, None) for lang, node in self.flat.items()]
-        for lang, root in self.roots.items():
-            opened = self.opened[lang]
-            sizes += [(sum(map(len, node.values())) if first in opened else len(node), lang, first) for first, node in root.items()]
-        held = self.at_most = sum(size for size, _, _ in sizes)
+        """Spill the least subtrees until half of the entries are free, if there are too many."""
+        held = sum(map(len, self.paths.values()))
         if held <= self.entries:
             return
-        sizes.sort(key=lambda s: s[0])
-        spilled: dict[str, list[int | None]] = {}
-        for size, lang, first in sizes:
-            if held <= self.entries // 2:
-                break
-            spilled.setdefault(lang, []).append(first)
-            held -= size
-        self.at_most = held
-        for lang, firsts in spilled.items():
-            yield from self._run(lang, firsts)
+        sizes = {lang: np.diff(_stretches(paths >> 2 * _BITS), append=len(paths)) for lang, paths in self.paths.items()}
+        every = np.concatenate(list(sizes.values()))
+        least_first = np.argsort(every, kind="stable")
+        many = np.searchsorted(np.cumsum(every[least_first]), held - self.entries // 2) + 1
+        spilled = np.zeros(len(every), dtype=bool)
+        spilled[least_first[:many]] = True
+        for lang, own in sizes.items():
+            gone, spilled = np.repeat(spilled[: len(own)], own), spilled[len(own) :]
+            paths, counts = self.paths[lang], self.counts[lang]
+            yield from self._run(lang, paths[gone], counts[gone])
+            self.paths[lang], self.counts[lang] = paths[~gone], counts[~gone]
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         """Everything that is held, counts of words, and how many of them each language has had."""
-        for lang in list(self.flat):
-            yield from self._run(lang, [None])
-        for lang, root in self.roots.items():
-            yield from self._run(lang, list(root))
+        self._burst()
+        for lang, paths in self.paths.items():
+            yield from self._run(lang, paths, self.counts[lang])
         names = pa.array(list(self.ids), pa.string()) if self.singles else None
         for lang, counts in self.singles.items():
             seen = np.flatnonzero(counts)
@@ -186,40 +172,27 @@ class Tries:
                 yield _batch(lang, 0, none, none, none, counts.sum(keepdims=True))
         self._clear()
 
-    def _run(self, lang: str, firsts: list[int | None]) -> Iterator[pa.RecordBatch]:
-        """Take the subtrees of some first words out (None: the container that has not burst), as one run in the order of ids."""
-        packed, counts = [], []
-        for first in firsts:
-            if first is None:
-                node, prefix = self.flat.pop(lang), 0
-            else:
-                node, prefix = self.roots[lang].pop(first), first << 2 * _BITS
-            if first in self.opened.get(lang, ()):
-                self.opened[lang].discard(first)
-                for second, leaf in node.items():
-                    packed += [prefix | second << _BITS | third for third in leaf]
-                    counts += leaf.values()
-            else:
-                packed += [prefix | rest for rest in node] if prefix else node
-                counts += node.values()
-        if not packed:
-            return
-        packed, counts = np.array(packed, dtype=np.int64), np.array(counts, dtype=np.int64)
-        order = np.argsort(packed)
-        packed, counts = packed[order], counts[order]
-        names = pa.array(list(self.ids), pa.string())
-        w1, w2 = (names.take(pa.array(x)) for x in (packed >> 2 * _BITS, packed >> _BITS & _LOW))
-        w3 = names.take(pa.array(packed & _LOW)) if self.size > 2 else pa.nulls(len(packed), pa.string())
-        yield _batch(lang, self.size, w1, w2, w3, counts)
-
-
-def _burst(node: dict[int, int], bits: int) -> dict[int, dict[int, int]]:
-    """A container's entries in containers by what stands above the lower bits."""
-    out: dict[int, dict[int, int]] = {}
-    low = (1 << bits) - 1
-    for key, n in node.items():
-        out.setdefault(key >> bits, {})[key & low] = n
-    return out
+    def _run(self, lang: str, paths: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Subtrees as one run in the order of ids, some rows at a time."""
+        names = pa.array(list(self.ids), pa.string()) if len(paths) else None
+        for at in range(0, len(paths), ROWS):
+            part = paths[at : at + ROWS]
+            w1, w2 = (names.take(pa.array(x)) for x in (part >> 2 * _BITS, part >> _BITS & _LOW))
+            w3 = names.take(pa.array(part & _LOW)) if self.size > 2 else pa.nulls(len(part), pa.string())
+            yield _batch(lang, self.size, w1, w2, w3, counts[at : at + ROWS])
+
+
+def _stretches(ascending: np.ndarray) -> np.ndarray:
+    """Where each stretch of equal numbers starts."""
+    return np.flatnonzero(np.concatenate([[True], ascending[1:] != ascending[:-1]])) if len(ascending) else np.zeros(0, dtype=np.int64)
+
+
+def _merged(paths: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct paths, ascending, with the sums of their counts."""
+    order = np.argsort(paths, kind="stable")
+    paths, counts = paths[order], counts[order]
+    starts = _stretches(paths)
+    return paths[starts], np.add.reduceat(counts, starts)
 
 
 def _batch(lang: str, words: int, w1, w2, w3, f) -> pa.RecordBatch:
@@ -246,8 +219,11 @@ def counted(texts: DataFrame, size: int, pairs: np.ndarray | None = None, **limi
                     yield from tries.add(lang, _END.join(own))
         yield from tries.flush()
 
-    merged = texts.mapInArrow(count, COUNTS).repartition("lang", "w1", "w2").groupBy("lang", "words", "w1", "w2", "w3")
-    return merged.agg(F.sum("f").alias("f"))
+    key = ["lang", "w1", "w2", "w3"][: size + 1]  # all that phrases of these sizes need to be shuffled by
+    rows = texts.mapInArrow(count, COUNTS).select(*key, "f").repartition("lang", "w1", "w2")
+    merged = rows.groupBy(*key).agg(F.sum("f").alias("f"))
+    words = sum(F.col(w).isNotNull().cast("int") for w in key[1:])
+    return merged.select("lang", words.alias("words"), *(F.col(w) if w in key else F.lit(None).cast("string").alias(w) for w in ("w1", "w2", "w3")), "f")
 
 
 def pair_bit(lang: str, w1: str, w2: str) -> Column:

@@ -101,6 +101,20 @@ def test_runs_of_a_task_add_up(limits, size, monkeypatch):
     assert (len(batches) > 15) == (min(limits) < 10**6)
 
 
+def test_a_task_sends_each_of_a_million_phrases_once():
+    """With the limits as they are, and phrases by the million, nothing has to be spilled and sent again."""
+    row = np.random.default_rng(6).integers(0, 1200, 2_500_000)
+    pairs, times = np.unique(1200 * row[:-1] + row[1:], return_counts=True)
+    tries = collocations.Tries(2)
+    batches = list(tries.add("en", " ".join(map(str, row.tolist())).encode())) + list(tries.flush())
+    sent = [b for b in batches if b.column("words")[0].as_py() == 2]
+    got = np.concatenate([1200 * b.column("w1").cast("int64").to_numpy() + b.column("w2").cast("int64").to_numpy() for b in sent])
+    order = np.argsort(got)
+    assert len(pairs) > 10**6 and np.array_equal(got[order], pairs)
+    assert np.array_equal(np.concatenate([b.column("f").to_numpy() for b in sent])[order], times)
+    assert max(b.num_rows for b in sent) <= collocations.ROWS
+
+
 def test_the_map_has_a_bit_of_every_pair(spark):
     """The hash in Spark is the hash in tasks; with the map, exactly the phrases of pairs that are in it are counted."""
     data = [(lang or "und", t) for lang, t in texts(60, 8)]
