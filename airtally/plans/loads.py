@@ -48,7 +48,7 @@ def broadcast_incremental(
     return (
         with_names(folded, streamers, games)
         .groupBy("streamer_nm", "broadcast_id", "dim_game_nm", "platform")
-        .agg(*broadcast_columns(game_nm, as_of))
+        .agg(game_nm.alias("game_nm"), *broadcast_columns(as_of))
         .select(*BROADCAST)
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, date, datetime, time, timedelta
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtally.functions.times import day_window, instant, landing_days, partition_date
+from airtally.operators.games import ByCode
 from airtally.plans import loads, marts, normalize, upkeep
 from airtally.schemas import SILVER, partition_columns
 from airtally.sinks import writers
@@ -60,28 +62,31 @@ def mart_folder(root: str, name: str) -> str:
 START_DAY = "start_day"
 
 
-def publish_broadcasts(rows: DataFrame, root: str) -> int:
-    """Replace the broadcast mart as a whole, in folders by start day."""
+def publish_broadcasts(rows: DataFrame | ByCode, root: str) -> int:
+    """Replace the broadcast mart as a whole, in folders by start day; rows under codes stay under them."""
     day = F.date_from_unix_date(F.floor(F.unix_seconds(instant("broadcast_start_time")) / 86_400).cast("int"))
     return writers.publish(
-        rows.withColumn(START_DAY, day),
+        rows.each(lambda df: df.withColumn(START_DAY, day)) if isinstance(rows, ByCode) else rows.withColumn(START_DAY, day),
         mart_folder(root, "anal_broadcast"),
         sort_within=["streamer_nm", "broadcast_id", "broadcast_start_time"],
         partition_by=(START_DAY,),
     )
 
 
-def _published(spark: SparkSession, folder: str, started: tuple[date, date] | None = None) -> DataFrame:
-    rows = tables.read_mart(spark, folder)
-    if START_DAY not in rows.columns:
-        return rows
-    if started:
-        rows = rows.where(F.col(START_DAY).between(F.lit(started[0]), F.lit(started[1])))
-    return rows.drop(START_DAY)
+def _published(spark: SparkSession, folder: str, started: tuple[date, date] | None = None) -> DataFrame | ByCode:
+    def of_days(rows: DataFrame) -> DataFrame:
+        if START_DAY not in rows.columns:
+            return rows
+        if started:
+            rows = rows.where(F.col(START_DAY).between(F.lit(started[0]), F.lit(started[1])))
+        return rows.drop(START_DAY)
 
+    rows = tables.read_published(spark, folder)
+    return rows.each(of_days) if isinstance(rows, ByCode) else of_days(rows)
 
-def read_broadcasts(spark: SparkSession, root: str, *, started: tuple[date, date] | None = None) -> DataFrame:
-    """The broadcast mart: the version published last, and the days added to that version since.
+
+def read_broadcasts(spark: SparkSession, root: str, *, started: tuple[date, date] | None = None) -> DataFrame | ByCode:
+    """The broadcast mart: the version published last, under codes if it was published so, and the days added to that version since.
 
     `started` names the first and the last UTC day of starts that are wanted: of the version, only their
     folders are read.
@@ -94,12 +99,14 @@ def read_broadcasts(spark: SparkSession, root: str, *, started: tuple[date, date
         if rows is None and added is None:
             raise FileNotFoundError(f"no broadcasts have been written in {folder}")
         return rows if added is None else added
-    return rows.unionByName(added.select(*rows.columns))
+    return replace(rows, named=added) if isinstance(rows, ByCode) else rows.unionByName(added.select(*rows.columns))
 
 
-def _added_days(spark: SparkSession, folder: str, base: tuple[int, str] | None, like: DataFrame | None) -> DataFrame | None:
+def _added_days(spark: SparkSession, folder: str, base: tuple[int, str] | None, like: DataFrame | ByCode | None) -> DataFrame | None:
     """The days added to a version, None if there are none."""
     try:
+        if isinstance(like, ByCode):
+            like = like.rows.withColumnRenamed("n_game_code", "game_nm")
         reader = spark.read.schema(like.schema) if like is not None else spark.read
         return reader.parquet(_increments(folder, base))
     except AnalysisException as missing:
@@ -124,13 +131,14 @@ def refresh_broadcasts(
     folder = mart_folder(root, "anal_broadcast")
     if full:
         live = tables.read_normalized(spark, root, "raw_live_viewer")
-        publish_broadcasts(marts.broadcast(live, streamers, games, as_of=as_of), root)
+        publish_broadcasts(marts.broadcast_by_code(live, streamers, games, as_of=as_of), root)
     else:
         first, last = landing_days(*day_window(as_of, loads.DAY_START, loads.ZONE))
         live = tables.read_normalized(spark, root, "raw_live_viewer", first=first, last=last)
         rows = loads.broadcast_incremental(live, streamers, games, as_of=as_of)
         add_broadcasts(rows, folder, as_of)
-    return read_broadcasts(spark, root)
+    built = read_broadcasts(spark, root)
+    return built.spelled() if isinstance(built, ByCode) else built
 
 
 def add_broadcasts(rows: DataFrame, folder: str, as_of: date) -> None:
@@ -205,7 +213,7 @@ def keep_up(spark: SparkSession, root: str, as_of: date) -> None:
         if str(day) not in done or day == as_of:
             upkeep.add_load(added.where(F.col("created_date") == F.lit(day)), kept, str(day))
     if str(as_of) in done and as_of not in days:
-        upkeep.add_load(added.limit(0) if added is not None else rows.limit(0), kept, str(as_of))
+        upkeep.add_load(added.limit(0) if added is not None else spark.createDataFrame([], upkeep.LOAD), kept, str(as_of))
 
 
 def read_built(spark: SparkSession, root: str, name: str, *, as_of: date, games: DataFrame) -> DataFrame:

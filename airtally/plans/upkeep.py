@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtally.functions.codes import is_game
+from airtally.operators.games import MERGE, NAMES, ByCode, Dealt, deal, distinct_per_game, per_game, spell
 from airtally.operators.ordered import top_per_group
 from airtally.sources.log import entry_path, last_number, put_if_absent, read_entry
 
@@ -31,16 +32,30 @@ FIGURES = """streamer_nm string, game_nm string, platform string, stretches long
     max_viewer_num int, broadcasts long, long_stretches long, duration double, duration_rows long,
     max_duration double, min_duration double, mark string, bucket int"""
 SEEN = "streamer_nm string, game_nm string, broadcast_id string, mark string, bucket int"
-
-
-def figures(broadcasts: DataFrame) -> DataFrame:
-    """What adds up: one row per streamer, game and platform of a load."""
-    lasting = is_game("game_nm") & (F.col("game_duration") != 0)
+#: Loads under codes have figures and sets of their own, by code, and the names of their codes.
+SCHEMAS = {
+    "figures": FIGURES,
+    "seen": SEEN,
+    "code_figures": FIGURES.replace("game_nm", "n_game_code"),
+    "code_seen": SEEN.replace("game_nm", "n_game_code"),
+}
+#: Rows of a mart that stand for names of a list: the list's files and slot, and the names that are rows of their own.
+LISTED = "list_mark string, list_slot string, list_but array<string>"
+LISTS = "_slot string, games array<string>, list_mark string"
+#: What is read of a load.
+LOAD = """streamer_nm string, broadcast_id string, game_nm string, platform string, max_viewer_num int, avg_viewer_num int,
+    game_duration double"""
+
+
+def figures(broadcasts: DataFrame, game: str = "game_nm") -> DataFrame:
+    """What adds up: one row per streamer, game, or code, and platform of a load."""
+    lasting = F.col("game_duration") != 0
+    lasting = is_game(game) & lasting if game == "game_nm" else lasting
 
     def of(column: str) -> Column:
         return F.when(lasting, F.col(column))
 
-    return broadcasts.groupBy("bucket", "streamer_nm", "game_nm", "platform").agg(
+    return broadcasts.groupBy("bucket", "streamer_nm", game, "platform").agg(
         F.count(F.lit(1)).alias("stretches"),
         F.sum(F.round(F.col("game_duration") * MICROS).cast("long")).alias("micros"),
         F.sum(of("avg_viewer_num")).alias("viewers"),
@@ -55,55 +70,69 @@ def figures(broadcasts: DataFrame) -> DataFrame:
     )
 
 
-def seen(broadcasts: DataFrame) -> DataFrame:
-    """Which broadcasts a streamer has had of a game, a row each."""
-    return broadcasts.where(F.col("broadcast_id").isNotNull()).select("bucket", "streamer_nm", "game_nm", "broadcast_id").distinct()
+def seen(broadcasts: DataFrame, game: str = "game_nm") -> DataFrame:
+    """Which broadcasts a streamer has had of a game, or code, a row each."""
+    return broadcasts.where(F.col("broadcast_id").isNotNull()).select("bucket", "streamer_nm", game, "broadcast_id").distinct()
 
 
-def _rank(of_loads: DataFrame, measure: Column, name: str, rank: str, n: int = 3) -> DataFrame:
-    totals = of_loads.where(is_game("game_nm")).groupBy("bucket", "streamer_nm", "game_nm", "platform").agg(measure.alias(name))
-    return top_per_group(totals, ["bucket", "streamer_nm", "platform"], [F.col(name).desc_nulls_first(), F.col("game_nm")], n, rank)
+def _rank(of_loads: ByCode, dealt: Dealt, measure: str, name: str, rank: str, n: int = 3) -> DataFrame:
+    rows = per_game(of_loads.folded(["streamer_nm", "platform"], [F.sum(measure).alias(name)]), dealt, ["platform"], {name: "sum"})
+    totals = spell(rows, dealt.lists, first=n).where(is_game("game_nm"))
+    order = [F.col(name).desc_nulls_first(), F.col("game_nm")]
+    return _unlisted(top_per_group(totals, ["streamer_nm", "platform"], order, n, rank))
 
 
-def _minutes(column: str) -> Column:
-    return F.sum(column) / F.lit(float(MICROS))
+def _unlisted(rows: DataFrame) -> DataFrame:
+    none = F.lit(None)
+    return rows.withColumns({"_mass": F.lit(False), "_slot": none.cast("string"), "_but": none.cast("array<string>")})
 
 
-def _count_rank(of_loads: DataFrame, met: DataFrame) -> DataFrame:
-    return _rank(of_loads, F.sum("stretches"), "total_broadcast_count", "count_rank")
+def _count_rank(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+    return _rank(of_loads, dealt, "stretches", "total_broadcast_count", "count_rank")
 
 
-def _duration_rank(of_loads: DataFrame, met: DataFrame) -> DataFrame:
-    return _rank(of_loads, _minutes("micros"), "total_broadcast_duration", "duration_rank")
+def _duration_rank(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+    name = "total_broadcast_duration"
+    return _rank(of_loads, dealt, "micros", name, "duration_rank").withColumn(name, _minutes(name))
 
 
-def _radar(of_loads: DataFrame, met: DataFrame) -> DataFrame:
-    return (
-        of_loads.where(F.col("long_stretches") > 0)
-        .groupBy("bucket", "streamer_nm", "game_nm")
-        .agg(
-            (F.sum("viewers") / F.nullif(F.sum("viewer_rows"), F.lit(0))).alias("avg_viewer_num"),
-            F.max("max_viewer_num").alias("max_viewer_num"),
-            F.sum("broadcasts").alias("total_broadcast_count"),
-            (F.sum("duration") / F.sum("duration_rows")).alias("avg_broadcast_duration"),
-            F.max("max_duration").alias("max_broadcast_duration"),
-            F.min("min_duration").alias("min_broadcast_duration"),
-        )
+def _minutes(column: str) -> Column:
+    return F.col(column) / F.lit(float(MICROS))
+
+
+def _radar(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+    kinds = {"viewers": "sum", "viewer_rows": "sum", "max_viewer_num": "max", "broadcasts": "sum", "duration": "sum", "duration_rows": "sum",
+             "max_duration": "max", "min_duration": "min"}
+    folds = [MERGE[kind](name).alias(name) for name, kind in kinds.items()]
+    lasting = of_loads.each(lambda df: df.where(F.col("long_stretches") > 0)).folded(["streamer_nm"], folds)
+    rows = per_game(lasting, dealt, [], kinds).where(F.col("_mass") | is_game("game_nm"))
+    return rows.withColumns(
+        {
+            "avg_viewer_num": F.col("viewers") / F.nullif(F.col("viewer_rows"), F.lit(0)),
+            "total_broadcast_count": F.col("broadcasts"),
+            "avg_broadcast_duration": F.col("duration") / F.col("duration_rows"),
+            "max_broadcast_duration": F.col("max_duration"),
+            "min_broadcast_duration": F.col("min_duration"),
+        }
     )
 
 
-def _week_duration(of_loads: DataFrame, met: DataFrame) -> DataFrame:
-    return of_loads.groupBy("bucket", "game_nm", "streamer_nm").agg(_minutes("micros").alias("broadcast_duration"))
+def _week_duration(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+    name = "broadcast_duration"
+    rows = per_game(of_loads.folded(["streamer_nm"], [F.sum("micros").alias(name)]), dealt, [], {name: "sum"})
+    return rows.withColumn(name, _minutes(name))
+
 
+def _week_freq(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+    def groups(figures: DataFrame, broadcasts: DataFrame, game: str) -> DataFrame:
+        return figures.select("streamer_nm", game, F.lit(None).cast("string").alias("broadcast_id")).unionByName(broadcasts.select("streamer_nm", game, "broadcast_id"))
 
-def _week_freq(of_loads: DataFrame, met: DataFrame) -> DataFrame:
-    groups = of_loads.select("bucket", "game_nm", "streamer_nm", F.lit(None).cast("string").alias("broadcast_id"))
-    every = groups.unionByName(met.select("bucket", "game_nm", "streamer_nm", "broadcast_id"))
-    return every.groupBy("bucket", "game_nm", "streamer_nm").agg(F.count_distinct("broadcast_id").alias("broadcast_freq"))
+    every = ByCode(groups(of_loads.rows, met.rows, "n_game_code"), of_loads.names, groups(of_loads.named, met.named, "game_nm"))
+    return distinct_per_game(every.folded(["streamer_nm", "broadcast_id"], []), dealt, "broadcast_id", "broadcast_freq")
 
 
 #: Marts that can be kept up: name -> (rows from figures and sets, columns in the order of the rebuilt mart, whether it shows banners).
-MARTS: dict[str, tuple[Callable[[DataFrame, DataFrame], DataFrame], list[str], bool]] = {
+MARTS: dict[str, tuple[Callable[[ByCode, ByCode, Dealt], DataFrame], list[str], bool]] = {
     "anal_streamer_count_rank": (_count_rank, ["streamer_nm", "game_nm", "platform", "count_rank", "total_broadcast_count"], True),
     "anal_streamer_duration_rank": (_duration_rank, ["streamer_nm", "game_nm", "platform", "duration_rank", "total_broadcast_duration"], True),
     "anal_streamer_game_rader": (
@@ -136,7 +165,18 @@ def _read(spark: SparkSession, root: str, marks: set[str], schema: str, wanted:
 
 
 def _of_loads(spark: SparkSession, folder: str, table: str, marks: set[str], buckets: list[int]) -> DataFrame:
-    return _read(spark, f"{folder}/{table}", marks, FIGURES if table == "figures" else SEEN, F.col("bucket").isin(buckets)).drop("mark")
+    return _read(spark, f"{folder}/{table}", marks, SCHEMAS[table], F.col("bucket").isin(buckets))
+
+
+def _loaded(spark: SparkSession, folder: str, kind: str, marks: set[str], coded: set[str], touched: list[int], streamers: DataFrame, names: DataFrame) -> ByCode:
+    """The touched streamers' figures or sets of all loads; a code is one of its load."""
+    named = _touched(_of_loads(spark, folder, kind, marks, touched), streamers, "left_semi").drop("mark")
+    rows = _touched(_of_loads(spark, folder, f"code_{kind}", coded, touched), streamers, "left_semi")
+    return ByCode(_of_mark(rows), names, named)
+
+
+def _of_mark(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("n_game_code", F.concat("mark", F.lit(":"), "n_game_code")).drop("mark")
 
 
 def _of_parts(spark: SparkSession, folder: str, name: str, parts: dict[str, str], schema: str) -> DataFrame:
@@ -152,8 +192,10 @@ def _of_parts(spark: SparkSession, folder: str, name: str, parts: dict[str, str]
 
 def _schema(spark: SparkSession, name: str) -> str:
     make, columns, _ = MARTS[name]
-    empty = make(spark.createDataFrame([], FIGURES), spark.createDataFrame([], SEEN)).select(*columns)
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in empty.schema.fields)
+    names = spark.createDataFrame([], NAMES)
+    of_loads, met = (ByCode(spark.createDataFrame([], SCHEMAS[f"code_{kind}"]), names, spark.createDataFrame([], SCHEMAS[kind])) for kind in ("figures", "seen"))
+    empty = make(of_loads, met, deal(names)).select(*columns)
+    return ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in empty.schema.fields), LISTED])
 
 
 def _streamers(rows: DataFrame) -> DataFrame:
@@ -165,36 +207,60 @@ def _touched(rows: DataFrame, streamers: DataFrame, how: str) -> DataFrame:
     return rows.join(streamers, (F.col("bucket") == F.col("_bucket")) & F.col("streamer_nm").eqNullSafe(F.col("_streamer")), how)
 
 
-def add_load(broadcasts: DataFrame, folder: str, load: str, *, replace_all: bool = False, buckets: int = BUCKETS) -> int:
+def add_load(broadcasts: DataFrame | ByCode, folder: str, load: str, *, replace_all: bool = False, buckets: int = BUCKETS) -> int:
     """Put one load of broadcasts into the kept marts; returns the version of the log.
 
     A load of a name that is there takes its place. replace_all drops all others,
     as a full rebuild does. Figures are written first; the marts of the touched
     streamers are then computed on the last log entry, and again if another load has
     been put in meanwhile. `broadcasts` is read twice: store it first if it is dear.
+    A load under codes is folded under them: neither its figures nor the marts' files have a
+    row for each streamer and each of the names of a code that has very many.
     """
-    spark, folder = broadcasts.sparkSession, folder.rstrip("/")
+    under_codes = isinstance(broadcasts, ByCode)
+    spark, folder = (broadcasts.rows if under_codes else broadcasts).sparkSession, folder.rstrip("/")
     mark = uuid.uuid4().hex[:12]
-    rows = broadcasts.withColumn("bucket", F.pmod(F.xxhash64("streamer_nm"), F.lit(buckets)).cast("int"))
-    for table, folded in (("figures", figures(rows)), ("seen", seen(rows))):
-        folded.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{folder}/{table}/mark={mark}")
+    bucket = F.pmod(F.xxhash64("streamer_nm"), F.lit(buckets)).cast("int")
+    named = broadcasts.named if under_codes else broadcasts
+    named = (spark.createDataFrame([], LOAD) if named is None else named).withColumn("bucket", bucket)
+    folded = {"figures": figures(named), "seen": seen(named)}
+    if under_codes:
+        rows = broadcasts.rows.withColumn("bucket", bucket)
+        folded |= {"code_figures": figures(rows, "n_game_code"), "code_seen": seen(rows, "n_game_code")}
+        broadcasts.names.write.parquet(f"{folder}/names/mark={mark}")
+    for table, of_table in folded.items():
+        of_table.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{folder}/{table}/mark={mark}")
     while True:
         old = state(spark, folder)
         before = {m for name, m in old["loads"].items() if replace_all or name == load}
         loads = {load: mark} if replace_all else {**old["loads"], load: mark}
-        fresh = _read(spark, f"{folder}/figures", {mark, *before}, FIGURES, F.lit(True))
-        streamers = _streamers(fresh)
-        touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())  # at most `buckets` numbers
         marks, attempt = set(loads.values()), uuid.uuid4().hex[:12]
-        of_loads = _touched(_of_loads(spark, folder, "figures", marks, touched), streamers, "left_semi")
-        met = _touched(_of_loads(spark, folder, "seen", marks, touched), streamers, "left_semi")
+        coded = {*old.get("coded", []), *([mark] if under_codes else [])}
+        fresh = _streamers(_read(spark, f"{folder}/figures", {mark, *before}, FIGURES, F.lit(True))).unionByName(
+            _streamers(_read(spark, f"{folder}/code_figures", coded & {mark, *before}, SCHEMAS["code_figures"], F.lit(True)))
+        )
+        streamers = fresh.distinct()
+        touched = sorted(r[0] for r in fresh.select("_bucket").distinct().collect())  # at most `buckets` numbers
+        coded &= marks
+        names = _of_mark(_read(spark, f"{folder}/names", coded, f"{NAMES}, mark string", F.lit(True)))
+        of_loads, met = (_loaded(spark, folder, kind, marks, coded, touched, streamers, names) for kind in ("figures", "seen"))
+        dealt = deal(names)
+        if coded:
+            dealt.lists.write.parquet(f"{folder}/lists/list_mark={attempt}")
+        listed = {
+            "list_mark": F.when(F.col("_mass"), F.lit(attempt)),
+            "list_slot": F.when(F.col("_mass"), F.col("_slot")),
+            "list_but": F.when(F.col("_mass"), F.col("_but")),
+            "bucket": bucket,
+        }
         parts = {b: m for b, m in old["parts"].items() if int(b) in touched}
         for name, (make, columns, _) in MARTS.items():
             kept = _touched(_of_parts(spark, folder, name, parts, _schema(spark, name)), streamers, "left_anti")
-            part = make(of_loads, met).select(*columns, "bucket").unionByName(kept.select(*columns, "bucket"))
+            part = make(of_loads, met, dealt).withColumns(listed).select(*columns, *listed).unionByName(kept.select(*columns, *listed))
             part.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{folder}/{name}/mark={attempt}")
         version = old["version"] + 1
-        entry = {"version": version, "loads": loads, "parts": {**old["parts"], **{str(b): attempt for b in touched}}}
+        entry = {"version": version, "loads": loads, "parts": {**old["parts"], **{str(b): attempt for b in touched}}, "coded": sorted(coded),
+                 "lists": [*old.get("lists", []), *([attempt] if coded else [])]}
         if put_if_absent(spark, entry_path(_log(folder), version), json.dumps(entry)):
             return version
 
@@ -203,7 +269,13 @@ def read_kept(spark: SparkSession, folder: str, name: str, *, as_of: date, games
     """A kept mart as its rebuild gives it; banners come from the games as they are now."""
     _, columns, banners = MARTS[name]
     folder = folder.rstrip("/")
-    rows = _of_parts(spark, folder, name, state(spark, folder)["parts"], _schema(spark, name)).select(*columns)
+    now = state(spark, folder)
+    rows = _of_parts(spark, folder, name, now["parts"], _schema(spark, name)).drop("bucket")
+    if now.get("lists"):
+        lists = spark.read.schema(LISTS).option("basePath", f"{folder}/lists").parquet(*[f"{folder}/lists/list_mark={m}" for m in now["lists"]])
+        of_list = {"_mass": F.col("list_slot").isNotNull(), "_slot": F.col("list_slot"), "_but": F.col("list_but")}
+        rows = spell(rows.withColumns(of_list).drop("list_slot", "list_but"), lists, ("_slot", "list_mark"))
+    rows = rows.select(*columns)
     if banners:
         rows = rows.join(games.select("game_nm", "game_banner_url"), "game_nm", "left").select(*columns, "game_banner_url")
     return rows.withColumn("created_date", F.lit(as_of))

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from airtally.operators.games import NAMES, ByCode
 from airtally.schemas import SILVER, partition_columns
-from airtally.sources.landing import _with_folder_keys, in_folders, table_folder
+from airtally.sources.landing import _with_folder_keys, in_folders, is_missing, table_folder
 from airtally.sources.log import entries, last_number, read_entry
 
 
@@ -55,11 +57,23 @@ def read_dimension_jdbc(
 
 
 def read_mart(spark: SparkSession, folder: str) -> DataFrame:
-    """SC4: the version of a mart that was published last."""
+    """SC4: the version of a mart that was published last, a row per name of its codes if it was published under codes."""
+    rows = read_published(spark, folder)
+    return rows.spelled() if isinstance(rows, ByCode) else rows
+
+
+def read_published(spark: SparkSession, folder: str) -> DataFrame | ByCode:
+    """SC4: the version that was published last, as it was published."""
     current = current_version(spark, folder)
     if current is None:
         raise FileNotFoundError(f"nothing has been published in {folder}")
-    return spark.read.parquet(version_folder(folder, current[1]))
+    rows = spark.read.parquet(version_folder(folder, current[1]))
+    try:
+        return ByCode(rows, spark.read.schema(NAMES).parquet(names_folder(folder, current[1])))
+    except AnalysisException as missing:
+        if is_missing(missing):
+            return rows
+        raise
 
 
 def log_folder(folder: str) -> str:
@@ -80,3 +94,8 @@ def current_version(spark: SparkSession, folder: str) -> tuple[int, str] | None:
 def version_folder(folder: str, mark: str) -> str:
     """Each publication has a folder of its own, so none is ever written where another is read."""
     return f"{folder.rstrip('/')}/versions/{mark}"
+
+
+def names_folder(folder: str, mark: str) -> str:
+    """Where a publication under codes has the names of its codes."""
+    return f"{folder.rstrip('/')}/names/{mark}"
