@@ -8,7 +8,7 @@ names in lists of bounded length, which are spelled out last.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,22 +30,23 @@ class ByCode:
 
     rows: n_game_code and others. names: n_game_code, game_nm, known; every code of the rows has one at
     least, and names that are `known` are distinct within a code. named: game_nm in place of n_game_code.
+    Either of rows, with their names, and named may be missing.
     """
 
-    rows: DataFrame
-    names: DataFrame
+    rows: DataFrame | None
+    names: DataFrame | None
     named: DataFrame | None = None
 
     def each(self, change: Callable[[DataFrame], DataFrame]) -> ByCode:
         """The same change to all rows; it leaves code and name as they are."""
-        return ByCode(change(self.rows), self.names, None if self.named is None else change(self.named))
+        return ByCode(None if self.rows is None else change(self.rows), self.names, None if self.named is None else change(self.named))
 
     def folded(self, keys: list[str], figures: list[Column]) -> ByCode:
         """Rows of the same keys and code, or name, as one."""
         def fold(rows: DataFrame, *by: str) -> DataFrame:
             return rows.groupBy(*by).agg(*figures) if figures else rows.select(*by).distinct()
 
-        return ByCode(fold(self.rows, *keys, "n_game_code"), self.names, None if self.named is None else fold(self.named, *keys, "game_nm"))
+        return ByCode(None if self.rows is None else fold(self.rows, *keys, "n_game_code"), self.names, None if self.named is None else fold(self.named, *keys, "game_nm"))
 
     def spelled(self) -> DataFrame:
         """A row per name."""
@@ -58,12 +59,20 @@ class ByCode:
 
 @dataclass(frozen=True)
 class Dealt:
-    """single: n_game_code, game_nm. slots: game_nm, _slot. of_code: n_game_code, _slot. lists: _slot, games (in order)."""
+    """single: n_game_code, game_nm. slots: game_nm, _slot. of_code: n_game_code, _slot. lists: _slot, games (in order).
+
+    homed: as single, with the slots of the names.
+    """
 
     single: DataFrame
     slots: DataFrame
     of_code: DataFrame
     lists: DataFrame
+    homed: DataFrame
+
+    def each(self, change: Callable[[DataFrame, str], DataFrame]) -> Dealt:
+        """Each of them changed, by its name: stored, say, if several plans use them."""
+        return Dealt(**{f.name: change(getattr(self, f.name), f.name) for f in fields(self)})
 
 
 def deal(names: DataFrame) -> Dealt:
@@ -84,7 +93,8 @@ def deal(names: DataFrame) -> Dealt:
     slots = classes.join(parts, "_class").select("game_nm", "_class", F.concat("_class", F.lit("/"), part.cast("string")).alias("_slot"))
     of_code = slots.select("_class", "_slot").distinct().select(F.explode(F.from_json("_class", "array<string>")).alias("n_game_code"), "_slot")
     lists = slots.groupBy("_slot").agg(F.sort_array(F.collect_list("game_nm")).alias("games"))
-    return Dealt(marked.where(~mass).select("n_game_code", "game_nm"), slots.drop("_class"), of_code, lists)
+    single, slots = marked.where(~mass).select("n_game_code", "game_nm"), slots.drop("_class")
+    return Dealt(single, slots, of_code, lists, _homed(single, slots))
 
 
 def _mass(dealt: Dealt) -> DataFrame:
@@ -99,20 +109,27 @@ def _homed(rows: DataFrame, slots: DataFrame) -> DataFrame:
 
 def _laid_out(rows: ByCode, dealt: Dealt) -> DataFrame:
     """Rows under single names and under lists, where those of one streamer and list are together."""
-    met = rows.rows.join(_homed(dealt.single, dealt.slots).unionByName(_mass(dealt)), "n_game_code").drop("n_game_code")
+    met = rows.rows.join(dealt.homed.unionByName(_mass(dealt)), "n_game_code").drop("n_game_code")
     if rows.named is not None:
         met = met.unionByName(_homed(rows.named, dealt.slots).select(*met.columns))
     return met.repartition("streamer_nm", "_slot")
 
 
-def per_game(rows: ByCode, dealt: Dealt, also: list[str], figures: dict[str, str]) -> DataFrame:
+def _unlisted(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"_slot": F.lit(None).cast("string"), "_mass": F.lit(False), "_but": F.lit(None).cast("array<string>")})
+
+
+def per_game(rows: ByCode, dealt: Dealt | None, also: list[str], figures: dict[str, str]) -> DataFrame:
     """Figures per streamer, game and `also`: rows under single names, and rows that stand for the names of a list but for some.
 
     figures: name -> sum | max | min. Columns besides: game_nm (NULL in a list's row), _slot, _mass, _but (names of the
     list that have rows of their own, into which the list's figures are merged). A game of many codes is one row.
     """
     keys = ["streamer_nm", *also]
-    merged = _laid_out(rows, dealt).groupBy(*keys, "_slot", "_mass", "game_nm").agg(*[MERGE[kind](name).alias(name) for name, kind in figures.items()])
+    folds = [MERGE[kind](name).alias(name) for name, kind in figures.items()]
+    if rows.rows is None:
+        return _unlisted(rows.named.groupBy(*keys, "game_nm").agg(*folds))
+    merged = _laid_out(rows, dealt).groupBy(*keys, "_slot", "_mass", "game_nm").agg(*folds)
     slot = Window.partitionBy(*keys, "_slot")
 
     def whole(name: str, kind: str) -> Column:
@@ -128,8 +145,10 @@ def _apart(slot) -> Column:
     return F.when(F.col("_mass"), singles).alias("_but")
 
 
-def distinct_per_game(rows: ByCode, dealt: Dealt, column: str, name: str) -> DataFrame:
+def distinct_per_game(rows: ByCode, dealt: Dealt | None, column: str, name: str) -> DataFrame:
     """How many distinct values of `column` a streamer has of a game, in rows as those of `per_game`."""
+    if rows.rows is None:
+        return _unlisted(rows.named.groupBy("streamer_nm", "game_nm").agg(F.count_distinct(column).alias(name)))
     keys = ["streamer_nm", "_slot"]
     every = _laid_out(rows, dealt).select(*keys, "_mass", "game_nm", column).distinct()
     listed = F.max("_mass").over(Window.partitionBy(*keys, column))

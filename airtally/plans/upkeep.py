@@ -75,23 +75,20 @@ def seen(broadcasts: DataFrame, game: str = "game_nm") -> DataFrame:
     return broadcasts.where(F.col("broadcast_id").isNotNull()).select("bucket", "streamer_nm", game, "broadcast_id").distinct()
 
 
-def _rank(of_loads: ByCode, dealt: Dealt, measure: str, name: str, rank: str, n: int = 3) -> DataFrame:
+def _rank(of_loads: ByCode, dealt: Dealt | None, measure: str, name: str, rank: str, n: int = 3) -> DataFrame:
     rows = per_game(of_loads.folded(["streamer_nm", "platform"], [F.sum(measure).alias(name)]), dealt, ["platform"], {name: "sum"})
-    totals = spell(rows, dealt.lists, first=n).where(is_game("game_nm"))
+    totals = (spell(rows, dealt.lists, first=n) if dealt else rows).where(is_game("game_nm"))
     order = [F.col(name).desc_nulls_first(), F.col("game_nm")]
-    return _unlisted(top_per_group(totals, ["streamer_nm", "platform"], order, n, rank))
-
-
-def _unlisted(rows: DataFrame) -> DataFrame:
     none = F.lit(None)
-    return rows.withColumns({"_mass": F.lit(False), "_slot": none.cast("string"), "_but": none.cast("array<string>")})
+    unlisted = {"_mass": F.lit(False), "_slot": none.cast("string"), "_but": none.cast("array<string>")}
+    return top_per_group(totals, ["streamer_nm", "platform"], order, n, rank).withColumns(unlisted)
 
 
-def _count_rank(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+def _count_rank(of_loads: ByCode, met: ByCode, dealt: Dealt | None) -> DataFrame:
     return _rank(of_loads, dealt, "stretches", "total_broadcast_count", "count_rank")
 
 
-def _duration_rank(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+def _duration_rank(of_loads: ByCode, met: ByCode, dealt: Dealt | None) -> DataFrame:
     name = "total_broadcast_duration"
     return _rank(of_loads, dealt, "micros", name, "duration_rank").withColumn(name, _minutes(name))
 
@@ -100,7 +97,7 @@ def _minutes(column: str) -> Column:
     return F.col(column) / F.lit(float(MICROS))
 
 
-def _radar(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+def _radar(of_loads: ByCode, met: ByCode, dealt: Dealt | None) -> DataFrame:
     kinds = {"viewers": "sum", "viewer_rows": "sum", "max_viewer_num": "max", "broadcasts": "sum", "duration": "sum", "duration_rows": "sum",
              "max_duration": "max", "min_duration": "min"}
     folds = [MERGE[kind](name).alias(name) for name, kind in kinds.items()]
@@ -117,22 +114,23 @@ def _radar(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
     )
 
 
-def _week_duration(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+def _week_duration(of_loads: ByCode, met: ByCode, dealt: Dealt | None) -> DataFrame:
     name = "broadcast_duration"
     rows = per_game(of_loads.folded(["streamer_nm"], [F.sum("micros").alias(name)]), dealt, [], {name: "sum"})
     return rows.withColumn(name, _minutes(name))
 
 
-def _week_freq(of_loads: ByCode, met: ByCode, dealt: Dealt) -> DataFrame:
+def _week_freq(of_loads: ByCode, met: ByCode, dealt: Dealt | None) -> DataFrame:
     def groups(figures: DataFrame, broadcasts: DataFrame, game: str) -> DataFrame:
         return figures.select("streamer_nm", game, F.lit(None).cast("string").alias("broadcast_id")).unionByName(broadcasts.select("streamer_nm", game, "broadcast_id"))
 
-    every = ByCode(groups(of_loads.rows, met.rows, "n_game_code"), of_loads.names, groups(of_loads.named, met.named, "game_nm"))
+    rows = None if of_loads.rows is None else groups(of_loads.rows, met.rows, "n_game_code")
+    every = ByCode(rows, of_loads.names, groups(of_loads.named, met.named, "game_nm"))
     return distinct_per_game(every.folded(["streamer_nm", "broadcast_id"], []), dealt, "broadcast_id", "broadcast_freq")
 
 
 #: Marts that can be kept up: name -> (rows from figures and sets, columns in the order of the rebuilt mart, whether it shows banners).
-MARTS: dict[str, tuple[Callable[[ByCode, ByCode, Dealt], DataFrame], list[str], bool]] = {
+MARTS: dict[str, tuple[Callable[[ByCode, ByCode, Dealt | None], DataFrame], list[str], bool]] = {
     "anal_streamer_count_rank": (_count_rank, ["streamer_nm", "game_nm", "platform", "count_rank", "total_broadcast_count"], True),
     "anal_streamer_duration_rank": (_duration_rank, ["streamer_nm", "game_nm", "platform", "duration_rank", "total_broadcast_duration"], True),
     "anal_streamer_game_rader": (
@@ -171,6 +169,8 @@ def _of_loads(spark: SparkSession, folder: str, table: str, marks: set[str], buc
 def _loaded(spark: SparkSession, folder: str, kind: str, marks: set[str], coded: set[str], touched: list[int], streamers: DataFrame, names: DataFrame) -> ByCode:
     """The touched streamers' figures or sets of all loads; a code is one of its load."""
     named = _touched(_of_loads(spark, folder, kind, marks, touched), streamers, "left_semi").drop("mark")
+    if not coded:
+        return ByCode(None, None, named)
     rows = _touched(_of_loads(spark, folder, f"code_{kind}", coded, touched), streamers, "left_semi")
     return ByCode(_of_mark(rows), names, named)
 
@@ -192,12 +192,16 @@ def _of_parts(spark: SparkSession, folder: str, name: str, parts: dict[str, str]
 
 def _schema(spark: SparkSession, name: str) -> str:
     make, columns, _ = MARTS[name]
-    names = spark.createDataFrame([], NAMES)
-    of_loads, met = (ByCode(spark.createDataFrame([], SCHEMAS[f"code_{kind}"]), names, spark.createDataFrame([], SCHEMAS[kind])) for kind in ("figures", "seen"))
-    empty = make(of_loads, met, deal(names)).select(*columns)
+    of_loads, met = (ByCode(None, None, spark.createDataFrame([], SCHEMAS[kind])) for kind in ("figures", "seen"))
+    empty = make(of_loads, met, None).select(*columns)
     return ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in empty.schema.fields), LISTED])
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _streamers(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("bucket").alias("_bucket"), F.col("streamer_nm").alias("_streamer")).distinct()
 
@@ -244,9 +248,8 @@ def add_load(broadcasts: DataFrame | ByCode, folder: str, load: str, *, replace_
         coded &= marks
         names = _of_mark(_read(spark, f"{folder}/names", coded, f"{NAMES}, mark string", F.lit(True)))
         of_loads, met = (_loaded(spark, folder, kind, marks, coded, touched, streamers, names) for kind in ("figures", "seen"))
-        dealt = deal(names)
-        if coded:
-            dealt.lists.write.parquet(f"{folder}/lists/list_mark={attempt}")
+        # Stored, as every mart's plan has them.
+        dealt = deal(names).each(lambda df, name: _stored(df, f"{folder}/{name}/list_mark={attempt}")) if coded else None
         listed = {
             "list_mark": F.when(F.col("_mass"), F.lit(attempt)),
             "list_slot": F.when(F.col("_mass"), F.col("_slot")),
